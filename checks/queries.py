@@ -16,6 +16,7 @@ from tallycart.operators import categories, customers, filters, funnel, heatmap,
 from tallycart.operators.clean import between_days, clean_events, event_report, purchases_of
 from tallycart.plans import cubes as cube_plans
 from tallycart.plans import document, snapshot
+from tallycart.schema import CUBES
 from tallycart.sources import files, tables
 from tallycart.sources.scratch import materialize, scratch_path
 from tallycart.streaming.refresh import ingest_new_files
@@ -81,12 +82,12 @@ def _ranged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _kpi_totals(spark: SparkSession, events: DataFrame) -> DataFrame:
-    facts = cube_plans.stored_facts(purchases_of(events))
+    bought = cube_plans.stored_purchases(purchases_of(events))
     return kpi.kpi_totals(
         materialize(funnel.event_counts(events), "event-counts"),
-        facts,
-        materialize(series.daily_cube(facts), "daily"),
-        customers.user_cube(facts, "first_time", "last_time"),
+        bought,
+        materialize(series.daily_cube(bought), "daily"),
+        customers.user_cube(bought),
     )
 
 
@@ -104,17 +105,17 @@ def month_delta_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_cards(spark: SparkSession, folder: str) -> DataFrame:
-    facts = cube_plans.stored_facts(_money(spark, folder))
-    users = materialize(customers.user_cube(facts, "first_time", "last_time"), "users")
-    return customers.customer_cards(customers.score_users(users), series.daily_cube(facts))
+    bought = cube_plans.stored_purchases(_money(spark, folder))
+    users = materialize(customers.user_cube(bought), "users")
+    return customers.customer_cards(customers.score_users(users), series.daily_cube(bought))
 
 
 def _view_kpis(spark: SparkSession, folder: str, start, end, category) -> DataFrame:
-    facts = cube_plans.stored_facts(_sales(spark, folder))
+    bought = cube_plans.stored_purchases(_sales(spark, folder))
     return views.view_kpis(
-        kpi.purchase_totals(facts),
-        materialize(series.daily_cube(facts), "daily"),
-        materialize(categories.category_daily_cube(facts), "category-daily"),
+        kpi.purchase_totals(bought),
+        materialize(series.daily_cube(bought), "daily"),
+        materialize(categories.category_daily_cube(bought), "category-daily"),
         start,
         end,
         category,
@@ -145,7 +146,7 @@ def view_categories_staged(spark: SparkSession, folder: str) -> DataFrame:
     """The same view over the staged, month-partitioned cube."""
     path = scratch_path(spark, "staged")
     cube_plans.write_cubes({"category_daily": categories.category_daily_cube(_sales(spark, folder))}, path)
-    staged = spark.read.parquet(f"{path}/category_daily").withColumn("month", F.col("month").cast("string"))
+    staged = files.read_or_empty(spark, f"{path}/category_daily", CUBES["category_daily"])
     return views.view_categories(staged, START, END)
 
 
@@ -155,10 +156,10 @@ def view_heatmap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def view_heatmap_allocated(spark: SparkSession, folder: str) -> DataFrame:
-    facts = cube_plans.stored_facts(between_days(_clicks(spark, folder), CLICK_START, CLICK_END))
+    bought = cube_plans.stored_purchases(between_days(_clicks(spark, folder), CLICK_START, CLICK_END))
     return views.view_heatmap_allocated(
-        heatmap.heatmap_daily_cube(facts),
-        categories.category_daily_cube(facts),
+        heatmap.heatmap_daily_cube(bought),
+        categories.category_daily_cube(bought),
         CLICK_START,
         CLICK_END,
         CLICK_CATEGORY,
@@ -166,9 +167,9 @@ def view_heatmap_allocated(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def view_allocation(spark: SparkSession, folder: str) -> DataFrame:
-    facts = cube_plans.stored_facts(_ranged(spark, folder))
+    bought = cube_plans.stored_purchases(_ranged(spark, folder))
     return views.view_allocation(
-        series.daily_cube(facts), categories.category_daily_cube(facts), START, END, CATEGORY
+        series.daily_cube(bought), categories.category_daily_cube(bought), START, END, CATEGORY
     )
 
 
@@ -194,8 +195,8 @@ def view_buyers_approx(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def daily_signals(spark: SparkSession, folder: str) -> DataFrame:
-    facts = cube_plans.stored_facts(_clicks(spark, folder))
-    return views.daily_signals(series.daily_cube(facts), heatmap.peak_window(heatmap.heatmap_cube(facts)))
+    bought = cube_plans.stored_purchases(_clicks(spark, folder))
+    return views.daily_signals(series.daily_cube(bought), heatmap.peak_window(heatmap.heatmap_cube(bought)))
 
 
 def promotion_performance(spark: SparkSession, folder: str) -> DataFrame:
@@ -324,12 +325,12 @@ def document_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 def insights(spark: SparkSession, folder: str) -> DataFrame:
     events = tables.click_events(spark, folder)
-    facts = cube_plans.stored_facts(_clicks(spark, folder))
+    bought = cube_plans.stored_purchases(_clicks(spark, folder))
     return snapshot.insights(
         products.pareto_summary(products.products_from(_clicks(spark, folder))),
-        heatmap.peak_window(heatmap.heatmap_cube(facts)),
+        heatmap.peak_window(heatmap.heatmap_cube(bought)),
         funnel.funnel(funnel.event_counts(events)),
-        categories.category_summary(categories.category_cube(facts)),
+        categories.category_summary(categories.category_cube(bought)),
         funnel.capabilities(events),
     )
 

@@ -21,7 +21,7 @@ CHURN_LIST = 25
 RFM_LIST = 100
 
 
-def user_cube(purchases: DataFrame, first: str = "event_time", last: str = "event_time") -> DataFrame:
+def user_cube(purchases: DataFrame) -> DataFrame:
     """Revenue, distinct orders, first and last purchase per buyer.
 
     A buyer's rows are reduced to (buyer, order) before they meet.
@@ -29,8 +29,8 @@ def user_cube(purchases: DataFrame, first: str = "event_time", last: str = "even
     return purchases.groupBy("user_id").agg(
         F.sum("revenue_e4").alias("revenue_e4"),
         F.count_distinct("order_id").alias("orders"),
-        F.min(first).alias("first_seen"),
-        F.max(last).alias("last_seen"),
+        F.min("event_time").alias("first_seen"),
+        F.max("event_time").alias("last_seen"),
     )
 
 

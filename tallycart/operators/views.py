@@ -148,9 +148,11 @@ def view_kpis(
     )
 
     def pick(filtered: Column, name: str) -> Column:
-        return F.when(F.col("is_filtered"), filtered).otherwise(totals.select(name).scalar()).alias(name)
+        return F.when(F.col("is_filtered"), filtered).otherwise(F.col(f"whole.{name}")).alias(name)
 
-    return sums.withColumn("is_filtered", flag).select(
+    # one struct, so that the totals are computed once and not per figure
+    whole = totals.select(F.struct(*totals.columns)).scalar()
+    return sums.withColumn("is_filtered", flag).withColumn("whole", whole).select(
         "is_filtered",
         pick(_scaled(F.col("revenue_e4") / F.lit(10_000.0), share), "total_revenue"),
         pick(F.floor(F.col("orders") * share + F.lit(0.5)), "total_orders"),

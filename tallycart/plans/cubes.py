@@ -1,13 +1,19 @@
-"""The aggregate tables, built from one pass over the purchases.
+"""The aggregate tables, built from two passes over the events.
 
-Purchases are reduced once to (day, hour, category, buyer, order) and written
-to the shared scratch folder. Every cube is then a small aggregation of that
-narrow table instead of another pass over the events. Distinct orders and
-buyers stay exact because both ids are part of the reduced key.
+One pass counts events and sessions of every type. The other writes the
+purchases as a narrow table to the shared scratch folder; every cube is then
+an aggregation of that table instead of another pass over the events. The
+write is rebalanced by order: purchases are few among events, so writing them
+as they are scanned would leave one tiny file per input split, and rows of one
+order lying together shrink before the next shuffle. Rebalancing splits a hot
+order over several tasks.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,57 +24,82 @@ from ..schema import CUBES
 from ..sources.files import read_or_empty
 from ..sources.scratch import materialize
 
-DAY_TABLES = ("daily", "category_daily", "heatmap_daily")
+# Day tables are stored in day order, so file statistics prune a date range.
+# Only the day by category table can grow enough to be worth month folders.
+DAY_TABLES = ("daily", "heatmap_daily")
+MONTH_TABLES = ("category_daily",)
 
 
-def purchase_facts(purchases: DataFrame) -> DataFrame:
-    return purchases.groupBy("event_date", "hour", "category", "user_id", "order_id").agg(
-        F.sum("revenue_e4").alias("revenue_e4"),
-        F.min("event_time").alias("first_time"),
-        F.max("event_time").alias("last_time"),
+def stored_purchases(purchases: DataFrame) -> DataFrame:
+    """The purchases written once, narrow and in well-sized files."""
+    narrow = purchases.select(
+        "event_time",
+        "event_date",
+        "hour",
+        "user_id",
+        "order_id",
+        "product_id",
+        "category_code",
+        "category",
+        "quantity",
+        "revenue_e4",
     )
+    return materialize(narrow.hint("rebalance", "order_id"), "purchases")
 
 
-def stored_facts(purchases: DataFrame) -> DataFrame:
-    return materialize(purchase_facts(purchases), "facts")
+def stored_sessions(events: DataFrame) -> DataFrame:
+    """Event counts per type and session, written once."""
+    per_session = events.groupBy("event_type", "order_id").agg(F.count(F.lit(1)).alias("count"))
+    return materialize(per_session, "sessions")
 
 
 def build_cubes(events: DataFrame) -> dict[str, DataFrame]:
     """All cubes of canonical events, by name."""
-    purchases = purchases_of(events)
-    facts = stored_facts(purchases)
+    with ThreadPoolExecutor(2) as pool:
+        submit = inheritable_thread_target(events.sparkSession)
+        waiting = pool.submit(submit(stored_sessions), events)
+        bought = pool.submit(submit(stored_purchases), purchases_of(events)).result()
+        sessions = waiting.result()
     return {
-        "event_counts": funnel.event_counts(events),
-        "capabilities": funnel.capabilities(events),
-        "totals": kpi.purchase_totals(facts),
-        "daily": series.daily_cube(facts),
-        "monthly": series.monthly_cube(facts),
-        "users": customers.user_cube(facts, "first_time", "last_time"),
-        "categories": categories.category_cube(facts),
-        "category_daily": categories.category_daily_cube(facts),
-        "heatmap": heatmap.heatmap_cube(facts),
-        "heatmap_daily": heatmap.heatmap_daily_cube(facts),
-        "products": products.product_cube(purchases),
+        "event_counts": sessions.groupBy("event_type").agg(F.sum("count").alias("count")),
+        "capabilities": funnel.capabilities(sessions),
+        "totals": kpi.purchase_totals(bought),
+        "daily": series.daily_cube(bought),
+        "monthly": series.monthly_cube(bought),
+        "users": customers.user_cube(bought),
+        "categories": categories.category_cube(bought),
+        "category_daily": categories.category_daily_cube(bought),
+        "heatmap": heatmap.heatmap_cube(bought),
+        "heatmap_daily": heatmap.heatmap_daily_cube(bought),
+        "products": products.product_cube(bought),
     }
 
 
-def write_cubes(cubes: dict[str, DataFrame], folder: str) -> None:
-    """One Parquet table per cube under ``folder``; day tables are partitioned by month."""
-    for name, cube in cubes.items():
-        if name in DAY_TABLES:
-            staged = cube.withColumn("month", month_text("event_date")).hint("rebalance", "month")
-            staged.write.mode("overwrite").partitionBy("month").parquet(f"{folder}/{name}")
+def write_cubes(cubes: dict[str, DataFrame], folder: str, at_once: int = 4) -> None:
+    """One Parquet table per cube under ``folder``.
+
+    Cubes are small, so a few are written at the same time.
+    """
+
+    def write(name: str) -> None:
+        cube, path = cubes[name], f"{folder}/{name}"
+        if name in MONTH_TABLES:
+            by_month = cube.withColumn("month", month_text("event_date")).hint("rebalance", "month")
+            by_month.write.mode("overwrite").partitionBy("month").parquet(path)
+        elif name in DAY_TABLES:
+            # one row per calendar day, or per hour of one: a single sorted file
+            cube.repartition(1).sortWithinPartitions("event_date").write.mode("overwrite").parquet(path)
         else:
-            cube.write.mode("overwrite").parquet(f"{folder}/{name}")
+            cube.write.mode("overwrite").parquet(path)
+
+    spark = next(iter(cubes.values())).sparkSession
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), cubes))
 
 
 def read_cubes(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The staged cubes; a missing table reads as empty where its schema is declared."""
     tables = {name: read_or_empty(spark, f"{folder}/{name}", schema) for name, schema in CUBES.items()}
-    for name in DAY_TABLES:
-        if tables[name].isEmpty():
-            continue
-        tables[name] = spark.read.parquet(f"{folder}/{name}").withColumn("month", F.col("month").cast("string"))
     for name in ("totals", "capabilities", "products", "users"):
         tables[name] = spark.read.parquet(f"{folder}/{name}")
     return tables

@@ -38,21 +38,15 @@ _CATEGORY = T.StructField("category", T.StringType())
 _WEEKDAY = T.StructField("weekday", T.IntegerType())
 _HOUR = T.StructField("hour", T.IntegerType())
 
-# Aggregate tables as staged on disk, by name.
+# Aggregate tables as staged on disk, by name. The user and product tables keep
+# the source's own timestamp type and are read with their stored schema.
 CUBES = {
     "daily": T.StructType([_DAY, _REVENUE, _ORDERS, _BUYERS]),
     "monthly": T.StructType([T.StructField("month", T.DateType()), _REVENUE, _ORDERS, _BUYERS]),
-    "users": T.StructType(
-        [
-            T.StructField("user_id", T.LongType()),
-            _REVENUE,
-            _ORDERS,
-            T.StructField("first_seen", T.TimestampType()),
-            T.StructField("last_seen", T.TimestampType()),
-        ]
-    ),
     "categories": T.StructType([_CATEGORY, _REVENUE, _ORDERS, _BUYERS]),
-    "category_daily": T.StructType([_DAY, _CATEGORY, _REVENUE, _ORDERS, _BUYERS]),
+    "category_daily": T.StructType(
+        [_DAY, _CATEGORY, _REVENUE, _ORDERS, _BUYERS, T.StructField("month", T.StringType())]
+    ),
     "heatmap": T.StructType([_WEEKDAY, _HOUR, _REVENUE, _ORDERS]),
     "heatmap_daily": T.StructType([_DAY, _WEEKDAY, _HOUR, _REVENUE, _ORDERS]),
     "event_counts": T.StructType(

@@ -58,10 +58,12 @@ def sales(spark: SparkSession, folder: str, with_part: bool = True) -> DataFrame
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     code, brand = F.lit(None).cast("string"), F.lit(None).cast("string")
     if with_part:
-        parts = spark.read.parquet(f"{folder}/part.parquet").select("p_partkey", "p_type", "p_brand")
+        # the code is spelled out per part, before the join, not per line
+        parts = spark.read.parquet(f"{folder}/part.parquet").select(
+            "p_partkey", "p_brand", F.concat(F.lower("p_type"), F.lit("."), F.col("p_brand")).alias("code")
+        )
         joined = joined.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        code = F.concat(F.lower("p_type"), F.lit("."), F.col("p_brand"))
-        brand = F.col("p_brand")
+        code, brand = F.col("code"), F.col("p_brand")
     return joined.select(
         F.col("o_orderdate").alias("event_time"),
         F.lit("purchase").alias("event_type"),
