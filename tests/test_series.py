@@ -55,7 +55,8 @@ def test_monthly_against_previous_present_month(spark):
 def test_month_delta(spark, gaps):
     row = one(series.month_delta(series.daily_cube(gaps)))
     assert (row["current_month"], row["previous_month"]) == ("2019-11", "2019-10")
-    assert row["revenue_pct"] == round((190 - 320) / 320 * 100, 2) and row["revenue_direction"] == "down"
+    assert row["revenue_pct"] == -40.63  # -40.625: ties round away from zero
+    assert row["revenue_direction"] == "down"
     assert row["aov_pct"] == round((190 / 2 - 320 / 8) / (320 / 8) * 100, 2)
 
 
