@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallycart.functions import month_text
@@ -272,8 +272,9 @@ def csv_daily(spark: SparkSession, folder: str) -> DataFrame:
 def conversion_report(spark: SparkSession, folder: str) -> DataFrame:
     """CSV -> Parquet in batches; the file count depends on the tasks, its bound does not."""
     csv = _events_as_csv(spark, folder)
-    parquet = files.csv_to_parquet(spark, [csv], scratch_path(spark, "parquet"), batch_rows=BATCH)
-    report = files.conversion_report(files.read_events_csv(spark, [csv]), parquet, BATCH)
+    seen = Observation("csv")
+    parquet = files.csv_to_parquet(spark, [csv], scratch_path(spark, "parquet"), batch_rows=BATCH, seen=seen)
+    report = files.conversion_report(seen.get["rows"], parquet, BATCH)
     return report.select(
         "csv_rows",
         "parquet_rows",

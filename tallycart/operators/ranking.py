@@ -30,11 +30,13 @@ def with_running(
     order: Sequence[Column],
     value: str | None = None,
     rows_per_task: int | None = None,
+    upto: int | None = None,
 ) -> DataFrame:
     """Add ``row_no`` (1-based) and, for ``value``, ``running`` over ``order``.
 
     ``order`` must end in a unique key. ``table`` is read more than once, so
-    pass a materialized one.
+    pass a materialized one. With ``upto`` only the first rows are returned and
+    ranges behind them are not sorted.
     """
     rows_per_task = rows_per_task or ROWS_PER_TASK
     parts = math.ceil(table.count() / rows_per_task)
@@ -42,7 +44,9 @@ def with_running(
     if parts <= 1:
         one = Window.orderBy(*order)
         out = table.withColumn("row_no", F.row_number().over(one).cast("bigint"))
-        return out.withColumn("running", F.sum(value).over(one.rowsBetween(*up_to_here))) if value else out
+        if value:
+            out = out.withColumn("running", F.sum(value).over(one.rowsBetween(*up_to_here)))
+        return out if upto is None else out.filter(F.col("row_no") <= upto)
 
     ranged = table.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id())
     ranged = materialize(ranged, "ranged")
@@ -56,22 +60,25 @@ def with_running(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
         F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_sum0"),
     )
+    if upto is not None:
+        starts = starts.filter(F.col("_n0") < upto)
     local = Window.partitionBy("_range").orderBy(*order)
-    out = ranged.withColumn("row_no", F.row_number().over(local))
+    out = ranged.join(F.broadcast(starts), "_range")  # at most `parts` rows
+    out = out.withColumn("row_no", F.row_number().over(local) + F.col("_n0"))
     if value:
-        out = out.withColumn("running", F.sum(value).over(local.rowsBetween(*up_to_here)))
-    out = out.join(F.broadcast(starts), "_range")  # at most `parts` rows
-    out = out.withColumn("row_no", F.col("row_no") + F.col("_n0"))
-    if value:
-        out = out.withColumn("running", F.col("running") + F.col("_sum0"))
-    return out.drop("_range", "_n0", "_sum0")
+        out = out.withColumn("running", F.sum(value).over(local.rowsBetween(*up_to_here)) + F.col("_sum0"))
+    out = out.drop("_range", "_n0", "_sum0")
+    return out if upto is None else out.filter(F.col("row_no") <= upto)
 
 
 def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of ``order``; large ``n`` never meets in one task."""
     if n <= TOP_ROWS:
         return df.orderBy(*order).limit(n)
-    return with_running(materialize(df, "capped"), order).filter(F.col("row_no") <= n).drop("row_no")
+    # equal rows get a stored number each, so that even a third of all rows
+    # being alike can be cut into ranges
+    stored = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "capped")
+    return with_running(stored, [*order, F.col("_tie")], upto=n).drop("row_no", "_tie")
 
 
 def bucket_starts(n: int, q: int = 5) -> list[int]:

@@ -1,9 +1,9 @@
 """The nested dashboard document: build, publish, verify, read sections.
 
 A section is a JSON text aggregated on the cluster. Only tables bounded by the
-calendar or by a top-k limit go into the document unasked; the day by category
-table is counted first and, beyond ``INLINE_ROWS``, is left to its own staged
-table, which the document then names.
+calendar or by a top-k limit go into the document unasked; categories, days by
+category and days by hour are counted first and, beyond ``INLINE_ROWS``, are
+left to their staged tables, whose folder the document names.
 """
 
 from __future__ import annotations
@@ -155,7 +155,6 @@ def build_document(
         _part("revenue", "seasonality", _records(r["seasonality"], F.col("day_of_week"))),
         _part("funnel", None, _object(r["funnel"])),
         _part("time_behavior", "heatmap", _records(r["heatmap"], *cell)),
-        _part("time_behavior", "heatmap_daily", _records(r["heatmap_daily"], day, *cell)),
         _part("time_behavior", "peak_window", _object(r["peak_window"])),
         _part("customers", "daily_active_users", _records(dau, day)),
         _part("customers", "top_customers", _records(r["top_customers"], -F.col("customer_revenue"), F.col("user_id"))),
@@ -171,9 +170,13 @@ def build_document(
         _part("products", "pareto", _object(r["pareto"])),
         _part("insights", None, _records(r["insights"], F.col("position"))),
     ]
-    for name, order in (("categories", by_revenue), ("categories_daily", (day, F.col("category")))):
+    for owner, name, order in (
+        ("categories", "categories", by_revenue),
+        ("categories", "categories_daily", (day, F.col("category"))),
+        ("time_behavior", "heatmap_daily", (day, *cell)),
+    ):
         if is_small(r[name], inline_rows):
-            parts.append(_part("categories", name, _records(r[name], *order)))
+            parts.append(_part(owner, name, _records(r[name], *order)))
     if conversion is not None:
         parts.append(_part("conversion", None, _object(conversion)))
 

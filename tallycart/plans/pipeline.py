@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators.clean import between_days, clean_events
 from ..sources.files import (
@@ -17,7 +17,6 @@ from ..sources.files import (
     checked_rows_per_file,
     conversion_report,
     csv_to_parquet,
-    read_events_csv,
 )
 from .cubes import build_cubes, read_cubes, write_cubes
 from .document import build_document, document_summary, publish, read_document, verify
@@ -46,8 +45,9 @@ def run(
     run_id = run_id or new_run_id()
     staging = f"{out}/runs/{run_id}"
     rows_per_file = checked_rows_per_file(rows_per_file)
-    raw = csv_to_parquet(spark, csv_paths, f"{staging}/events", rows_per_file, batch_rows)
-    report = conversion_report(read_events_csv(spark, csv_paths, rows_per_file=rows_per_file), raw, batch_rows)
+    seen = Observation("csv")
+    raw = csv_to_parquet(spark, csv_paths, f"{staging}/events", rows_per_file, batch_rows, seen=seen)
+    report = conversion_report(seen.get["rows"], raw, batch_rows)
     events = between_days(clean_events(raw), start, end)
     write_cubes(build_cubes(events), f"{staging}/cubes")
     cubes = read_cubes(spark, f"{staging}/cubes")

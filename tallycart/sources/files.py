@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
@@ -75,13 +75,21 @@ def csv_to_parquet(
     rows_per_file: int = 0,
     batch_rows: int = BATCH_ROWS,
     schema: StructType = RAW_EVENT,
+    seen: Observation | None = None,
 ) -> DataFrame:
-    """Convert CSV files to Parquet and return the Parquet table."""
-    write_parquet_batches(read_events_csv(spark, paths, schema, rows_per_file), out, batch_rows)
+    """Convert CSV files to Parquet and return the Parquet table.
+
+    ``seen`` receives the number of rows read, counted while they are written
+    rather than by another scan of the CSV.
+    """
+    source = read_events_csv(spark, paths, schema, rows_per_file)
+    if seen is not None:
+        source = source.observe(seen, F.count(F.lit(1)).alias("rows"))
+    write_parquet_batches(source, out, batch_rows)
     return spark.read.schema(schema).parquet(out)
 
 
-def conversion_report(source: DataFrame, parquet: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
+def conversion_report(csv_rows: int | DataFrame, parquet: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """Rows in and out, files written, batches and the fullest file, as one row."""
     per_file = parquet.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
     out = per_file.agg(
@@ -92,8 +100,9 @@ def conversion_report(source: DataFrame, parquet: DataFrame, batch_rows: int = B
     batches = (
         F.ceil(F.col("parquet_rows") / F.lit(batch_rows)) if batch_rows > 0 else F.lit(0)
     ).cast("bigint")
+    read = count_rows(csv_rows).scalar() if isinstance(csv_rows, DataFrame) else F.lit(csv_rows).cast("bigint")
     return out.select(
-        count_rows(source).scalar().alias("csv_rows"),
+        read.alias("csv_rows"),
         "parquet_rows",
         F.lit(batch_rows).cast("bigint").alias("batch_size"),
         "num_parquet_files",

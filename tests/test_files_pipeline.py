@@ -5,6 +5,7 @@ import random
 
 import pytest
 from helpers import dicts, one, raw
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tallycart.operators.clean import clean_events
@@ -57,7 +58,9 @@ def test_cap_bounds():
 
 
 def test_conversion_report(spark, months, tmp_path):
-    parquet = files.csv_to_parquet(spark, months, str(tmp_path / "pq"), batch_rows=120)
+    seen = Observation("csv")
+    parquet = files.csv_to_parquet(spark, months, str(tmp_path / "pq"), batch_rows=120, seen=seen)
+    assert seen.get["rows"] == 500
     row = one(files.conversion_report(files.read_events_csv(spark, months), parquet, 120))
     assert (row["csv_rows"], row["parquet_rows"], row["num_batches"]) == (500, 500, 5)
     assert row["max_rows_in_file"] <= 120 and row["num_parquet_files"] >= 5

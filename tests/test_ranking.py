@@ -32,11 +32,10 @@ def expected(rows, column, n):
     return {r[0]: 1 if n == 1 else max(1, math.ceil(i * q / (n - 1))) for i, r in enumerate(order)}
 
 
-@pytest.mark.parametrize("n", [1, 2, 6, 7, 8, 9, 12, 120])
-@pytest.mark.parametrize("rows_per_task", [None, 5])
+@pytest.mark.parametrize(
+    "n, rows_per_task", [(n, None) for n in (1, 2, 6, 7, 8, 9, 12, 120)] + [(n, 5) for n in (7, 12, 120)]
+)
 def test_quantile_buckets(spark, n, rows_per_task):
-    if rows_per_task and n not in (7, 12, 120):
-        pytest.skip("one range")
     df, rows = people(spark, n)
     out = dicts(quantile_buckets(df, "id", {"qa": F.col("a"), "qb": F.col("b")}, 5, rows_per_task))
     assert {r["id"]: r["qa"] for r in out} == expected(rows, 1, n)
@@ -62,3 +61,10 @@ def test_first_rows_both_ways(spark, monkeypatch):
     monkeypatch.setattr("tallycart.operators.ranking.ROWS_PER_TASK", 70)
     many = {r["id"] for r in dicts(first_rows(df, order, 50))}
     assert few == many == {r[0] for r in sorted(rows, key=lambda r: (r[1], r[0]))[:50]}
+
+
+def test_first_rows_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr("tallycart.operators.ranking.TOP_ROWS", 10)
+    monkeypatch.setattr("tallycart.operators.ranking.ROWS_PER_TASK", 30)
+    alike = spark.range(200).select(F.lit(1).alias("a"))
+    assert first_rows(alike, [F.col("a")], 90).count() == 90
