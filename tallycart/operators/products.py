@@ -105,7 +105,8 @@ def product_filter_list(products: DataFrame, names: DataFrame | None = None, n:
         top = top.withColumn("product_name", F.lit(None).cast("string"))
     else:
         wanted = F.broadcast(top.select("product_id"))  # at most n rows
-        top = top.join(F.broadcast(names.join(wanted, "product_id")), "product_id", "left")
+        found = names.join(wanted, "product_id").groupBy("product_id").agg(F.min("product_name").alias("product_name"))
+        top = top.join(F.broadcast(found), "product_id", "left")  # again at most n rows
     return top.select("product_id", product_label("product_name", "product_id").alias("product_name"), "category")
 
 

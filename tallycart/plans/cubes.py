@@ -75,7 +75,7 @@ def build_cubes(events: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def write_cubes(cubes: dict[str, DataFrame], folder: str, at_once: int = 4) -> None:
+def write_cubes(cubes: dict[str, DataFrame], folder: str, at_once: int = 8) -> None:
     """One Parquet table per cube under ``folder``.
 
     Cubes are small, so a few are written at the same time.

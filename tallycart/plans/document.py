@@ -170,6 +170,7 @@ def build_document(
         _part("products", "pareto", _object(r["pareto"])),
         _part("insights", None, _records(r["insights"], F.col("position"))),
     ]
+    left_out = []
     for owner, name, order in (
         ("categories", "categories", by_revenue),
         ("categories", "categories_daily", (day, F.col("category"))),
@@ -177,6 +178,9 @@ def build_document(
     ):
         if is_small(r[name], inline_rows):
             parts.append(_part(owner, name, _records(r[name], *order)))
+        else:
+            left_out.append(name)
+    parts.append(_part("categories", "staged_only", meta.select(F.lit(json.dumps(left_out)).alias("body"))))
     if conversion is not None:
         parts.append(_part("conversion", None, _object(conversion)))
 

@@ -126,8 +126,10 @@ def test_document(spark, cubes, tmp_path):
 
 
 def test_large_category_table_stays_outside(spark, cubes):
-    body = json.loads(one(doc.build_document(cubes, "x", staged_at="/tables", inline_rows=5))["document"])
-    assert "categories_daily" not in body["categories"] and body["meta"]["staged_at"] == "/tables"
+    document = doc.build_document(cubes, "x", staged_at="/tables", inline_rows=2)
+    body = json.loads(one(document)["document"])
+    assert body["categories"] == {"staged_only": ["categories", "categories_daily", "heatmap_daily"]}
+    assert body["meta"]["staged_at"] == "/tables" and dicts(doc.missing_sections(document)) == []
 
 
 def test_missing_section_is_reported(spark, tmp_path):

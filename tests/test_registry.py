@@ -10,6 +10,8 @@ from checks.compare import connection, differences, spark_rows, sql_rows
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, SQL = repo.queries(), repo.oracle_sql()
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
 
 @pytest.fixture(scope="module")
 def db():
@@ -34,6 +36,8 @@ def test_query(spark, db, name):
     if name in SQL:
         expected_names, expected = sql_rows(db, SQL[name])
         assert names == expected_names
+        types = {n: SQL_TYPES[t] for n, t in df.dtypes}
+        assert types == {r[0]: r[1] for r in db.execute("DESCRIBE " + SQL[name]).fetchall()}
         assert differences(rows, expected) == []
 
 
