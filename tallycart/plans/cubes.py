@@ -28,6 +28,9 @@ from ..sources.scratch import materialize
 # Only the day by category table can grow enough to be worth month folders.
 DAY_TABLES = ("daily", "heatmap_daily")
 MONTH_TABLES = ("category_daily",)
+# One file per month; a fixed number of tasks, because adaptive merging would
+# leave a small cube's many folders to a single task.
+MONTH_TASKS = 32
 
 
 def stored_purchases(purchases: DataFrame) -> DataFrame:
@@ -84,7 +87,7 @@ def write_cubes(cubes: dict[str, DataFrame], folder: str, at_once: int = 8) -> N
     def write(name: str) -> None:
         cube, path = cubes[name], f"{folder}/{name}"
         if name in MONTH_TABLES:
-            by_month = cube.withColumn("month", month_text("event_date")).hint("rebalance", "month")
+            by_month = cube.withColumn("month", month_text("event_date")).repartition(MONTH_TASKS, "month")
             by_month.write.mode("overwrite").partitionBy("month").parquet(path)
         elif name in DAY_TABLES:
             # one row per calendar day, or per hour of one: a single sorted file
