@@ -13,10 +13,11 @@ the first pivots are the sets of one shingle:
    ones, as many as a linked pair needs to meet in one (counts over all documents).
 3. *Pivots.* In each region a document is the pivot, and exact distances to it are computed. Links
    join components. A region all of whose points are in one component is done.
-4. *Voronoi recursion.* An open region takes more pivots, four times as many each round. Points of
-   other components are measured against them unless sizes or the triangle inequality over the
-   last pivot exclude it. Each point goes to the cell of its nearest pivot, and into every
-   cell within twice the reach of it (the boundary window); pivots leave; cells recurse.
+4. *Voronoi recursion.* An open region of more than ``LEAF`` points takes more pivots, four times as
+   many each round. Points of other components are measured against them unless sizes or the triangle
+   inequality over the last pivot exclude it. Each point goes to the cell of its nearest
+   pivot, and into every cell within twice the reach of it (the boundary window); pivots leave; cells
+   recurse. Smaller regions compare what components, sizes and that inequality leave.
 
 No window drops a pair within reach, so components are exact (shingles are 64-bit hashes). The order of
 shingles uses counts of a bounded sample (``SAMPLE_DOCS``): it changes how crowded regions are, never
@@ -48,6 +49,9 @@ SAMPLE_DOCS = 2000
 COMMON = 65_536
 #: One more meeting is asked for every so many shingles.
 PER_MEETING = 20
+#: Open regions of so many points are joined pair by pair; larger ones by pivots, at first so many.
+LEAF = 64
+PIVOTS = 16
 #: Up to so many ids (8 bytes each) are broadcast; beyond it they are joined by exchange.
 BROADCAST_IDS = 1_000_000
 
@@ -216,45 +220,72 @@ def _named(members: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _open(members: DataFrame) -> DataFrame:
-    """Members of regions whose points are in several components."""
-    split = members.groupBy("region").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b").select("region")
-    return members.join(split, "region")
+    """Members of regions whose points are in several components, with the region's ``points``."""
+    sizes = members.groupBy("region").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("points"))
+    return members.drop("points").join(sizes.filter("a < b").select("region", "points"), "region")
+
+
+_MEMBER = ("region", "point", "n", "component", "distance", "points")
+#: Over the pivot that both were measured against: |d(x, p) - d(y, p)| <= d(x, y).
+REACH = 1 - SIMILARITY / 100 + 1e-9
+_TRIANGLE = f"coalesce(abs(x.distance - y.distance) <= {REACH}, true)"
+
+
+def _tried(left: DataFrame, right: DataFrame, further: str) -> DataFrame:
+    """Pairs of a region that neither components, sizes nor the triangle inequality settle."""
+    both = left.alias("x").join(right.alias("y"), "region")
+    both = both.filter("x.component <> y.component").filter(further).filter(F.expr(_TRIANGLE) & _near_sizes("x.n", "y.n"))
+    return both.select(F.col("x.point").alias("a"), F.col("y.point").alias("b"))
+
+
+def _cells(paired: DataFrame, known: DataFrame) -> DataFrame:
+    """What is left of the large regions: cells of their pivots, or the region less its pivots.
+
+    A point goes to every cell whose pivot may be the nearest of a neighbour: at most 2 ``REACH`` behind its own
+    nearest one, or not measured. Where cells would hold more than twice the points, the region stays whole.
+    """
+    distances = known.select(F.col("a").alias("point"), F.col("b").alias("pivot"), F.col("distance").alias("to_pivot"))
+    measured = store(paired.join(distances, ["point", "pivot"], "left").select("region", "point", "n", "distance", "points", "pivot", "to_pivot"), "jaccard-measured")
+    nearest = measured.groupBy("region", "point").agg(F.min("to_pivot").alias("nearest"), F.max(F.col("point") == F.col("pivot")).alias("is_pivot")).filter("not is_pivot")
+    reached = measured.join(nearest.drop("is_pivot"), ["region", "point"]).filter(F.coalesce(F.col("to_pivot") <= F.col("nearest") + 2 * REACH, F.lit(True)))
+    crowd = reached.groupBy("region").agg((F.count(F.lit(1)) <= 2 * F.max("points")).alias("cut"))
+    reached = reached.join(crowd, "region")
+    cut = reached.filter("cut").select(F.xxhash64("region", "pivot").alias("region"), "point", "n", F.col("to_pivot").alias("distance"))
+    whole = reached.filter("not cut").select("region", "point", "n", "distance").distinct()
+    return cut.unionByName(whole)
 
 
 def join_regions(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, component) of all points that links join, from regions in which every linked pair meets."""
-    reach = 1 - SIMILARITY / 100 + 1e-9
-    first = members.groupBy("region").agg(F.struct(F.min(F.struct("point", "n")).alias("p")).alias("p")).select("region", F.col("p.p.point").alias("pivot"), F.col("p.p.n").alias("pivot_n"))
-    paired = members.join(first, "region")
-    tried = paired.filter(F.col("point") != F.col("pivot")).filter(_near_sizes("n", "pivot_n"))
-    known = store(similarity_links(tried.select(F.col("point").alias("a"), F.col("pivot").alias("b")).distinct(), sets), "jaccard-distances")
+    first = members.groupBy("region").agg(F.min(F.struct("point", "n")).alias("p")).select("region", F.col("p.point").alias("pivot"), F.col("p.n").alias("pivot_n"))
+    paired = members.join(first, "region").filter("point <> pivot")
+    tried = paired.filter(_near_sizes("n", "pivot_n")).select(F.col("point").alias("a"), F.col("pivot").alias("b")).distinct()
+    known = store(similarity_links(tried, sets), "jaccard-distances")
     links = known.filter("linked").select("a", "b")
     found = store(connected(links), "jaccard-components")
-    left = _open(_named(paired.filter(F.col("point") != F.col("pivot")).select("region", "point", "n", "pivot"), found))
-    distance = known.select(F.col("a").alias("point"), F.col("b").alias("pivot"), "distance")
-    left = store(left.join(distance, ["point", "pivot"], "left").select("region", "point", "n", "component", "distance"), "jaccard-open")
-    many = 4
-    while left.limit(1).count():
-        bucket = F.pmod(F.xxhash64("point"), F.lit(many))
-        chosen = left.groupBy("region", bucket.alias("bucket")).agg(F.min(F.struct("point", "n", "component", "distance")).alias("p"))
-        chosen = chosen.select("region", F.col("p.point").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.component").alias("pivot_component"), F.col("p.distance").alias("pivot_distance"))
-        paired = left.join(chosen, "region")
-        # Over the last pivot: |d(x, p) - d(y, p)| <= d(x, y).
-        near = F.coalesce(F.abs(F.col("distance") - F.col("pivot_distance")) <= reach, F.lit(True))
-        tried = paired.filter(F.col("component") != F.col("pivot_component")).filter(near & _near_sizes("n", "pivot_n"))
-        pairs = tried.select(F.col("point").alias("a"), F.col("pivot").alias("b")).distinct()
-        known = store(similarity_links(pairs, sets), "jaccard-distances")
-        links = links.unionByName(known.filter("linked").select("a", "b"))
-        found = store(connected(links), "jaccard-components")
-        # Cells: nearest measured pivot, and all that may be nearest to a neighbour; unmeasured ones stay possible.
-        measured = paired.join(known.select(F.col("a").alias("point"), F.col("b").alias("pivot"), F.col("distance").alias("to_pivot")), ["point", "pivot"], "left")
-        measured = store(measured.select("region", "point", "n", "pivot", "to_pivot"), "jaccard-measured")
-        nearest = measured.groupBy("region", "point").agg(F.min("to_pivot").alias("nearest"), F.max(F.col("point") == F.col("pivot")).alias("is_pivot"))
-        cells = measured.join(nearest.filter(~F.col("is_pivot")).drop("is_pivot"), ["region", "point"])
-        cells = cells.filter(F.coalesce(F.col("to_pivot") <= F.col("nearest") + 2 * reach, F.lit(True)))
-        cells = cells.select(F.xxhash64("region", "pivot").alias("region"), "point", "n", F.col("to_pivot").alias("distance"))
-        left = store(_open(_named(cells, found)).select("region", "point", "n", "component", "distance"), "jaccard-open")
-        many *= 4
+    left = _named(paired.select("region", "point", "n", "pivot"), found)
+    left = _open(left).join(known.select(F.col("a").alias("point"), F.col("b").alias("pivot"), "distance"), ["point", "pivot"], "left")
+    left = store(left.select(*_MEMBER), "jaccard-open")
+    pivots = PIVOTS
+    while not left.isEmpty():
+        # Small regions: every pair that nothing excludes; at most LEAF for a point.
+        leaves = left.filter(F.col("points") <= LEAF)
+        pairs = _tried(leaves, leaves, "x.point < y.point")
+        # Large ones: pivots against all others.
+        large = left.filter(F.col("points") > LEAF)
+        chosen = large.groupBy("region", F.pmod(F.xxhash64("point"), F.lit(pivots)).alias("bucket")).agg(F.min(F.struct("point", "n", "component", "distance")).alias("p"))
+        chosen = store(chosen.select("region", "p.*"), "jaccard-pivots")
+        pairs = pairs.unionByName(_tried(large, chosen, "true"))
+        known = store(similarity_links(pairs.distinct(), sets), "jaccard-distances")
+        more = known.filter("linked").select("a", "b")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = store(connected(links), "jaccard-components")
+        if chosen.isEmpty():
+            break
+        cells = _cells(large.join(chosen.select("region", F.col("point").alias("pivot")), "region"), known)
+        left = store(_open(_named(cells, found)).select(*_MEMBER), "jaccard-open")
+        pivots *= 4
     return found
 
 

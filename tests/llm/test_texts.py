@@ -1,0 +1,239 @@
+"""Operators on single texts against brute force and against the public libraries."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tallycart.llm import bpe, language, pii, queries, token_files, toxicity
+from tallycart.llm.common import held_out
+
+FOLDER = "/root/testdata/sf0.001"
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+def plain_spans(text):
+    out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out.append(("ip", m.start(), m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 13 <= len(digits) <= 19 and sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0:
+            out.append(("card", m.start(), m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append(("phone", m.start(), m.end()))
+    return out
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="019a.@-+ ()%é", max_size=60))
+def test_pii_base_spans(text):
+    assert [(s.kind, s.start, s.end) for s in pii.find(text) if s.kind in pii.BASE] == plain_spans(text)
+
+
+def test_pii_cases(spark, docs, no_docs):
+    rows = {r["doc_id"]: r for r in pii.span_digests(pii.with_spans(docs)).collect()}
+    assert (rows[8]["n_email"], rows[8]["n_ip"], rows[8]["n_card"], rows[8]["n_phone"]) == (1, 1, 1, 1)
+    assert rows[3]["base_sha256"] == rows[4]["base_sha256"] == hashlib.sha256(b"").hexdigest() and rows[3]["spans"] == ""
+    clean = pii.redact(docs)
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    eight = clean.filter("doc_id = 8").first()
+    assert eight["text"] == "Mail <EMAIL>, tel <PHONE>, card <CARD>, ip <IP> 10.0.0.256" and eight["n_chars"] == len(eight["text"])
+    assert pii.span_digests(pii.with_spans(no_docs)).count() == 0 and pii.redact(no_docs).count() == 0
+
+
+def test_pii_checks_and_context():
+    assert [s.kind for s in pii.find("IBAN GB82 WEST 1234 5698 7654 32")] == ["iban"]
+    assert pii.find("IBAN GB82 WEST 1234 5698 7654 33") == []
+    assert [s.kind for s in pii.find("call (0711) 123456 today")] == ["phone_local"] and pii.find("row (0711) 123456 today") == []
+    high, low = pii.find("ip 1.2.3.4")[0].score, pii.find("version 1.2.3.4")[0].score
+    assert high > pii.find("at 1.2.3.4")[0].score > low
+    assert pii.redacted("a b@c.de f", pii.find("a b@c.de f")) == "a <EMAIL> f"
+
+
+def test_pii_query(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    rows = queries.op1_pii(spark, FOLDER).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        expected = ",".join(f"{k}:{a}:{b}" for k, a, b in plain_spans(texts[r["doc_id"]]))
+        assert r["base_sha256"] == hashlib.sha256(expected.encode()).hexdigest()
+        assert set(filter(None, expected.split(","))) <= set(r["spans"].split(","))
+
+
+@pytest.fixture(scope="module")
+def coders():
+    ranks = bpe.read_ranks(RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return bpe.Encoder(ranks, public_tokenizers.PATTERN), library
+
+
+def test_bpe_equals_library(coders):
+    encoder, library = coders
+    random.seed(3)
+    texts = ["".join(random.choice("abththein éß\n\t 12'sdé  　\x1c\x85½!") for _ in range(random.choice([0, 3, 40, 700]))) for _ in range(400)]
+    texts += ["abth" * 400, "x" * 3000, "ththth" * 50, " ", "", "漢字かな" * 100]
+    ids, counts = encoder.encode(texts)
+    at = 0
+    for text, n in zip(texts, counts):
+        own = ids[at : at + n]
+        assert own.tolist() == library.encode_ordinary(text) and encoder.decode(own) == text.encode()
+        at += n
+
+
+def test_bpe_rows(spark, docs, no_docs, coders):
+    rows = bpe.encoded(docs, RANKS, public_tokenizers.PATTERN)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    found = rows.collect()
+    assert len(found) == docs.count()
+    for r in found:
+        if r["doc_id"] is not None:
+            expected = coders[1].encode_ordinary(texts[r["doc_id"]])
+            assert r["ids"] == expected and r["n_tokens"] == len(expected)
+            assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+            assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, expected)).encode()).hexdigest()
+    back = {r["doc_id"]: r["text"] for r in bpe.decoded(rows, RANKS, public_tokenizers.PATTERN).collect()}
+    assert all(back[i] == t for i, t in texts.items() if i is not None)
+    assert bpe.digests(no_docs, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_token_files(spark, docs, no_docs, tmp_path):
+    library = Tokenizer.from_file(WORDS)
+    for name, frame in (("some", docs), ("none", no_docs)):
+        path = str(tmp_path / name)
+        token_files.write_tokens(frame, WORDS, 2, path)
+        rows = token_files.read_tokens(spark, path)
+        found = sorted(rows.collect(), key=lambda r: (r["start"]))
+        assert len(found) == frame.count()
+        at, last = 0, None
+        texts = {r["doc_id"]: r["text"] or "" for r in frame.collect()}
+        for r in found:
+            assert r["start"] == at and r["n_tokens"] == len(r["ids"]) and r["ids"][-1] == 2
+            assert last is None or r["doc_id"] >= last
+            if r["doc_id"] is not None:
+                assert r["ids"] == [*library.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 2]
+            at, last = at + r["n_tokens"], r["doc_id"]
+        sums = {(r["doc_id"], r["start"]): r["ids_crc32"] for r in token_files.checksums(rows).collect()}
+        assert all(sums[r["doc_id"], r["start"]] == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in r["ids"])) for r in found)
+    counts = token_files.read_tokens(spark, str(tmp_path / "some")).select("doc_id", "n_tokens").filter("doc_id = 8")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "ids" not in plan and "EqualTo(doc_id,8)" in plan
+
+
+def test_language_cases(spark, docs, no_docs):
+    model = language.fit(docs.filter("lang in ('en', 'xx')"))
+    rows = {r["doc_id"]: r for r in language.predict(docs, model).collect() if r["doc_id"]}
+    assert model.languages == ["en", "xx"]
+    assert rows[1]["lang_pred"] == "en" and rows[10]["lang_pred"] == "xx"
+    assert all(rows[i]["lang_pred"] == "und" and rows[i]["score"] == 0 for i in (3, 4, 5, 14))
+    assert all(0 <= r["score"] <= 1 for r in rows.values())
+    nothing = language.fit(no_docs)
+    assert {(r["lang_pred"], r["score"]) for r in language.predict(docs, nothing).collect()} == {("und", 0.0)}
+    assert language.predict(no_docs, model).count() == 0
+
+
+def test_code_lengths_are_those_of_ppm():
+    """Against a tree of dictionaries that walks down by escapes."""
+    import math
+
+    import numpy as np
+
+    texts = {"a": "abracadabra abra", "b": "banana bandana abba"}
+    contexts = {lang: {} for lang in texts}
+    counts = []
+    for lang, text in texts.items():
+        data = text.encode()
+        found = {}
+        for i, symbol in enumerate(data):
+            window = (bytes(5) + data[: i + 1])[-5:]
+            found[window] = found.get(window, 0) + 1
+            for k in range(5):
+                contexts[lang].setdefault((k, window[4 - k : 4]), {}).setdefault(symbol, 0)
+                contexts[lang][k, window[4 - k : 4]][symbol] += 1
+        counts += [(lang, int.from_bytes(w, "big"), n) for w, n in found.items()]
+
+    def cost(lang, window, k):
+        if k < 0:
+            return 8 * 65536
+        seen = contexts[lang].get((k, window[4 - k : 4]))
+        if not seen:
+            return cost(lang, window, k - 1)
+        total, distinct = sum(seen.values()), len(seen)
+        if window[4] in seen:
+            return round(-math.log2(seen[window[4]] / (total + distinct)) * 65536)
+        return round(-math.log2(distinct / (total + distinct)) * 65536) + cost(lang, window, k - 1)
+
+    model = language.Model(counts)
+    tested = ["bandana", "", "cabra", "zzz abra", "a"]
+    raw = "".join(tested).encode()
+    ends = np.cumsum([0, *map(len, tested)])
+    lengths = model.lengths(np.frombuffer(raw, np.uint8), ends)
+    whole = language.BLOCK
+    language.BLOCK = 3
+    assert (model.lengths(np.frombuffer(raw, np.uint8), ends) == lengths).all()
+    language.BLOCK = whole
+    for text, row in zip(tested, lengths):
+        data = text.encode()
+        for lang, length in zip(model.languages, row):
+            assert length == sum(cost(lang, (bytes(5) + data[: i + 1])[-5:], 4) for i in range(len(data)))
+
+
+def test_language_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = queries.op7_language(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) == docs.count() and all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    tested = [r for r in rows if r["held_out"] and r["lang"]]
+    assert sum(r["lang"] == r["lang_pred"] for r in tested) >= 0.97 * len(tested)
+
+
+def test_toxicity_held_out(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = queries.op9_toxicity(spark, folder).join(labels, "doc_id").filter("held_out").collect()
+    caught = [r["predicted"] for r in rows if r["toxic"] == 1]
+    wrong = [r["predicted"] for r in rows if r["toxic"] == 0]
+    assert sum(caught) >= 0.85 * len(caught) and sum(wrong) <= 0.01 * len(wrong)
+
+
+def test_counterfactuals_make_mentions_neutral():
+    """A group named only in toxic texts must not make a neutral mention toxic."""
+    rows = [(1, ["you", "idiot", "muslim", f"n{i}"]) for i in range(20)] + [(1, ["stupid", "muslim", f"m{i}"]) for i in range(20)]
+    rows += [(0, ["a", "christian", "walked", f"k{i}"]) for i in range(40)]
+    fair = toxicity.train(rows)
+    keep, toxicity.FAIRNESS = toxicity.FAIRNESS, 0.0
+    plain = toxicity.train(rows)
+    toxicity.FAIRNESS = keep
+    gap = lambda m: abs(m.word("muslim") - m.word("christian"))
+    assert gap(fair) < 0.25 * gap(plain)
+    assert fair.score("the muslim walked") < 0.7 < fair.score("you idiot stupid")
+
+
+def test_toxicity_cases(spark, docs, no_docs):
+    labels = spark.createDataFrame([(1, 0, 1), (2, 0, 1), (6, 1, 0), (None, 1, 1), (7, 1, None), (4, 0, 0)], "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    rows = toxicity.scored(docs, model).collect()
+    assert len(rows) == docs.count() and all(0 <= r["score"] <= 1 for r in rows)
+    kept = toxicity.accepted(docs, model, 2.0)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+    one = toxicity.fit(docs, labels.filter("toxic = 0"))
+    assert all(r["score"] < 1e-6 for r in toxicity.scored(docs, one).collect())
+    empty = toxicity.fit(no_docs, labels.limit(0))
+    assert toxicity.scored(docs, empty).agg(F.max("score")).first()[0] < 0.7 and toxicity.accepted(no_docs, model).count() == 0
+
+
+def test_fold(spark):
+    row = spark.createDataFrame([(i,) for i in (*range(50), None)], "doc_id bigint").select("doc_id", held_out(F.col("doc_id")).alias("h")).collect()
+    assert all(r["h"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in row)
