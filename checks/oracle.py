@@ -9,6 +9,8 @@ from .queries import (
     CLICK_END,
     CLICK_START,
     END,
+    FILE_ROWS,
+    PRODUCT_ID,
     ROW_CAP,
     START,
     TRAILING_DAYS,
@@ -277,6 +279,7 @@ def _snapshot() -> str:
         ],
         _metric("returning_customers_pct", "CASE WHEN count(*) > 0 THEN 100 ELSE 0 END", "g"),
         _metric("churn_list", "least(count(*) FILTER (recency >= 21), 25)", "g"),
+        _metric("churn_candidates", "count(*) FILTER (recency >= 21)", "g"),
         _metric("category_revenue", money("rev"), top_c, "category"),
         _metric("category_orders", "orders", top_c, "category"),
         _metric("product_revenue", money("rev"), top_p, "CAST(product_id AS VARCHAR)"),
@@ -291,6 +294,63 @@ def _snapshot() -> str:
     return CLICKS + DAILY + CATS + CELLS + RFM + PRODUCTS + STEPS.format(source="ev") + " " + " UNION ALL ".join(rows)
 
 
+NEW_VS_RETURNING = (
+    CLICKS
+    + """, fd AS (SELECT user_id, min(day) AS first_day FROM ev GROUP BY 1)
+SELECT event_date, count(DISTINCT ev.user_id) AS active_users, count(DISTINCT ev.user_id) FILTER (day = first_day) AS new,
+  count(DISTINCT ev.user_id) FILTER (day > first_day) AS returning FROM ev JOIN fd ON ev.user_id = fd.user_id"""
+)
+
+
+def _filtered_snapshot() -> str:
+    """The snapshot of a click range and category: additive figures scaled by the category's share."""
+    where = CLICK_RANGE
+    fun = "(" + FUNNEL.format(**{s: f"CAST(floor({s} * (SELECT share FROM sh) + 0.5) AS BIGINT)" for s in "vcb"}) + ")"
+    top_c = f"(SELECT category, {money('sum(rev)')} AS revenue, sum(orders) AS orders FROM cd WHERE {where} AND category <> '' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5)"
+    top_p = f"(SELECT * FROM ps WHERE category = '{CLICK_CATEGORY}' ORDER BY rev DESC, product_id LIMIT 5)"
+    peak = "(SELECT * FROM hs ORDER BY orders DESC, rev DESC, weekday, hour LIMIT 1)"
+    seg = f"({SEGMENTS})"
+    delta = "(" + MONTH_DELTA.split("\n", 1)[1] + ")"
+    rows = [
+        _metric("total_revenue", r(_units("rev") + " * share"), "w, sh"),
+        _metric("total_orders", "floor(orders * share + 0.5)", "w, sh"),
+        _metric("average_order_value", r("rev / orders"), "w"),
+        _metric("daily_active_users_avg", r("buyers * share / days"), "w, sh"),
+        _metric("conversion_rate_pct", pct("b", "c", "0"), "f"),
+        _metric("returning_customers_pct", "CASE WHEN count(*) > 0 THEN 100 ELSE 0 END", "g"),
+        _metric("churn_list", "least(count(*) FILTER (recency >= 21), 25)", "g"),
+        _metric("churn_candidates", "count(*) FILTER (recency >= 21)", "g"),
+        _metric("month_revenue_pct", "revenue_pct", delta, "current_month"),
+        _metric("month_orders_pct", "orders_pct", delta, "current_month"),
+        _metric("month_buyers_pct", "buyers_pct", delta, "current_month"),
+        _metric("category_revenue", "revenue", top_c, "category"),
+        _metric("category_orders", "orders", top_c, "category"),
+        _metric("product_revenue", money("rev"), top_p, "CAST(product_id AS VARCHAR)"),
+        *[_metric(k, k, fun) for k in ("view", "cart", "purchase", "view_to_cart_pct", "cart_to_purchase_pct")],
+        _metric("segment_customers", "customers", seg, "segment"),
+        _metric("segment_revenue", "revenue", seg, "segment"),
+        _metric("peak_weekday", "weekday", peak),
+        _metric("peak_hour", "hour", peak),
+        _metric("peak_orders", "orders", peak),
+        _metric("peak_revenue", money("rev"), peak),
+    ]
+    return (
+        CLICKS
+        + DAILY
+        + CAT_DAYS
+        + RFM
+        + PRODUCTS
+        + STEPS.format(source="ev")
+        + _share(where, CLICK_CATEGORY)
+        + ADDITIVE.replace("FROM d ", f"FROM d WHERE {where} ")
+        + MONTH_DELTA.split("\n", 1)[0]
+        + f""", w AS (SELECT sum(rev) AS rev, sum(orders) AS orders, sum(buyers) AS buyers, count(*) AS days FROM d WHERE {where}),
+hd AS (SELECT day, weekday, hour, sum(revenue) AS rev, count(DISTINCT order_id) AS orders FROM p WHERE {where} GROUP BY ALL),
+hs AS (SELECT weekday, hour, sum(rev) AS rev, sum(orders) AS orders FROM hd GROUP BY ALL) """
+        + " UNION ALL ".join(rows)
+    )
+
+
 def _kpis_body() -> str:
     return f"""SELECT {money('t.rev')} AS total_revenue, t.orders AS total_orders,
   {r('CAST(round(t.rev, 2) AS DOUBLE) / t.orders')} AS average_order_value,
@@ -417,17 +477,14 @@ FROM (SELECT * FROM g WHERE recency >= 21 ORDER BY recency DESC, rev DESC, user_
         + RFM
         + f""" SELECT count(*) FILTER (segment IN ('VIP', 'Loyal')) AS vip_loyal, count(*) FILTER (segment = 'At Risk') AS at_risk,
   count(*) AS customers, {pct("count(*) FILTER (segment IN ('VIP', 'Loyal'))", 'count(*)', '0')} AS vip_loyal_pct,
-  CAST(100 AS DOUBLE) AS returning_pct, least(count(*) FILTER (recency >= 21), 25) AS churn_list,
+  CAST(100 AS DOUBLE) AS returning_pct, least(count(*) FILTER (recency >= 21), 25) AS churn_list, count(*) FILTER (recency >= 21) AS churn_candidates,
   {pct("count(*) FILTER (segment = 'At Risk')", 'count(*)', '0')} AS churn_pct,
   (SELECT segment FROM g GROUP BY segment ORDER BY sum(rev) DESC LIMIT 1) AS top_segment, CAST(count(*) AS DOUBLE) AS unique_customers FROM g""",
         "customer_mix": SALES
         + USERS
         + f""" SELECT {pct('count(*) FILTER (orders < 2)', 'count(*)', '0')} AS new_customers_pct,
   {pct('count(*) FILTER (orders >= 2)', 'count(*)', '0')} AS returning_customers_pct FROM u""",
-        "new_vs_returning": CLICKS
-        + """, fd AS (SELECT user_id, min(day) AS first_day FROM ev GROUP BY 1)
-SELECT event_date, count(DISTINCT ev.user_id) AS active_users, count(DISTINCT ev.user_id) FILTER (day = first_day) AS new,
-  count(DISTINCT ev.user_id) FILTER (day > first_day) AS returning FROM ev JOIN fd ON ev.user_id = fd.user_id GROUP BY event_date""",
+        "new_vs_returning": NEW_VS_RETURNING + " GROUP BY event_date",
         "active_users": CLICKS + " SELECT event_date, count(DISTINCT user_id) AS active_users FROM ev GROUP BY 1",
         "top_products_revenue": SALES + PRODUCTS + f" SELECT {FIGURES}, {SHARES} FROM (SELECT * FROM ps ORDER BY rev DESC, product_id LIMIT 10)",
         "top_products_quantity": SALES + PRODUCTS + f" SELECT {FIGURES} FROM (SELECT * FROM ps ORDER BY quantity DESC, product_id LIMIT 10)",
@@ -511,7 +568,39 @@ ORDER BY event_time, user_id, product_id, event_type, revenue LIMIT {ROW_CAP})""
         "export_daily_csv": SALES + DAILY + f' SELECT event_date AS "Date", {money("rev")} AS "Revenue", orders AS "Orders", buyers AS "Buyers" FROM d',
         "incremental_refresh": CLICKS + ' SELECT event_type, count(*) AS "count" FROM ev GROUP BY 1',
         "section_revenue": SALES + DAILY + f" SELECT * FROM ({DAILY_REPORT}) WHERE event_date BETWEEN '{START}' AND '{END}'",
-        "section_products": SALES + PRODUCTS + f" SELECT {FIGURES}, {SHARES}, {ABC} FROM ps WHERE category = '{CATEGORY}'",
+        "section_products": SALES
+        + PRODUCTS
+        + f" SELECT {FIGURES}, {SHARES} FROM ps WHERE category = '{CATEGORY}' AND (run - rev) * 100 < total * 80",
+        "section_products_top": SALES
+        + PRODUCTS
+        + f""", ch AS (SELECT * REPLACE (sum(rev) OVER (ORDER BY rev DESC, product_id) AS run) FROM ps WHERE category = '{CATEGORY}')
+SELECT {FIGURES}, {SHARES} FROM (SELECT * FROM ch ORDER BY rev DESC, product_id LIMIT 10)""",
+        "section_product_id": SALES + PRODUCTS + f" SELECT {FIGURES} FROM ps WHERE product_id = {PRODUCT_ID}",
+        "section_customers": NEW_VS_RETURNING + f" WHERE {CLICK_RANGE} GROUP BY event_date",
+        "view_new_vs_returning": NEW_VS_RETURNING + f" WHERE {CLICK_RANGE} GROUP BY event_date",
+        "view_snapshot_filtered": _filtered_snapshot(),
+        "view_buyers_approx": SALES
+        + f""" SELECT count(DISTINCT user_id) AS buyers, count(DISTINCT order_id) AS orders, true AS buyers_near, true AS orders_near
+FROM p WHERE {SALE_RANGE}""",
+        "row_cap_files": CLICKS
+        + f""", n AS (SELECT event_type, row_number() OVER (PARTITION BY event_type) AS k FROM ev)
+SELECT event_type, count(*) AS "count" FROM n WHERE k <= {FILE_ROWS} GROUP BY 1""",
+        "empty_table": SALES + DAILY + " SELECT count(*) AS present_rows, CAST(0 AS BIGINT) AS missing_rows FROM d",
+        "document_missing": """SELECT section FROM (VALUES ('filters'), ('dashboard'), ('revenue'), ('categories'), ('time_behavior'), ('customers')) AS t(section)
+WHERE (SELECT count(*) FROM events) > 0""",
+        "document_categories_daily": CLICKS + CAT_DAYS + f" SELECT event_date, category, {money('rev')} AS revenue, orders, buyers FROM cd",
+        "document_heatmap_daily": CLICKS
+        + f""" SELECT event_date, weekday, hour, {money('sum(revenue)')} AS revenue, count(DISTINCT order_id) AS orders FROM p GROUP BY ALL""",
+        "document_republished": CLICKS
+        + f""" SELECT 'tallycart' AS engine, '3' AS generated_at,
+  (SELECT count(*) FROM ev WHERE event_type IN ('view', 'cart', 'purchase')) AS total_events, {money('sum(revenue)')} AS total_revenue,
+  count(DISTINCT order_id) AS total_orders, min(event_date) AS start, max(event_date) AS "end" FROM p""",
+        "document_promotions": CLICKS
+        + PROMOTIONS["clicks"]
+        + f""", x AS (SELECT promotion_id, discount, order_id, user_id, revenue FROM p JOIN promo ON list_contains(cats, category) AND day BETWEEN d0 AND d1),
+a AS (SELECT promotion_id, count(DISTINCT order_id) AS n, sum(revenue) AS rev, count(DISTINCT user_id) AS people FROM x GROUP BY 1)
+SELECT true AS promotions_available, (SELECT {r('avg(discount)')} FROM x) AS avg_discount_pct, promotion_id, coalesce(n, 0) AS orders_generated,
+  coalesce({money('rev')}, 0) AS revenue_generated, coalesce(people, 0) AS total_participants FROM promo LEFT JOIN a USING (promotion_id)""",
         "document_sections": """SELECT section, (SELECT count(*) FROM events) > 0 AS present FROM (VALUES ('meta'), ('filters'), ('dashboard'),
   ('revenue'), ('funnel'), ('categories'), ('time_behavior'), ('customers'), ('segments')) AS t(section)""",
         "document_summary": CLICKS

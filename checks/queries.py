@@ -16,9 +16,10 @@ from tallycart.operators import categories, customers, filters, funnel, heatmap,
 from tallycart.operators.clean import between_days, clean_events, event_report, purchases_of
 from tallycart.plans import cubes as cube_plans
 from tallycart.plans import document, snapshot
+from tallycart.plans import view as view_plans
 from tallycart.schema import CUBES
 from tallycart.sources import files, tables
-from tallycart.sources.scratch import materialize, scratch_path
+from tallycart.sources.scratch import materialize, scratch_path, scratch_scope
 from tallycart.streaming.refresh import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 START, END, CATEGORY = "1997-03-01", "1998-08-31", "economy"
 CLICK_START, CLICK_END, CLICK_CATEGORY = "2024-01-06", "2024-01-21", "cat2"
 ROW_CAP = 4_000
+FILE_ROWS = 300
+PRODUCT_ID = 7
 BATCH = 2_500
 TRAILING_DAYS = 90
 
@@ -110,16 +113,24 @@ def customer_cards(spark: SparkSession, folder: str) -> DataFrame:
     return customers.customer_cards(customers.score_users(users), series.daily_cube(bought))
 
 
+def _staged(spark: SparkSession, cubes: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Cubes written as the pipeline stages them, and read back."""
+    path = scratch_path(spark, "staged")
+    cube_plans.write_cubes(cubes, path)
+    return {n: spark.read.schema(CUBES[n]).parquet(f"{path}/{n}") if n in CUBES else spark.read.parquet(f"{path}/{n}") for n in cubes}
+
+
 def _view_kpis(spark: SparkSession, folder: str, start, end, category) -> DataFrame:
-    bought = cube_plans.stored_purchases(_sales(spark, folder))
-    return views.view_kpis(
-        kpi.purchase_totals(bought),
-        materialize(series.daily_cube(bought), "daily"),
-        materialize(categories.category_daily_cube(bought), "category-daily"),
-        start,
-        end,
-        category,
+    bought = _sales(spark, folder)
+    staged = _staged(
+        spark,
+        {
+            "totals": kpi.purchase_totals(bought),
+            "daily": series.daily_cube(bought),
+            "category_daily": categories.category_daily_cube(bought),
+        },
     )
+    return views.view_kpis(staged["totals"], staged["daily"], staged["category_daily"], start, end, category)
 
 
 def view_kpis(spark: SparkSession, folder: str) -> DataFrame:
@@ -191,7 +202,12 @@ def view_exact_range(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def view_buyers_approx(spark: SparkSession, folder: str) -> DataFrame:
-    return views.estimated_range(views.daily_sketches(_money(spark, folder)), START, END)
+    """Exact buyers and orders of a range, and whether the sketches come within five percent."""
+    bought = between_days(_money(spark, folder), START, END)
+    estimate = views.estimated_range(views.daily_sketches(bought), START, END)
+    exact = views.exact_range(bought)
+    near = lambda name: F.abs(estimate.select(f"{name}_estimate").scalar() - F.col(name)) <= 0.05 * F.col(name)
+    return exact.select("buyers", "orders", near("buyers").alias("buyers_near"), near("orders").alias("orders_near"))
 
 
 def daily_signals(spark: SparkSession, folder: str) -> DataFrame:
@@ -217,12 +233,41 @@ def promotion_discount(spark: SparkSession, folder: str) -> DataFrame:
     return promotions.promotion_discount(_sales(spark, folder), _promotions(spark, SALE_PROMOTIONS))
 
 
+def _section(spark: SparkSession, folder: str, cubes: dict[str, DataFrame], name: str, part: str, **chosen) -> DataFrame:
+    return document.section(_staged(spark, cubes), name, **chosen)[part]
+
+
 def section_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    return filters.filter_rows(series.daily_series(series.daily_cube(_money(spark, folder))), START, END)
+    bought = _money(spark, folder)
+    cubes = {"daily": series.daily_cube(bought), "monthly": series.monthly_cube(bought)}
+    return _section(spark, folder, cubes, "revenue", "daily", start=START, end=END)
+
+
+def _product_section(part: str, **chosen) -> Query:
+    return lambda spark, folder: _section(
+        spark, folder, {"products": products.product_cube(_sales(spark, folder))}, "products", part, **chosen
+    )
+
+
+def section_customers(spark: SparkSession, folder: str) -> DataFrame:
+    events = tables.click_events(spark, folder)
+    bought = _clicks(spark, folder)
+    cubes = {
+        "daily": series.daily_cube(bought),
+        "users": customers.user_cube(bought),
+        "user_days": customers.user_day_cube(events),
+    }
+    return _section(spark, folder, cubes, "customers", "new_vs_returning", start=CLICK_START, end=CLICK_END)
+
+
+def view_snapshot_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    cubes = _staged_click_cubes(spark, folder)
+    scored = materialize(customers.score_users(cubes["users"]), "scored")
+    return view_plans.view_snapshot(cubes, scored, CLICK_START, CLICK_END, CLICK_CATEGORY)
 
 
-def section_products(spark: SparkSession, folder: str) -> DataFrame:
-    return filters.filter_rows(products.product_abc(_products(spark, folder)), category=CATEGORY)
+def view_new_vs_returning(spark: SparkSession, folder: str) -> DataFrame:
+    return view_plans.view(_staged_click_cubes(spark, folder), CLICK_END, CLICK_START)["new_vs_returning"]
 
 
 def product_filter_list(spark: SparkSession, folder: str) -> DataFrame:
@@ -234,6 +279,22 @@ def row_cap(spark: SparkSession, folder: str) -> DataFrame:
     return event_report(clean_events(files.cap_rows(tables.clicks(spark, folder), ROW_CAP)))
 
 
+def row_cap_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The earliest rows of every file of a folder of one file per event type."""
+    path = scratch_path(spark, "csv-files")
+    _events_text(spark, folder).withColumn("kind", F.col("event_type")).repartition(1).write.partitionBy("kind").option("header", True).csv(path)
+    capped = files.read_events_csv(spark, [f"{path}/*"], rows_per_file=FILE_ROWS)
+    return funnel.event_counts(clean_events(capped))
+
+
+def empty_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A staged table that is not there beside one that is, as row counts."""
+    staged = _staged(spark, {"daily": series.daily_cube(_money(spark, folder))})
+    missing = files.read_or_empty(spark, scratch_path(spark, "no-such-table"), CUBES["daily"])
+    counts = staged["daily"].agg(F.count(F.lit(1)).alias("present_rows"))
+    return counts.select("present_rows", missing.agg(F.count(F.lit(1))).scalar().alias("missing_rows"))
+
+
 def source_rows(spark: SparkSession, folder: str) -> DataFrame:
     return files.count_rows(tables.clicks(spark, folder))
 
@@ -244,11 +305,9 @@ def union_monthly(spark: SparkSession, folder: str) -> DataFrame:
     return series.monthly_summary(series.monthly_cube(purchases_of(clean_events(both))))
 
 
-def _events_as_csv(spark: SparkSession, folder: str) -> str:
-    """The click events written as CSV in the layout of the event files."""
-    path = scratch_path(spark, "csv")
-    raw = tables.clicks(spark, folder)
-    text = raw.select(
+def _events_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The click events in the layout of the event files."""
+    return tables.clicks(spark, folder).select(
         F.date_format("event_time", "yyyy-MM-dd HH:mm:ss 'UTC'").alias("event_time"),
         "event_type",
         "product_id",
@@ -259,7 +318,11 @@ def _events_as_csv(spark: SparkSession, folder: str) -> str:
         "user_id",
         "user_session",
     )
-    text.write.option("header", True).csv(path)
+
+
+def _events_as_csv(spark: SparkSession, folder: str) -> str:
+    path = scratch_path(spark, "csv")
+    _events_text(spark, folder).write.option("header", True).csv(path)
     return path
 
 
@@ -304,24 +367,68 @@ def _staged_click_cubes(spark: SparkSession, folder: str) -> dict[str, DataFrame
     return cube_plans.read_cubes(spark, path)
 
 
-def _published(spark: SparkSession, folder: str) -> DataFrame:
-    """Cubes staged, document built and published, newest run read back."""
-    path = scratch_path(spark, "document")
-    cubes = _staged_click_cubes(spark, folder)
-    document.publish(document.build_document(cubes, "2024-02-01T00:00:00Z"), path, "run-1")
-    return document.read_document(spark, path)
+def _publish(spark: SparkSession, folder: str, path: str, run: str, at: str, promoted: DataFrame | None = None) -> str:
+    """Cubes staged and a document published; all but the run is removed again."""
+    with scratch_scope(spark) as scope:
+        events = tables.click_events(spark, folder)
+        cube_plans.write_cubes(cube_plans.build_cubes(events, promoted), f"{scope}/cubes")
+        document.publish(document.build_document(cube_plans.read_cubes(spark, f"{scope}/cubes"), at), path, run)
+    return path
+
+
+def _published(spark: SparkSession, folder: str) -> str:
+    return _publish(spark, folder, scratch_path(spark, "document"), "run-1", "2024-02-01T00:00:00Z")
 
 
 def document_sections(spark: SparkSession, folder: str) -> DataFrame:
-    return document.document_sections(_published(spark, folder))
+    return document.document_sections(document.read_document(spark, _published(spark, folder)))
+
+
+def document_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """Required sections that a published document without some lacks."""
+    path = scratch_path(spark, "document")
+    days = tables.click_events(spark, folder).agg(F.count(F.lit(1)).alias("n"))
+    bare = days.select(F.format_string('{"meta":{"events":%d},"funnel":{},"segments":{}}', "n").alias("document"))
+    document.publish(document.Publication(bare), path, "run-1")
+    return document.missing_sections(document.read_document(spark, path))
 
 
 def document_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return document.document_summary(_published(spark, folder))
+    return document.document_summary(document.read_document(spark, _published(spark, folder)))
 
 
 def document_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return document.document_daily(_published(spark, folder))
+    return document.document_daily(document.read_document(spark, _published(spark, folder)))
+
+
+def document_categories_daily(spark: SparkSession, folder: str) -> DataFrame:
+    return document.read_table(spark, _published(spark, folder), "categories_daily")
+
+
+def document_heatmap_daily(spark: SparkSession, folder: str) -> DataFrame:
+    return document.read_table(spark, _published(spark, folder), "heatmap_daily")
+
+
+def document_republished(spark: SparkSession, folder: str) -> DataFrame:
+    """One run twice, then run-10 after run-9: the summary of the last one, as one row."""
+    path = scratch_path(spark, "document")
+    with scratch_scope(spark) as scope:
+        cube_plans.write_cubes(cube_plans.build_cubes(tables.click_events(spark, folder)), f"{scope}/cubes")
+        cubes = cube_plans.read_cubes(spark, f"{scope}/cubes")
+        for run, at in (("run-9", "1"), ("run-9", "2"), ("run-10", "3")):
+            document.publish(document.build_document(cubes, at), path, run)
+    return document.document_summary(document.read_document(spark, path))
+
+
+def document_promotions(spark: SparkSession, folder: str) -> DataFrame:
+    """Promotion performance parsed back out of a published document, with the computed flag."""
+    path = _publish(spark, folder, scratch_path(spark, "document"), "run-1", "x", _promotions(spark, CLICK_PROMOTIONS))
+    text = document.read_document(spark, path)
+    rows = "array<struct<promotion_id:string,orders_generated:bigint,revenue_generated:double,total_participants:bigint>>"
+    flag = F.get_json_object("document", "$.meta.capabilities.promotions_available").cast("boolean")
+    discount = F.get_json_object("document", "$.promotions.discount.avg_promotion_discount_pct").cast("double")
+    listed = F.inline(F.from_json(F.get_json_object("document", "$.promotions.performance"), rows))
+    return text.select(flag.alias("promotions_available"), discount.alias("avg_discount_pct"), listed)
 
 
 def insights(spark: SparkSession, folder: str) -> DataFrame:
@@ -446,7 +553,19 @@ def queries() -> dict[str, Query]:
         "export_daily_csv": export_daily_csv,
         "incremental_refresh": incremental_refresh,
         "section_revenue": section_revenue,
-        "section_products": section_products,
+        "section_products": _product_section("pareto_products", category=CATEGORY),
+        "section_products_top": _product_section("top_by_revenue", category=CATEGORY),
+        "section_product_id": _product_section("top_by_quantity", product_id=PRODUCT_ID),
+        "section_customers": section_customers,
+        "view_snapshot_filtered": view_snapshot_filtered,
+        "view_new_vs_returning": view_new_vs_returning,
+        "row_cap_files": row_cap_files,
+        "empty_table": empty_table,
+        "document_missing": document_missing,
+        "document_categories_daily": document_categories_daily,
+        "document_heatmap_daily": document_heatmap_daily,
+        "document_republished": document_republished,
+        "document_promotions": document_promotions,
         "document_sections": document_sections,
         "document_summary": document_summary,
         "document_daily": document_daily,

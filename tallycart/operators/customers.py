@@ -135,7 +135,10 @@ def churn_risk(scored: DataFrame, n: int = CHURN_LIST) -> DataFrame:
 
 
 def customer_cards(scored: DataFrame, daily: DataFrame | None = None, churn_list: int = CHURN_LIST) -> DataFrame:
-    """One row from one pass over the segments. The churn list shows at most ``churn_list``."""
+    """One row from one pass over the segments.
+
+    ``churn_list`` is how many the list shows, ``churn_candidates`` how many there are.
+    """
     sums = scored.groupBy("segment").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("revenue_e4").alias("revenue_e4"),
@@ -152,7 +155,7 @@ def customer_cards(scored: DataFrame, daily: DataFrame | None = None, churn_list
         of("At Risk").alias("at_risk"),
         customers.alias("customers"),
         not_new.alias("not_new"),
-        F.least(F.coalesce(F.sum("absent"), F.lit(0)), F.lit(churn_list)).alias("churn_list"),
+        F.coalesce(F.sum("absent"), F.lit(0)).alias("churn_candidates"),
         F.max(F.struct("revenue_e4", "segment")).alias("top"),
     )
     unique = F.col("customers").cast("double")
@@ -164,7 +167,8 @@ def customer_cards(scored: DataFrame, daily: DataFrame | None = None, churn_list
         "customers",
         ratio("vip_loyal", "customers", 100, default=0).alias("vip_loyal_pct"),
         ratio("not_new", "customers", 100, default=0).alias("returning_pct"),
-        "churn_list",
+        F.least("churn_candidates", F.lit(churn_list)).alias("churn_list"),
+        "churn_candidates",
         ratio("at_risk", "customers", 100, default=0).alias("churn_pct"),
         F.col("top.segment").alias("top_segment"),
         unique.alias("unique_customers"),
@@ -188,27 +192,32 @@ def customer_mix(users: DataFrame) -> DataFrame:
     )
 
 
-def new_vs_returning(events: DataFrame) -> DataFrame:
-    """Active users per day, split by whether the day is the user's first.
+def user_day_cube(events: DataFrame) -> DataFrame:
+    """Active users and first-time users per day of all events given.
 
-    Events are first reduced to (user, day), so the window per user holds at
-    most one row per calendar day however many events the user has.
+    Events are reduced to (user, day), then to a first day per user, whose number per day is
+    joined to the number of active users; no window holds a user's days.
     """
     days = events.select("user_id", "event_date").distinct()
-    first = F.min("event_date").over(Window.partitionBy("user_id"))
-    new = F.count_if(F.col("event_date") == F.col("first"))
-    return (
-        days.withColumn("first", first)
-        .groupBy("event_date")
-        .agg(F.count(F.lit(1)).alias("active_users"), new.alias("new"))
-        .select(
-            day_text("event_date").alias("event_date"),
-            "active_users",
-            "new",
-            (F.col("active_users") - F.col("new")).alias("returning"),
-        )
-        .orderBy("event_date")
-    )
+    active = days.groupBy("event_date").agg(F.count(F.lit(1)).alias("active_users"))
+    first = events.groupBy("user_id").agg(F.min("event_date").alias("event_date"))
+    new = first.groupBy("event_date").agg(F.count(F.lit(1)).alias("new"))
+    return active.join(new, "event_date", "left").select("event_date", "active_users", F.coalesce("new", F.lit(0)).alias("new"))
+
+
+def new_vs_returning_report(user_days: DataFrame) -> DataFrame:
+    """Days of ``user_day_cube``; a range of them keeps what "new" means in the whole data."""
+    return user_days.select(
+        day_text("event_date").alias("event_date"),
+        "active_users",
+        "new",
+        (F.col("active_users") - F.col("new")).alias("returning"),
+    ).orderBy("event_date")
+
+
+def new_vs_returning(events: DataFrame) -> DataFrame:
+    """Active users per day, split by whether the day is the user's first."""
+    return new_vs_returning_report(user_day_cube(events))
 
 
 def active_users(events: DataFrame) -> DataFrame:

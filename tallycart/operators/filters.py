@@ -13,13 +13,21 @@ def ordered_range(start: str | None, end: str | None) -> tuple[str | None, str |
     return start, end
 
 
-def _month_bounds(df: DataFrame, start: str | None, end: str | None, date_col: str) -> DataFrame:
-    """Also bound the ``month`` partition of a staged day table, so that it is pruned."""
+def _month_bounds(
+    df: DataFrame, start: str | None, end: str | None, date_col: str, missing_passes_start: bool
+) -> DataFrame:
+    """Also bound the ``month`` partition of a staged day table, so that it is pruned.
+
+    Rows without a day lie in the partition without a month; it is read where the
+    day test lets them pass.
+    """
     staged = date_col == "event_date" and "month" in df.columns and dict(df.dtypes)["month"] == "string"
+    missing = F.col("month").isNull() if staged else None
     if staged and start:
-        df = df.filter(F.col("month") >= start[:7])
+        after = F.col("month") >= start[:7]
+        df = df.filter(missing | after if missing_passes_start else after)
     if staged and end:
-        df = df.filter(F.col("month") <= end[:7])
+        df = df.filter(missing | (F.col("month") <= end[:7]))
     return df
 
 
@@ -40,7 +48,7 @@ def filter_rows(
     date: it fails a start bound and passes an end bound. A missing product id
     counts as -1."""
     if start or end:
-        df = _month_bounds(df, start, end, date_col)
+        df = _month_bounds(df, start, end, date_col, missing_passes_start=False)
     if start:
         df = df.filter(_text(df, date_col) >= start)
     if end:
@@ -65,7 +73,7 @@ def filter_view(
     date_col = next((c for c in ("event_date", "date", "month") if c in df.columns), None)
     if date_col:
         if start or end:
-            df = _month_bounds(df, start, end, date_col)
+            df = _month_bounds(df, start, end, date_col, missing_passes_start=True)
         missing = F.col(date_col).isNull()
         if start:
             df = df.filter(missing | (_text(df, date_col) >= start))

@@ -80,8 +80,8 @@ def funnel_steps(funnel_row: DataFrame) -> DataFrame:
     return funnel_row.select(F.inline(rows)).orderBy("step_no")
 
 
-def capabilities(events: DataFrame, promotions_available: bool = False) -> DataFrame:
-    """What the events can answer, and the number of sessions, in one pass."""
+def capabilities(events: DataFrame, promotions: DataFrame | None = None) -> DataFrame:
+    """What the events and the promotion table can answer, and the number of sessions, in one pass."""
 
     def seen(name: str) -> Column:
         return F.coalesce(F.bool_or(F.col("event_type") == name), F.lit(False))
@@ -91,4 +91,12 @@ def capabilities(events: DataFrame, promotions_available: bool = False) -> DataF
         (seen("view") & seen("cart")).alias("funnel_available"),
         seen("view").alias("traffic_events_available"),
         seen("purchase").alias("orders_available"),
-    ).withColumn("promotions_available", F.lit(promotions_available))
+    ).withColumn("promotions_available", _any_valid(promotions))
+
+
+def _any_valid(promotions: DataFrame | None) -> Column:
+    """Scalar: whether a promotion covers a day of a category."""
+    if promotions is None:
+        return F.lit(False)
+    valid = (F.col("start_date") <= F.col("end_date")) & (F.size("categories") > 0)
+    return promotions.agg(F.coalesce(F.bool_or(valid), F.lit(False))).scalar()

@@ -51,3 +51,9 @@ def peak_window(cells: DataFrame) -> DataFrame:
 
 def hourly_pattern(purchases: DataFrame) -> DataFrame:
     return _cells(purchases, "hour").select("hour", money("revenue_e4").alias("revenue"), "orders").orderBy("hour")
+
+
+def hourly_cells(cells: DataFrame) -> DataFrame:
+    """Hours added up from the weekday cells; an order is counted once per weekday."""
+    sums = cells.groupBy("hour").agg(F.sum("revenue_e4").alias("revenue_e4"), F.sum("orders").alias("orders"))
+    return sums.select("hour", money("revenue_e4").alias("revenue"), "orders").orderBy("hour")

@@ -20,21 +20,28 @@ PARETO_PCT = 80
 
 
 def product_cube(purchases: DataFrame) -> DataFrame:
-    """Revenue and units per product, with the category of its latest purchase."""
-    return (
-        purchases.groupBy("product_id")
-        .agg(
-            F.sum("revenue_e4").alias("revenue_e4"),
-            F.sum("quantity").alias("quantity"),
-            F.max(F.struct("event_time", "category_code")).alias("latest"),
-        )
-        .select(
-            "product_id",
-            F.substring_index("latest.category_code", ".", 1).alias("category"),
-            F.col("latest.category_code").alias("category_code"),
-            "revenue_e4",
-            "quantity",
-        )
+    """Revenue and units per product, with the category of its latest purchase.
+
+    Purchases are first reduced per (product, category): sums and a latest time, which
+    a hash aggregate keeps in fixed-size buffers without sorting. Only those
+    few rows per product are compared as (time, category).
+    """
+    reduced = purchases.groupBy("product_id", "category_code").agg(
+        F.sum("revenue_e4").alias("revenue_e4"),
+        F.sum("quantity").alias("quantity"),
+        F.max("event_time").alias("latest"),
+    )
+    rows = reduced.groupBy("product_id").agg(
+        F.sum("revenue_e4").alias("revenue_e4"),
+        F.sum("quantity").alias("quantity"),
+        F.array_max(F.collect_list(F.struct("latest", "category_code"))).alias("latest"),
+    )
+    return rows.select(
+        "product_id",
+        F.substring_index("latest.category_code", ".", 1).alias("category"),
+        F.col("latest.category_code").alias("category_code"),
+        "revenue_e4",
+        "quantity",
     )
 
 
@@ -57,9 +64,12 @@ def _figures(products: DataFrame) -> list:
     ]
 
 
-def top_by_revenue(products: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
-    """Best sellers with share and cumulative share; the window spans ``n`` rows."""
-    total = total_units(products)
+def top_by_revenue(products: DataFrame, n: int = TOP_PRODUCTS, whole: DataFrame | None = None) -> DataFrame:
+    """Best sellers with share and cumulative share; the window spans ``n`` rows.
+
+    Shares are of ``whole``, where ``products`` is a choice of it.
+    """
+    total = total_units(products if whole is None else whole)
     top = products.orderBy(*_by_revenue()).limit(n)
     w = Window.orderBy(*_by_revenue()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return top.withColumn("running", F.sum("revenue_e4").over(w)).select(
@@ -69,7 +79,7 @@ def top_by_revenue(products: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
     )
 
 
-def top_by_quantity(products: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
+def top_by_quantity(products: DataFrame, n: int = TOP_PRODUCTS, whole: DataFrame | None = None) -> DataFrame:
     top = products.orderBy(F.col("quantity").desc(), F.col("product_id").asc_nulls_last()).limit(n)
     return top.select(*_figures(top))
 
@@ -98,6 +108,18 @@ def pareto_summary(products: DataFrame, rows_per_task: int | None = None) -> Dat
     )
 
 
+def pareto_products(products: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+    """The products counted by ``pareto_summary``, with their shares of all revenue, best first."""
+    wide, total = "decimal(28,0)", total_units(products)
+    ordered = with_running(products, _by_revenue(), "revenue_e4", rows_per_task)
+    before = (F.col("running") - F.col("revenue_e4")).cast(wide) * 100
+    return ordered.filter(before < F.coalesce(total, F.lit(0)).cast(wide) * PARETO_PCT).select(
+        *_figures(ordered),
+        ratio("revenue_e4", total, 100).alias("revenue_share_pct"),
+        ratio("running", total, 100).alias("cumulative_share_pct"),
+    )
+
+
 def product_filter_list(products: DataFrame, names: DataFrame | None = None, n: int = FILTER_PRODUCTS) -> DataFrame:
     """Products to choose from: the best sellers with a label."""
     top = products.orderBy(*_by_revenue()).limit(n).select("product_id", "category")

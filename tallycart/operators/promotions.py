@@ -2,9 +2,10 @@
 
 A promotion covers its categories on its days. Promotions are spelled out as
 (category, day) cells, so attribution is an equality join on both columns
-instead of a range join on a hot category. The cells are broadcast only when
-counted to be few; otherwise both sides shuffle and the adaptive skew join
-splits hot cells.
+instead of a range join on a hot category. The first and last promoted day bound
+the purchase time, so the scan skips the rest; cells are joined before anything is
+grouped. No hint stands in the way: adaptive execution broadcasts cells by their
+measured bytes, or shuffles and splits hot cells.
 """
 
 from __future__ import annotations
@@ -13,9 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money, ratio
-from ..sources.scratch import is_small, materialize
-
-BROADCAST_CELLS = 200_000
+from ..sources.scratch import materialize
+from .clean import between_days
 
 
 def promotion_cells(promotions: DataFrame, with_baseline: bool = False) -> DataFrame:
@@ -47,24 +47,31 @@ def promotion_cells(promotions: DataFrame, with_baseline: bool = False) -> DataF
     )
 
 
-def _sized(cells: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(cells) if is_small(cells, max_rows) else cells.hint("merge")
+def promoted_days(purchases: DataFrame, promotions: DataFrame, with_baseline: bool = False) -> DataFrame:
+    """Purchases between the first and the last day any promotion (or its baseline) covers.
+
+    The bounds are one row, read when the plan is built, so that they reach the scan.
+    """
+    length = F.datediff("end_date", "start_date") + 1
+    first = F.date_sub("start_date", length) if with_baseline else F.col("start_date")
+    bounds = promotions.filter("start_date <= end_date").agg(
+        F.min(first).cast("string").alias("first"), F.max("end_date").cast("string").alias("last")
+    )
+    row = bounds.first()
+    return between_days(purchases, row["first"], row["last"]) if row["first"] else purchases.filter(F.lit(False))
 
 
-def promotion_performance(
-    purchases: DataFrame, promotions: DataFrame, broadcast_cells: int = BROADCAST_CELLS
-) -> DataFrame:
+def promotion_performance(purchases: DataFrame, promotions: DataFrame) -> DataFrame:
     """Orders, revenue, participants, repeat buyers and lift per promotion.
 
     Lift compares distinct orders with those of the equally long period just
     before in the same categories; NULL when that period had none.
     """
-    cells = _sized(promotion_cells(promotions, with_baseline=True).drop("discount_pct"), broadcast_cells)
-    orders = purchases.groupBy("category", "event_date", "order_id", "user_id").agg(
-        F.sum("revenue_e4").alias("revenue_e4")
-    )
+    cells = promotion_cells(promotions, with_baseline=True).drop("discount_pct")
+    covered = promoted_days(purchases, promotions, with_baseline=True)
+    covered = covered.select("category", "event_date", "order_id", "user_id", "revenue_e4")
     matched = (
-        orders.join(cells, ["category", "event_date"])
+        covered.join(cells, ["category", "event_date"])
         .groupBy("promotion_id", "user_id", "order_id")
         .agg(
             F.sum(F.when(F.col("active"), F.col("revenue_e4"))).alias("revenue_e4"),
@@ -103,23 +110,19 @@ def promotion_performance(
     )
 
 
-def with_promotion_flag(
-    purchases: DataFrame, promotions: DataFrame, broadcast_cells: int = BROADCAST_CELLS
-) -> DataFrame:
+def with_promotion_flag(purchases: DataFrame, promotions: DataFrame) -> DataFrame:
     """Add ``promoted``: covered by at least one promotion."""
     cells = promotion_cells(promotions).select("category", "event_date").distinct().withColumn("hit", F.lit(True))
-    joined = purchases.join(_sized(cells, broadcast_cells), ["category", "event_date"], "left")
+    joined = purchases.join(cells, ["category", "event_date"], "left")
     return joined.withColumn("promoted", F.coalesce("hit", F.lit(False))).drop("hit")
 
 
-def promotion_share(
-    purchases: DataFrame, promotions: DataFrame, grain: Column, broadcast_cells: int = BROADCAST_CELLS
-) -> DataFrame:
+def promotion_share(purchases: DataFrame, promotions: DataFrame, grain: Column) -> DataFrame:
     """Per ``grain``: percent of orders touched by a promotion and of revenue under one."""
     order = F.when(F.col("promoted"), F.col("order_id"))
     revenue = F.sum(F.when(F.col("promoted"), F.col("revenue_e4")).otherwise(0))
     return (
-        with_promotion_flag(purchases, promotions, broadcast_cells)
+        with_promotion_flag(purchases, promotions)
         .groupBy(grain)
         .agg(
             ratio(F.count_distinct(order), F.count_distinct("order_id"), 100, default=0).alias("promotion_orders_pct"),
@@ -128,12 +131,10 @@ def promotion_share(
     )
 
 
-def promotion_discount(
-    purchases: DataFrame, promotions: DataFrame, broadcast_cells: int = BROADCAST_CELLS
-) -> DataFrame:
+def promotion_discount(purchases: DataFrame, promotions: DataFrame) -> DataFrame:
     """Mean discount over covered purchase events, one row."""
     cells = promotion_cells(promotions).select("category", "event_date", "discount_pct")
-    hits = purchases.select("category", "event_date").join(_sized(cells, broadcast_cells), ["category", "event_date"])
+    hits = promoted_days(purchases, promotions).select("category", "event_date").join(cells, ["category", "event_date"])
     # count per discount first: the mean then adds few numbers in a fixed type
     counted = hits.groupBy("discount_pct").agg(F.count(F.lit(1)).alias("n"))
     units = F.col("discount_pct").cast("decimal(18,4)") * F.col("n")

@@ -21,6 +21,9 @@ def reaggregate(cube: DataFrame, *keys: str) -> DataFrame:
     """Add up a cube's additive columns over fewer keys; missing numbers count as 0."""
     names = [c for c in ("revenue_e4", "orders", "buyers") if c in cube.columns]
     kept = cube.dropna(subset=list(keys))
+    for key in keys:
+        if dict(cube.dtypes)[key] == "string":
+            kept = kept.filter(F.col(key) != "")  # an unnamed key is no key
     return kept.groupBy(*keys).agg(*[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in names])
 
 

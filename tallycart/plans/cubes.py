@@ -16,9 +16,10 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..functions import month_text
-from ..operators import categories, customers, funnel, heatmap, kpi, products, series
+from ..operators import categories, customers, funnel, heatmap, kpi, products, promotions, series
 from ..operators.clean import purchases_of
 from ..schema import CUBES
 from ..sources.files import read_or_empty
@@ -28,9 +29,6 @@ from ..sources.scratch import materialize
 # Only the day by category table can grow enough to be worth month folders.
 DAY_TABLES = ("daily", "heatmap_daily")
 MONTH_TABLES = ("category_daily",)
-# One file per month; a fixed number of tasks, because adaptive merging would
-# leave a small cube's many folders to a single task.
-MONTH_TASKS = 32
 
 
 def stored_purchases(purchases: DataFrame) -> DataFrame:
@@ -56,16 +54,43 @@ def stored_sessions(events: DataFrame) -> DataFrame:
     return materialize(per_session, "sessions")
 
 
-def build_cubes(events: DataFrame) -> dict[str, DataFrame]:
-    """All cubes of canonical events, by name."""
+# What a promotion's share is given by: name of the table and the column over purchases.
+PROMOTION_GRAINS = {
+    "promotion_by_month": lambda: month_text("event_date"),
+    "promotion_by_weekday": lambda: F.dayofweek("event_date"),
+    "promotion_by_hour": lambda: F.col("hour"),
+    "promotion_by_category": lambda: F.col("category"),
+}
+
+
+def promotion_cubes(purchases: DataFrame, promoted: DataFrame) -> dict[str, DataFrame]:
+    """Performance, mean discount and shares per grain, by name."""
+    shares = {
+        name: promotions.promotion_share(purchases, promoted, grain().alias("grain"))
+        for name, grain in PROMOTION_GRAINS.items()
+    }
+    return shares | {
+        "promotion_performance": promotions.promotion_performance(purchases, promoted),
+        "promotion_discount": promotions.promotion_discount(purchases, promoted),
+    }
+
+
+def build_cubes(
+    events: DataFrame, promoted: DataFrame | None = None, product_names: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All cubes of canonical events, by name; with a promotion table also those of promotions."""
     with ThreadPoolExecutor(2) as pool:
         submit = inheritable_thread_target(events.sparkSession)
         waiting = pool.submit(submit(stored_sessions), events)
         bought = pool.submit(submit(stored_purchases), purchases_of(events)).result()
         sessions = waiting.result()
-    return {
+    more = {} if promoted is None else promotion_cubes(bought, promoted)
+    if product_names is not None:
+        more["product_names"] = product_names
+    return more | {
+        "user_days": customers.user_day_cube(events),
         "event_counts": sessions.groupBy("event_type").agg(F.sum("count").alias("count")),
-        "capabilities": funnel.capabilities(sessions),
+        "capabilities": funnel.capabilities(sessions, promoted),
         "totals": kpi.purchase_totals(bought),
         "daily": series.daily_cube(bought),
         "monthly": series.monthly_cube(bought),
@@ -87,7 +112,8 @@ def write_cubes(cubes: dict[str, DataFrame], folder: str, at_once: int = 8) -> N
     def write(name: str) -> None:
         cube, path = cubes[name], f"{folder}/{name}"
         if name in MONTH_TABLES:
-            by_month = cube.withColumn("month", month_text("event_date")).repartition(MONTH_TASKS, "month")
+            # tasks and files follow the bytes: small months share a task, a large one is split
+            by_month = cube.withColumn("month", month_text("event_date")).hint("rebalance", "month")
             by_month.write.mode("overwrite").partitionBy("month").parquet(path)
         elif name in DAY_TABLES:
             # one row per calendar day, or per hour of one: a single sorted file
@@ -105,4 +131,10 @@ def read_cubes(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     tables = {name: read_or_empty(spark, f"{folder}/{name}", schema) for name, schema in CUBES.items()}
     for name in ("totals", "capabilities", "products", "users"):
         tables[name] = spark.read.parquet(f"{folder}/{name}")
+    for name in ("product_names", "promotion_performance", "promotion_discount", *PROMOTION_GRAINS):
+        try:
+            tables[name] = spark.read.parquet(f"{folder}/{name}")
+        except AnalysisException as missing:  # staged only where they were given
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
     return tables

@@ -1,28 +1,32 @@
 """The nested dashboard document: build, publish, verify, read sections.
 
-A section is a JSON text aggregated on the cluster. Only tables bounded by the
-calendar or by a top-k limit go into the document unasked; categories, days by
-category and days by hour are counted first and, beyond ``INLINE_ROWS``, are
-left to their staged tables, whose folder the document names.
+A published run is a folder of its own. Sections bounded by the calendar or by a
+top-k limit are assembled into one nested JSON text. Categories, days by
+category and days by hour grow with the data; whatever their size, they are
+tables of the same run, written in parallel in display order, and the document
+names them. A pointer row, added last, makes a run the newest one.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..functions import avg_ratio, ratio
 from ..operators import categories, customers, funnel, heatmap, kpi, products, series
 from ..operators.filters import filter_rows
-from ..sources.scratch import is_small
+from ..sources.scratch import materialize
 from . import snapshot
 
 ENGINE = "tallycart"
-INLINE_ROWS = 500_000
 # The sections a published document must have.
 REQUIRED = (
     "meta",
@@ -35,6 +39,14 @@ REQUIRED = (
     "customers",
     "segments",
 )
+# Tables of a run beside the nested text: section and display order of each.
+TABLES = {
+    "categories": ("categories", ("-revenue", "category")),
+    "categories_daily": ("categories", ("event_date", "category")),
+    "heatmap_daily": ("time_behavior", ("event_date", "weekday", "hour")),
+    "new_vs_returning": ("customers", ("event_date",)),
+}
+_POINTER = "run string, published long"
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -66,41 +78,70 @@ def _part(section: str, name: str | None, body: DataFrame) -> DataFrame:
     return body.select(F.lit(section).alias("section"), F.lit(name).cast("string").alias("name"), "body")
 
 
-def reports(cubes: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every published table, by name."""
-    scored = customers.score_users(cubes["users"])
-    cells, daily, prod = cubes["heatmap"], cubes["daily"], cubes["products"]
-    fun = funnel.funnel(cubes["event_counts"])
-    whole = {
-        "kpis": kpi_row(cubes),
-        "mix": customers.customer_mix(cubes["users"]),
-        "date_range": series.date_range(daily),
-        "filter_categories": categories.category_filter_list(cubes["categories"]),
-        "filter_products": products.product_filter_list(prod),
-        "daily": series.daily_series(daily),
-        "monthly": series.monthly_summary(cubes["monthly"]),
-        "seasonality": series.seasonality(daily),
-        "funnel": fun,
-        "categories": categories.category_share(cubes["categories"]),
-        "categories_daily": categories.category_daily(cubes["category_daily"]),
-        "heatmap": heatmap.heatmap(cells),
-        "heatmap_daily": heatmap.heatmap_daily(cubes["heatmap_daily"]),
-        "peak_window": heatmap.peak_window(cells),
-        "top_customers": customers.top_customers(cubes["users"]),
-        "segments": customers.rfm_top(scored),
-        "segment_summary": customers.segment_summary(scored),
-        "churn_risk": customers.churn_risk(scored),
-        "top_by_revenue": products.top_by_revenue(prod),
-        "top_by_quantity": products.top_by_quantity(prod),
-        "pareto": products.pareto_summary(prod),
-        "customer_cards": customers.customer_cards(scored, daily),
-        "month_delta": series.month_delta(daily),
-        "capabilities": cubes["capabilities"],
-    }
-    whole["insights"] = snapshot.insights(
-        whole["pareto"], whole["peak_window"], fun, whole["categories"], cubes["capabilities"]
-    )
-    return whole
+class Reports:
+    """Every published table by name, made when it is first asked for.
+
+    Scored buyers and the product table are stored once and shared by what reads them.
+    """
+
+    def __init__(self, cubes: dict[str, DataFrame]) -> None:
+        self.cubes, self.made = cubes, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.made:
+            self.made[name] = getattr(self, f"_{name}")() if hasattr(self, f"_{name}") else _PLAIN[name](self.cubes)
+        return self.made[name]
+
+    def _scored(self) -> DataFrame:
+        return materialize(customers.score_users(self.cubes["users"]), "scored")
+
+    def _insights(self) -> DataFrame:
+        return snapshot.insights(
+            self["pareto"], self["peak_window"], self["funnel"], self["categories"], self.cubes["capabilities"]
+        )
+
+    def _segments(self) -> DataFrame:
+        return customers.rfm_top(self["scored"])
+
+    def _segment_summary(self) -> DataFrame:
+        return customers.segment_summary(self["scored"])
+
+    def _churn_risk(self) -> DataFrame:
+        return customers.churn_risk(self["scored"])
+
+    def _customer_cards(self) -> DataFrame:
+        return customers.customer_cards(self["scored"], self.cubes["daily"])
+
+    def _daily_active_users(self) -> DataFrame:
+        return self["daily"].select("event_date", "dau")
+
+
+# Reports made of cubes alone.
+_PLAIN: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
+    "kpis": lambda c: kpi_row(c),
+    "mix": lambda c: customers.customer_mix(c["users"]),
+    "date_range": lambda c: series.date_range(c["daily"]),
+    "filter_categories": lambda c: categories.category_filter_list(c["categories"]),
+    "filter_products": lambda c: products.product_filter_list(c["products"], c.get("product_names")),
+    "daily": lambda c: series.daily_series(c["daily"]),
+    "monthly": lambda c: series.monthly_summary(c["monthly"]),
+    "seasonality": lambda c: series.seasonality(c["daily"]),
+    "funnel": lambda c: funnel.funnel(c["event_counts"]),
+    "categories": lambda c: categories.category_share(c["categories"]),
+    "categories_daily": lambda c: categories.category_daily(c["category_daily"]),
+    "heatmap": lambda c: heatmap.heatmap(c["heatmap"]),
+    "heatmap_daily": lambda c: heatmap.heatmap_daily(c["heatmap_daily"]),
+    "hourly_pattern": lambda c: heatmap.hourly_cells(c["heatmap"]),
+    "peak_window": lambda c: heatmap.peak_window(c["heatmap"]),
+    "top_customers": lambda c: customers.top_customers(c["users"]),
+    "new_vs_returning": lambda c: customers.new_vs_returning_report(c["user_days"]),
+    "top_by_revenue": lambda c: products.top_by_revenue(c["products"]),
+    "top_by_quantity": lambda c: products.top_by_quantity(c["products"]),
+    "pareto": lambda c: products.pareto_summary(c["products"]),
+    "pareto_products": lambda c: products.pareto_products(c["products"]),
+    "month_delta": lambda c: series.month_delta(c["daily"]),
+    "capabilities": lambda c: c["capabilities"],
+}
 
 
 def kpi_row(cubes: dict[str, DataFrame]) -> DataFrame:
@@ -119,16 +160,27 @@ def kpi_row(cubes: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+@dataclass
+class Publication:
+    """What one run publishes: the nested text (one row ``document``) and its tables."""
+
+    document: DataFrame
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+
+
+def _order(names: Sequence[str]) -> list[Column]:
+    return [F.col(n[1:]).desc() if n.startswith("-") else F.col(n).asc_nulls_first() for n in names]
+
+
 def build_document(
     cubes: dict[str, DataFrame],
     generated_at: str,
     sources: Sequence[str] = (),
     staged_at: str | None = None,
     conversion: DataFrame | None = None,
-    inline_rows: int = INLINE_ROWS,
-) -> DataFrame:
-    """One row with one column, the document as JSON text."""
-    r = reports(cubes)
+) -> Publication:
+    """The nested text of the bounded sections, and the tables that grow with the data."""
+    r = Reports(cubes)
     steps = funnel.step_totals(cubes["event_counts"])
     meta = cubes["capabilities"].select(
         F.lit(ENGINE).alias("engine"),
@@ -141,23 +193,32 @@ def build_document(
         ).alias("capabilities"),
         F.lit(staged_at).cast("string").alias("staged_at"),
     )
-    by_revenue = (-F.col("revenue"), F.col("category"))
-    day, cell = F.col("event_date"), (F.col("weekday"), F.col("hour"))
-    dau = r["daily"].select("event_date", "dau")
+    cell = (F.col("weekday"), F.col("hour"))
+    mix = r["mix"]
+    published = {n: t for n, t in TABLES.items() if n != "new_vs_returning" or "user_days" in cubes}
+
+    def named(section: str) -> DataFrame:
+        names = [n for n, (owner, _) in published.items() if owner == section]
+        return meta.select(F.lit(json.dumps(names)).alias("body"))
+
     parts = [
         _part("meta", None, _object(meta)),
         _part("filters", "date_range", _object(r["date_range"])),
         _part("filters", "categories", _values(r["filter_categories"], "category", F.col("position"))),
         _part("filters", "products", _records(r["filter_products"], F.col("product_id"))),
-        _part("dashboard", "kpis", _object(r["kpis"].select("*", *[r["mix"].select(c).scalar().alias(c) for c in r["mix"].columns]))),
-        _part("revenue", "daily", _records(r["daily"], day)),
+        _part("dashboard", "kpis", _object(r["kpis"].select("*", *[mix.select(c).scalar().alias(c) for c in mix.columns]))),
+        _part("revenue", "daily", _records(r["daily"], F.col("event_date"))),
         _part("revenue", "monthly", _records(r["monthly"], F.col("month"))),
         _part("revenue", "seasonality", _records(r["seasonality"], F.col("day_of_week"))),
         _part("funnel", None, _object(r["funnel"])),
+        _part("categories", "tables", named("categories")),
         _part("time_behavior", "heatmap", _records(r["heatmap"], *cell)),
+        _part("time_behavior", "hourly_pattern", _records(r["hourly_pattern"], F.col("hour"))),
         _part("time_behavior", "peak_window", _object(r["peak_window"])),
-        _part("customers", "daily_active_users", _records(dau, day)),
+        _part("time_behavior", "tables", named("time_behavior")),
+        _part("customers", "daily_active_users", _records(r["daily_active_users"], F.col("event_date"))),
         _part("customers", "top_customers", _records(r["top_customers"], -F.col("customer_revenue"), F.col("user_id"))),
+        _part("customers", "tables", named("customers")),
         _part("segments", "segments", _records(r["segments"], -F.col("rfm_score"), F.col("user_id"))),
         _part("segments", "segment_summary", _records(r["segment_summary"], -F.col("revenue"), F.col("segment"))),
         _part(
@@ -170,17 +231,16 @@ def build_document(
         _part("products", "pareto", _object(r["pareto"])),
         _part("insights", None, _records(r["insights"], F.col("position"))),
     ]
-    left_out = []
-    for owner, name, order in (
-        ("categories", "categories", by_revenue),
-        ("categories", "categories_daily", (day, F.col("category"))),
-        ("time_behavior", "heatmap_daily", (day, *cell)),
-    ):
-        if is_small(r[name], inline_rows):
-            parts.append(_part(owner, name, _records(r[name], *order)))
-        else:
-            left_out.append(name)
-    parts.append(_part("categories", "staged_only", meta.select(F.lit(json.dumps(left_out)).alias("body"))))
+    if "promotion_performance" in cubes:
+        parts += [
+            _part("promotions", "performance", _records(cubes["promotion_performance"], F.col("promotion_id"))),
+            _part("promotions", "discount", _object(cubes["promotion_discount"])),
+        ]
+        parts += [
+            _part("promotions", name.removeprefix("promotion_"), _records(cubes[name], F.col("grain")))
+            for name in sorted(cubes)
+            if name.startswith("promotion_by_")
+        ]
     if conversion is not None:
         parts.append(_part("conversion", None, _object(conversion)))
 
@@ -191,21 +251,61 @@ def build_document(
     )
     text = F.when(F.col("named") != "", F.concat(F.lit("{"), F.col("named"), F.lit("}"))).otherwise(F.col("body"))
     entries = F.array_sort(F.collect_list(F.concat(F.lit('"'), F.col("section"), F.lit('":'), text)))
-    return sections.agg(F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}")).alias("document"))
+    nested = sections.agg(F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}")).alias("document"))
+    return Publication(nested, {n: r[n].orderBy(*_order(order)) for n, (_, order) in published.items()})
+
+
+def _run_folder(path: str, run_id: str) -> str:
+    return f"{path}/runs/{run_id}"
 
 
-def publish(document: DataFrame, path: str, run_id: str) -> None:
-    """Add the document as a new run. One row is one file, which the committer
-    moves into place at the end, so readers see the old run or the new one."""
-    one = document.select(F.lit(run_id).alias("run"), F.col("document").alias("value")).coalesce(1)
-    one.write.mode("append").partitionBy("run").text(path)
+def _pointers(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(_POINTER).parquet(f"{path}/published")
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], _POINTER)
+
+
+def newest_run(spark: SparkSession, path: str) -> str:
+    """The run published last, from the pointer rows alone."""
+    run = _pointers(spark, path).agg(F.max_by("run", "published").alias("run")).first()["run"]
+    if run is None:
+        raise ValueError(f"nothing is published at {path}")
+    return run
+
+
+def publish(publication: Publication, path: str, run_id: str) -> None:
+    """Write a run and make it the newest one.
+
+    A run's own folder is overwritten, so a retry leaves one document. The pointer row comes last: readers see the run
+    before or this one. Its number is one above all earlier ones, so neither names nor clocks decide.
+    """
+    spark, folder = publication.document.sparkSession, _run_folder(path, run_id)
+
+    def write(name: str | None) -> None:
+        if name is None:
+            publication.document.coalesce(1).write.mode("overwrite").parquet(f"{folder}/document")
+        else:
+            publication.tables[name].write.mode("overwrite").parquet(f"{folder}/tables/{name}")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), [None, *publication.tables]))
+    number = _pointers(spark, path).agg(F.coalesce(F.max("published"), F.lit(0)) + 1).first()[0]
+    spark.createDataFrame([(run_id, number)], _POINTER).coalesce(1).write.mode("append").parquet(f"{path}/published")
 
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:
-    """The newest published run, as one row ``document``."""
-    runs = spark.read.text(path).withColumn("run", F.col("run").cast("string"))
-    newest = runs.agg(F.max("run")).scalar()
-    return runs.filter(F.col("run") == newest).select(F.col("value").alias("document"))
+    """The nested text of the newest run, as one row ``document``."""
+    return spark.read.schema("document string").parquet(f"{_run_folder(path, newest_run(spark, path))}/document")
+
+
+def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A table of the newest run."""
+    if name not in TABLES:
+        raise KeyError(f"unknown table {name!r}; one of {sorted(TABLES)}")
+    return spark.read.parquet(f"{_run_folder(path, newest_run(spark, path))}/tables/{name}")
 
 
 def document_sections(document: DataFrame, required: Sequence[str] = REQUIRED) -> DataFrame:
@@ -262,7 +362,8 @@ def document_daily(document: DataFrame) -> DataFrame:
     return document.select(F.inline(daily))
 
 
-# Which report answers which section read, and the filters it accepts.
+# Which report answers which section read, and the filters it accepts. Product filters choose
+# among all products, before a list is cut to its length.
 SECTIONS = {
     "revenue": {"daily": ("start", "end"), "monthly": (), "seasonality": ()},
     "funnel": {"funnel": ()},
@@ -270,21 +371,33 @@ SECTIONS = {
         "top_by_revenue": ("category", "product_id"),
         "top_by_quantity": ("category", "product_id"),
         "pareto": (),
+        "pareto_products": ("category", "product_id"),
+    },
+    "customers": {
+        "daily": ("start", "end"),
+        "daily_active_users": ("start", "end"),
+        "new_vs_returning": ("start", "end"),
+        "top_customers": (),
     },
-    "customers": {"daily": ("start", "end"), "top_customers": ()},
     "segments": {"segments": (), "segment_summary": (), "churn_risk": ()},
     "categories": {"categories": (), "categories_daily": ()},
-    "time_behavior": {"heatmap": (), "heatmap_daily": (), "peak_window": ()},
+    "time_behavior": {"heatmap": (), "heatmap_daily": (), "hourly_pattern": (), "peak_window": ()},
     "dashboard": {"kpis": (), "date_range": (), "insights": ()},
 }
+_CHOSEN = {"top_by_revenue": products.top_by_revenue, "top_by_quantity": products.top_by_quantity}
 
 
 def section(cubes: dict[str, DataFrame], name: str, **filters) -> dict[str, DataFrame]:
-    """The tables of one section, filtered the way the section allows."""
+    """The tables of one section, filtered the way the section allows; no other report is made."""
     if name not in SECTIONS:
         raise KeyError(f"unknown section {name!r}; one of {json.dumps(sorted(SECTIONS))}")
-    tables = reports(cubes)
-    return {
-        part: filter_rows(tables[part], **{k: v for k, v in filters.items() if k in allowed and v is not None})
-        for part, allowed in SECTIONS[name].items()
-    }
+    reports, out = Reports(cubes), {}
+    for part, allowed in SECTIONS[name].items():
+        if part == "new_vs_returning" and "user_days" not in cubes:
+            continue
+        chosen = {k: v for k, v in filters.items() if k in allowed and v is not None}
+        if part in _CHOSEN and chosen:
+            out[part] = _CHOSEN[part](filter_rows(cubes["products"], **chosen), whole=cubes["products"])
+        else:
+            out[part] = filter_rows(reports[part], **chosen)
+    return out

@@ -18,6 +18,8 @@ from ..sources.files import (
     conversion_report,
     csv_to_parquet,
 )
+from ..sources.scratch import scratch_scope
+from ..streaming.refresh import ingest_new_files
 from .cubes import build_cubes, read_cubes, write_cubes
 from .document import build_document, document_summary, publish, read_document, verify
 
@@ -36,6 +38,8 @@ def run(
     start: str | None = None,
     end: str | None = None,
     run_id: str | None = None,
+    promotions: DataFrame | None = None,
+    product_names: DataFrame | None = None,
 ) -> DataFrame:
     """CSV -> Parquet -> cubes -> document; returns the verified summary row.
 
@@ -48,13 +52,44 @@ def run(
     seen = Observation("csv")
     raw = csv_to_parquet(spark, csv_paths, f"{staging}/events", rows_per_file, batch_rows, seen=seen)
     report = conversion_report(seen.get["rows"], raw, batch_rows)
-    events = between_days(clean_events(raw), start, end)
-    write_cubes(build_cubes(events), f"{staging}/cubes")
-    cubes = read_cubes(spark, f"{staging}/cubes")
-    document = build_document(
-        cubes, datetime.now(timezone.utc).isoformat(), csv_paths, f"{staging}/cubes", report
-    )
-    publish(document, f"{out}/document", run_id)
+    _publish_events(spark, clean_events(raw), out, run_id, csv_paths, start, end, promotions, product_names, report)
+    return verify(spark, f"{out}/document")
+
+
+def _publish_events(
+    spark: SparkSession,
+    events: DataFrame,
+    out: str,
+    run_id: str,
+    sources: Sequence[str],
+    start: str | None = None,
+    end: str | None = None,
+    promotions: DataFrame | None = None,
+    product_names: DataFrame | None = None,
+    report: DataFrame | None = None,
+) -> None:
+    """Events -> staged cubes -> published run. Scratch tables go once the run is written."""
+    folder = f"{out}/runs/{run_id}/cubes"
+    with scratch_scope(spark):
+        write_cubes(build_cubes(between_days(events, start, end), promotions, product_names), folder)
+        now = datetime.now(timezone.utc).isoformat()
+        publish(build_document(read_cubes(spark, folder), now, sources, folder, report), f"{out}/document", run_id)
+
+
+def refresh(
+    spark: SparkSession,
+    inbox: str,
+    out: str,
+    run_id: str | None = None,
+    promotions: DataFrame | None = None,
+    product_names: DataFrame | None = None,
+) -> DataFrame:
+    """Take in the event files that arrived in ``inbox`` and publish a run over all events so far.
+
+    Files are read once; the event store below ``out`` keeps what earlier calls have read.
+    """
+    stored = ingest_new_files(spark, inbox, f"{out}/events", f"{out}/offsets")
+    _publish_events(spark, clean_events(stored), out, run_id or new_run_id(), [inbox], None, None, promotions, product_names)
     return verify(spark, f"{out}/document")
 
 

@@ -46,7 +46,7 @@ def dashboard_snapshot(
             daily_active_users_avg="daily_active_users_avg",
             conversion_rate_pct="conversion_rate_pct",
         ),
-        _rows(cards, None, returning_customers_pct="returning_pct", churn_list="churn_list"),
+        _rows(cards, None, returning_customers_pct="returning_pct", churn_list="churn_list", churn_candidates="churn_candidates"),
         _rows(
             delta,
             F.col("current_month"),

@@ -49,6 +49,7 @@ CUBES = {
     ),
     "heatmap": T.StructType([_WEEKDAY, _HOUR, _REVENUE, _ORDERS]),
     "heatmap_daily": T.StructType([_DAY, _WEEKDAY, _HOUR, _REVENUE, _ORDERS]),
+    "user_days": T.StructType([_DAY, T.StructField("active_users", T.LongType()), T.StructField("new", T.LongType())]),
     "event_counts": T.StructType(
         [T.StructField("event_type", T.StringType()), T.StructField("count", T.LongType())]
     ),

@@ -1,34 +1,63 @@
-"""Intermediate tables in the shared folder named by ``spark.checkpoint.dir``.
+"""Intermediate tables in a folder that all executors share.
 
 A written table cuts the lineage, survives the loss of executors and lets the
-optimizer see real sizes. The folder is read from the session; only a local
-master may fall back to a temporary folder of its own.
+optimizer see real sizes. The folder is the session's ``spark.checkpoint.dir``
+or, where that is unset, a folder below the session's warehouse.
+
+Tables written inside ``scratch_scope`` are removed when it ends. Others back a
+result that has not been read yet; ``clear_scratch`` removes them with all
+else the application has left.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+_SCOPE = "tallycart.scratch.scope"
 
 
 def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_roots.setdefault(context.applicationId, "")
-        if not root:
-            root = _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tallycart-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/tallycart/{context.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    scope = spark.sparkContext.getLocalProperty(_SCOPE)
+    inner = f"{scope}/" if scope else ""
+    return f"{scratch_root(spark)}/{inner}{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system it is on."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Tables written inside, also by threads that inherit the session's properties, go when it ends."""
+    context, scope = spark.sparkContext, f"scope-{uuid.uuid4().hex}"
+    outer = context.getLocalProperty(_SCOPE)
+    context.setLocalProperty(_SCOPE, f"{outer}/{scope}" if outer else scope)
+    folder = f"{scratch_root(spark)}/{context.getLocalProperty(_SCOPE)}"
+    try:
+        yield folder
+    finally:
+        context.setLocalProperty(_SCOPE, outer)
+        remove(spark, folder)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all tables of this application; results not yet read are lost."""
+    remove(spark, scratch_root(spark))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -36,8 +65,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows

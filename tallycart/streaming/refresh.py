@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import RAW_EVENT
+from ..sources.files import timed_events
 
 
 def ingest_new_files(spark: SparkSession, csv_folder: str, parquet_folder: str, checkpoint: str) -> DataFrame:
     """Append new CSV files to the Parquet table and return that table."""
-    files = spark.readStream.schema(RAW_EVENT).option("header", True).csv(csv_folder)
+    files = timed_events(spark.readStream.schema(RAW_EVENT).option("header", True).csv(csv_folder))
     query = (
         files.writeStream.format("parquet")
         .option("path", parquet_folder)
@@ -24,4 +25,4 @@ def ingest_new_files(spark: SparkSession, csv_folder: str, parquet_folder: str,
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(RAW_EVENT).parquet(parquet_folder)
+    return spark.read.schema(files.schema).parquet(parquet_folder)

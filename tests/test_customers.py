@@ -69,7 +69,8 @@ def test_cards(shop, scored):
     rows = dicts(c.rfm_report(scored))
     card = one(c.customer_cards(scored, daily_cube(shop)))
     assert card["vip_loyal"] == sum(r["segment"] in ("VIP", "Loyal") for r in rows)
-    assert card["churn_list"] == min(25, sum(r["recency"] >= 21 for r in rows))
+    assert card["churn_candidates"] == sum(r["recency"] >= 21 for r in rows)
+    assert card["churn_list"] == min(25, card["churn_candidates"])
     assert card["returning_pct"] == 100.0 and card["unique_customers"] == len(rows)
 
 

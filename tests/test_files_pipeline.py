@@ -1,20 +1,25 @@
 from __future__ import annotations
 
 import json
+import os
 import random
+from datetime import date
 
 import pytest
 from helpers import dicts, one, raw
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from tallycart.operators.clean import clean_events
+from tallycart.operators.clean import between_days, clean_events
+from tallycart.operators.filters import filter_rows, filter_view
 from tallycart.operators.funnel import event_counts
 from tallycart.plans import document as doc
 from tallycart.plans import pipeline
 from tallycart.plans.cubes import build_cubes, read_cubes, write_cubes
-from tallycart.schema import CUBES, RAW_EVENT
+from tallycart.plans.view import view
+from tallycart.schema import CUBES, PROMOTION, RAW_EVENT
 from tallycart.sources import files
+from tallycart.sources.scratch import materialize, scratch_scope
 from tallycart.streaming.refresh import ingest_new_files
 
 HEADER = ",".join(RAW_EVENT.fieldNames())
@@ -109,6 +114,7 @@ def test_document(spark, cubes, tmp_path):
     first = doc.build_document(cubes, "2020-01-01T00:00:00Z", ["oct", "nov"])
     doc.publish(first, path, "20200101")
     doc.publish(doc.build_document(cubes, "2020-01-02T00:00:00Z"), path, "20200102")
+    doc.publish(doc.build_document(cubes, "2020-01-02T00:00:00Z"), path, "20200102")  # a retry
     read = doc.read_document(spark, path)
     text = one(read)["document"]
     assert "NaN" not in text
@@ -119,22 +125,37 @@ def test_document(spark, cubes, tmp_path):
     assert [d["event_date"] for d in body["revenue"]["daily"]] == sorted(d["event_date"] for d in body["revenue"]["daily"])
     kpis = body["dashboard"]["kpis"]
     assert kpis["total_revenue"] == pytest.approx(sum(d["revenue"] for d in body["revenue"]["daily"]))
-    assert len(body["categories"]["categories"]) == 3 and len(body["categories"]["categories_daily"]) > 3
+    assert body["categories"] == {"tables": ["categories", "categories_daily"]}
+    assert doc.read_table(spark, path, "categories").count() == 3
+    days = [r["event_date"] for r in dicts(doc.read_table(spark, path, "categories_daily"))]
+    assert len(days) > 3 and days == sorted(days)
+    doc.publish(doc.build_document(cubes, "later"), path, "10")
+    assert json.loads(one(doc.read_document(spark, path))["document"])["meta"]["generated_at"] == "later"
+    doc.publish(doc.build_document(cubes, "2020-01-02T00:00:00Z"), path, "9")
     assert body["segments"]["segment_summary"] and body["products"]["pareto"]["product_count"] == cubes["products"].count()
     assert one(doc.verify(spark, path))["total_orders"] == kpis["total_orders"]
     assert one(doc.health(spark, path))["status"] == "ok"
 
 
-def test_large_category_table_stays_outside(spark, cubes):
-    document = doc.build_document(cubes, "x", staged_at="/tables", inline_rows=2)
-    body = json.loads(one(document)["document"])
-    assert body["categories"] == {"staged_only": ["categories", "categories_daily", "heatmap_daily"]}
-    assert body["meta"]["staged_at"] == "/tables" and dicts(doc.missing_sections(document)) == []
+def _keys(value, path=""):
+    """Names of nested objects; what a list holds depends on its rows."""
+    if isinstance(value, dict):
+        return {f"{path}/{k}" for k in value} | {x for k, v in value.items() for x in _keys(v, f"{path}/{k}")}
+    return set()
+
+
+def test_larger_input_changes_no_key(spark, cubes, tmp_path):
+    write_month(tmp_path / "big.csv", 10, 4000, 9)
+    events = clean_events(files.read_events_csv(spark, [str(tmp_path / "big.csv")]))
+    small, large = doc.build_document(cubes, "x", staged_at="/t"), doc.build_document(build_cubes(events), "x", staged_at="/t")
+    bodies = [json.loads(one(p.document)["document"]) for p in (small, large)]
+    assert _keys(bodies[0]) == _keys(bodies[1]) and set(small.tables) == set(large.tables) == set(doc.TABLES)
+    assert bodies[0]["meta"]["staged_at"] == "/t" and dicts(doc.missing_sections(small.document)) == []
 
 
 def test_missing_section_is_reported(spark, tmp_path):
     broken = spark.createDataFrame([('{"meta":{},"funnel":{}}',)], "document string")
-    doc.publish(broken, str(tmp_path / "doc"), "1")
+    doc.publish(doc.Publication(broken), str(tmp_path / "doc"), "1")
     present = {r["section"]: r["present"] for r in dicts(doc.document_sections(broken))}
     assert present["meta"] and not present["revenue"]
     with pytest.raises(ValueError, match="revenue"):
@@ -148,6 +169,79 @@ def test_sections(cubes):
     assert {r["category"] for r in dicts(by_category["top_by_revenue"])} <= {"sport"}
     with pytest.raises(KeyError):
         doc.section(cubes, "nope")
+    worst = max(dicts(cubes["products"]), key=lambda r: (-r["revenue_e4"], r["product_id"]))["product_id"]
+    assert cubes["products"].count() > 10
+    for part in ("top_by_revenue", "top_by_quantity"):
+        assert [r["product_id"] for r in dicts(doc.section(cubes, "products", product_id=worst)[part])] == [worst]
+    every = {r["product_id"] for r in dicts(doc.section(cubes, "products")["pareto_products"])}
+    assert len(every) == one(doc.section(cubes, "products")["pareto"])["top_products_for_80pct"]
+    ranged = dicts(doc.section(cubes, "customers", start="2019-11-01")["new_vs_returning"])
+    assert ranged and sum(r["new"] for r in ranged) < sum(r["active_users"] for r in ranged)
+
+
+def test_section_starts_no_job_while_it_is_planned(spark, cubes):
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("section-plan", "")
+    doc.section(cubes, "funnel")
+    assert list(status.getJobIdsForGroup("section-plan")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_view_composes_all_tabs(spark, cubes):
+    parts = view(cubes, "2019-11-30", "2019-11-01", "sport")
+    assert {r["event_date"][:7] for r in dicts(parts["daily"])} == {"2019-11"} and one(parts["kpis"])["is_filtered"]
+    for name, part in parts.items():
+        assert part.count() >= (0 if name == "month_delta" else 1), name
+    assert {r["category"] for r in dicts(parts["products"])} == {"sport"}
+
+
+def test_rows_without_a_day_survive_staging(spark, tmp_path):
+    cube = spark.createDataFrame(
+        [(None, "a", 5, 1, 1), (date(2019, 10, 2), "a", 7, 1, 1)], "event_date date, category string, revenue_e4 bigint, orders bigint, buyers bigint"
+    )
+    write_cubes({"category_daily": cube}, str(tmp_path))
+    staged = files.read_or_empty(spark, f"{tmp_path}/category_daily", CUBES["category_daily"])
+    for frame in (cube, staged):
+        assert filter_view(frame, "2019-10-01", "2019-10-31").count() == 2
+        assert filter_rows(frame, "2019-10-01", "2019-10-31").count() == 1
+        assert filter_rows(frame, None, "2019-10-31").count() == 2
+
+
+def test_promotions_reach_the_document(spark, months, tmp_path):
+    promoted = spark.createDataFrame([("P", 10.0, date(2019, 10, 1), date(2019, 11, 30), ["sport"])], PROMOTION)
+    pipeline.run(spark, months, str(tmp_path / "out"), promotions=promoted)
+    body = json.loads(one(doc.read_document(spark, f"{tmp_path}/out/document"))["document"])
+    assert body["meta"]["capabilities"]["promotions_available"] is True
+    assert body["promotions"]["performance"][0]["orders_generated"] > 0
+    assert set(body["promotions"]) == {"performance", "discount", "by_month", "by_weekday", "by_hour", "by_category"}
+
+
+def test_event_store_is_typed_and_bounded(spark, months, tmp_path):
+    table = files.csv_to_parquet(spark, months, str(tmp_path / "pq"))
+    assert dict(table.dtypes)["event_time"] == "timestamp"
+    plan = between_days(clean_events(table), "2019-11-01", "2019-11-30")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(event_time" in plan
+
+
+def test_cap_holds_for_every_file_of_a_folder(spark, months):
+    folder = months[0].rsplit("/", 1)[0]
+    assert files.read_events_csv(spark, [f"{folder}/*.csv"], rows_per_file=40).count() == 80
+
+
+def test_scope_leaves_nothing(spark):
+    with scratch_scope(spark) as folder:
+        materialize(spark.range(5), "some")
+        inside = os.path.isdir(folder)
+    assert inside and not os.path.exists(folder)
+
+
+def test_refresh_publishes_what_arrived(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    write_month(inbox / "a.csv", 10, 60, 4)
+    assert one(pipeline.refresh(spark, str(inbox), str(tmp_path / "out")))["total_events"] == 60
+    write_month(inbox / "b.csv", 11, 40, 5)
+    assert one(pipeline.refresh(spark, str(inbox), str(tmp_path / "out")))["total_events"] == 100
 
 
 def test_run_end_to_end(spark, months, tmp_path):
@@ -172,7 +266,7 @@ def test_refresh_reads_each_file_once(spark, months, tmp_path):
 
 def test_empty_input_builds_a_document(spark):
     events = clean_events(raw(spark, dict(event_time="2019-10-01", event_type="view", user_id=1))).filter("user_id = 0")
-    body = json.loads(one(doc.build_document(build_cubes(events), "x"))["document"])
+    body = json.loads(one(doc.build_document(build_cubes(events), "x").document)["document"])
     assert body["revenue"]["daily"] == [] and body["segments"]["segment_summary"] == []
     assert body["dashboard"]["kpis"]["total_revenue"] == 0.0 and body["time_behavior"]["peak_window"] == {}
     assert body["funnel"]["available"] is False

@@ -74,10 +74,9 @@ def campaign(spark):
     return purchases(spark, *rows), spark.createDataFrame(promos, PROMOTION), promos
 
 
-@pytest.mark.parametrize("broadcast_cells", [1_000, 3])
-def test_promotion_performance_against_brute_force(campaign, broadcast_cells):
+def test_promotion_performance_against_brute_force(campaign):
     events, promotions, promos = campaign
-    got = {r["promotion_id"]: r for r in dicts(pm.promotion_performance(events, promotions, broadcast_cells))}
+    got = {r["promotion_id"]: r for r in dicts(pm.promotion_performance(events, promotions))}
     rows = dicts(events)
     for pid, _, start, end, cats in promos:
         length = (end - start).days + 1
@@ -96,10 +95,9 @@ def test_promotion_performance_against_brute_force(campaign, broadcast_cells):
         assert row["order_lift_pct"] == (pytest.approx(lift, abs=0.0051) if lift is not None else None)
 
 
-@pytest.mark.parametrize("broadcast_cells", [1_000, 3])
-def test_promotion_share_counts_overlaps_once(campaign, broadcast_cells):
+def test_promotion_share_counts_overlaps_once(campaign):
     events, promotions, promos = campaign
-    got = {r["category"]: r for r in dicts(pm.promotion_share(events, promotions, F.col("category"), broadcast_cells))}
+    got = {r["category"]: r for r in dicts(pm.promotion_share(events, promotions, F.col("category")))}
     for category in ("hot", "a", "b", "c"):
         rows = [r for r in dicts(events) if r["category"] == category]
         hit = [r for r in rows if any(s <= r["event_date"] <= e and category in cats for _, _, s, e, cats in promos)]
