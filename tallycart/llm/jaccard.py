@@ -11,13 +11,15 @@ the first pivots are the sets of one shingle:
    l > 1 lets documents that meet others in too few regions go at once.
 2. *Narrowing.* Regions with one point are dropped; of the rest, a document keeps the least crowded
    ones, as many as a linked pair needs to meet in one (counts over all documents).
-3. *Pivots.* In each region a document is the pivot, and exact distances to it are computed. Links
-   join components. A region all of whose points are in one component is done.
-4. *Voronoi recursion.* An open region of more than ``LEAF`` points takes more pivots, four times as
-   many each round. Points of other components are measured against them unless sizes or the triangle
-   inequality over the last pivot exclude it. Each point goes to the cell of its nearest
-   pivot, and into every cell within twice the reach of it (the boundary window); pivots leave; cells
-   recurse. Smaller regions compare what components, sizes and that inequality leave.
+3. *Pivots.* The most central point of a region is its pivot; exact distances to it are computed
+   and links join components. Regions of one pivot make one cell; where all points are in
+   one component it is done.
+4. *Voronoi recursion.* An open cell of more than ``CELL`` points takes pivots of its own. Each point goes
+   to the cell of its nearest pivot and into every cell within twice the reach of it (the
+   boundary window); cells recurse. Cells that windows do not part stay whole.
+5. *Cells.* In an open cell the points outside its largest component are compared with those of other
+   components that sizes and the triangle inequality over the pivot leave, in blocks of
+   ``BLOCK`` points a side. A task reports links that join components, not all pairs.
 
 No window drops a pair within reach, so components are exact (shingles are 64-bit hashes). The order of
 shingles uses counts of a bounded sample (``SAMPLE_DOCS``): it changes how crowded regions are, never
@@ -38,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import HashIndex, chunks, store, utf8
+from .common import HashIndex, chunks, ragged, store, utf8
 from .graph import connected
 
 WORDS = 4
@@ -49,12 +51,17 @@ SAMPLE_DOCS = 2000
 COMMON = 65_536
 #: One more meeting is asked for every so many shingles.
 PER_MEETING = 20
-#: Open regions of so many points are joined pair by pair; larger ones by pivots, at first so many.
-LEAF = 64
+#: Cells of more points are cut by so many pivots.
+CELL = 4096
 PIVOTS = 16
+#: Points of a block; a task holds two.
+BLOCK = 512
 #: Up to so many ids (8 bytes each) are broadcast; beyond it they are joined by exchange.
 BROADCAST_IDS = 1_000_000
 
+#: Greatest distance of a link, with room for rounding.
+REACH = 1 - SIMILARITY / 100 + 1e-9
+
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _RANDOM.integers(1, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -194,7 +201,10 @@ def _near_sizes(a: str, b: str) -> Column:
 
 
 def regions(placed: DataFrame) -> DataFrame:
-    """(region, point, n): the least crowded first regions in which every linked pair meets once."""
+    """(region, point, n, central): the least crowded first regions in which every linked pair meets once.
+
+    ``central`` adds up how crowded all of a point's regions are: high for texts others derive from.
+    """
     copies = placed.select("point", "n", F.explode("pivots").alias("region"))
     crowd = copies.groupBy("region").agg(F.min("point").alias("a"), F.max("point").alias("b"), F.count(F.lit(1)).alias("crowd"))
     shared = crowd.filter("a < b").select("region", "crowd").hint("shuffle_hash")
@@ -202,14 +212,19 @@ def regions(placed: DataFrame) -> DataFrame:
     met = copies.join(shared, "region").groupBy("point", "n").agg(F.collect_set(F.struct("crowd", "region")).alias("met"))
     least = f"(1 + int(ceil({SIMILARITY} * n / 100) / {PER_MEETING}))"
     kept = F.expr(f"slice(array_sort(met), 1, size(met) - {least} + 1)")
-    return met.filter(F.expr(f"size(met) >= {least}")).select(F.explode(kept).alias("m"), "point", "n").select("m.region", "point", "n")
+    central = F.expr("aggregate(met, 0L, (a, m) -> a + m.crowd)").alias("central")
+    met = met.filter(F.expr(f"size(met) >= {least}")).select(F.explode(kept).alias("m"), "point", "n", central)
+    return met.select("m.region", "point", "n", "central")
 
 
 def similarity_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with their exact Jaccard ``distance`` and whether they are linked."""
+    """``pairs`` (a, b), each once, with their exact Jaccard ``distance`` and whether they are linked."""
     own = sets.select(F.col("point").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     other = sets.select(F.col("point").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
-    both = pairs.select("a", "b").join(own, "a").join(other, "b").withColumn("both", F.size(F.array_intersect("s_a", "s_b")).cast("bigint"))
+    # Partners are gathered per point, so that the exchange that merges repeats also serves the first join.
+    once = pairs.groupBy("a").agg(F.collect_set("b").alias("bs"))
+    both = once.join(own, "a").select("a", "n_a", "s_a", F.explode("bs").alias("b")).join(other, "b")
+    both = both.withColumn("both", F.size(F.array_intersect("s_a", "s_b")).cast("bigint"))
     union = F.col("n_a") + F.col("n_b") - F.col("both")
     return both.select("a", "b", (1 - F.col("both") / union).alias("distance"), (100 * F.col("both") >= SIMILARITY * union).alias("linked"))
 
@@ -220,85 +235,132 @@ def _named(members: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _open(members: DataFrame) -> DataFrame:
-    """Members of regions whose points are in several components, with the region's ``points``."""
-    sizes = members.groupBy("region").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("points"))
-    return members.drop("points").join(sizes.filter("a < b").select("region", "points"), "region")
-
+    """Members of cells whose points are in several components, with the cell's number of ``points``."""
+    sizes = members.groupBy("cell").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("points"))
+    return members.join(sizes.filter("a < b").select("cell", "points"), "cell")
 
-_MEMBER = ("region", "point", "n", "component", "distance", "points")
-#: Over the pivot that both were measured against: |d(x, p) - d(y, p)| <= d(x, y).
-REACH = 1 - SIMILARITY / 100 + 1e-9
-_TRIANGLE = f"coalesce(abs(x.distance - y.distance) <= {REACH}, true)"
-
-
-def _tried(left: DataFrame, right: DataFrame, further: str) -> DataFrame:
-    """Pairs of a region that neither components, sizes nor the triangle inequality settle."""
-    both = left.alias("x").join(right.alias("y"), "region")
-    both = both.filter("x.component <> y.component").filter(further).filter(F.expr(_TRIANGLE) & _near_sizes("x.n", "y.n"))
-    return both.select(F.col("x.point").alias("a"), F.col("y.point").alias("b"))
 
+def _cut(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """Cells of more than ``CELL`` points cut by ``PIVOTS`` pivots of their own, or as they are.
 
-def _cells(paired: DataFrame, known: DataFrame) -> DataFrame:
-    """What is left of the large regions: cells of their pivots, or the region less its pivots.
-
-    A point goes to every cell whose pivot may be the nearest of a neighbour: at most 2 ``REACH`` behind its own
-    nearest one, or not measured. Where cells would hold more than twice the points, the region stays whole.
+    A point goes to the cell of its nearest pivot, and to every cell whose pivot may be the nearest of a neighbour: at
+    most 2 ``REACH`` behind. Where that would hold more than half as many points again, windows do not
+    part the cell and it stays whole.
+    """
+    bucket = F.pmod(F.xxhash64("point"), F.lit(PIVOTS))
+    chosen = store(cells.groupBy("cell", bucket.alias("bucket")).agg(F.min("point").alias("pivot")).select("cell", "pivot"), "jaccard-pivots")
+    paired = cells.join(chosen, "cell")
+    known = store(similarity_links(paired.select(F.col("point").alias("a"), F.col("pivot").alias("b")).filter("a <> b"), sets), "jaccard-distances")
+    gaps = known.select(F.col("a").alias("point"), F.col("b").alias("pivot"), F.col("distance").alias("gap"))
+    paired = paired.join(gaps, ["point", "pivot"], "left").withColumn("gap", F.coalesce("gap", F.lit(0.0)))
+    nearest = paired.groupBy("cell", "point").agg(F.min("gap").alias("nearest"))
+    reached = paired.join(nearest, ["cell", "point"]).filter(F.col("gap") <= F.col("nearest") + 2 * REACH)
+    parted = reached.groupBy("cell").agg((F.count(F.lit(1)) <= 1.5 * F.max("points")).alias("parted"))
+    reached = reached.join(parted, "cell")
+    name = F.when(F.col("parted"), F.xxhash64("cell", "pivot")).otherwise(F.col("cell")).alias("cell")
+    gap = F.when(F.col("parted"), F.col("gap")).otherwise(F.col("distance")).alias("distance")
+    return reached.select(name, "point", gap, "component", "parted").distinct()
+
+
+def cell_links(points: np.ndarray, group: np.ndarray, gaps: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join the components (``group``) of one cell, or of two blocks of it: a spanning set, no more.
+
+    Only points outside the largest component are compared, each with all of other components that the triangle inequality
+    over the cell's pivot leaves (``gaps`` are distances to it, NaN if unknown). If both sides are given, pairs of one side are left to
+    other tasks.
     """
-    distances = known.select(F.col("a").alias("point"), F.col("b").alias("pivot"), F.col("distance").alias("to_pivot"))
-    measured = store(paired.join(distances, ["point", "pivot"], "left").select("region", "point", "n", "distance", "points", "pivot", "to_pivot"), "jaccard-measured")
-    nearest = measured.groupBy("region", "point").agg(F.min("to_pivot").alias("nearest"), F.max(F.col("point") == F.col("pivot")).alias("is_pivot")).filter("not is_pivot")
-    reached = measured.join(nearest.drop("is_pivot"), ["region", "point"]).filter(F.coalesce(F.col("to_pivot") <= F.col("nearest") + 2 * REACH, F.lit(True)))
-    crowd = reached.groupBy("region").agg((F.count(F.lit(1)) <= 2 * F.max("points")).alias("cut"))
-    reached = reached.join(crowd, "region")
-    cut = reached.filter("cut").select(F.xxhash64("region", "pivot").alias("region"), "point", "n", F.col("to_pivot").alias("distance"))
-    whole = reached.filter("not cut").select("region", "point", "n", "distance").distinct()
-    return cut.unionByName(whole)
+    names, group = np.unique(group, return_inverse=True)
+    parent = list(range(len(names)))
+
+    def root(g: int) -> int:
+        while parent[g] != g:
+            parent[g] = parent[parent[g]]
+            g = parent[g]
+        return g
+
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    flat = np.concatenate(sets)
+    _, codes = np.unique(flat, return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(codes, kind="stable")
+    posted, cuts = owner[order], np.concatenate([[0], np.cumsum(np.bincount(codes))])
+    begin = np.cumsum(sizes) - sizes
+    cross = len(np.unique(side)) > 1
+    out = []
+    largest = int(np.bincount(group).argmax())
+    for x in np.nonzero(group != largest)[0]:
+        now = np.array([root(g) for g in range(len(names))])[group]
+        rival = (now != now[x]) & (100 * np.minimum(sizes, sizes[x]) >= SIMILARITY * np.maximum(sizes, sizes[x]))
+        rival &= ~(np.abs(gaps - gaps[x]) > REACH)
+        if cross:
+            rival &= side != side[x]
+        if not rival.any():
+            continue
+        own = codes[begin[x] : begin[x] + sizes[x]]
+        both = np.bincount(posted[ragged(cuts[own], cuts[own + 1] - cuts[own])], minlength=len(sets))
+        linked = np.nonzero(rival & (100 * both >= SIMILARITY * (sizes + sizes[x] - both)))[0]
+        for y in linked:
+            a, b = root(int(group[x])), root(int(group[y]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((int(points[x]), int(points[y])))
+    return out
+
+
+def _cell_join(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links between the components of each cell, found block by block."""
+
+    def run(_: tuple, rows: pa.Table) -> pa.Table:
+        shingles = [np.asarray(x) for x in rows["shingles"].combine_chunks().to_numpy(zero_copy_only=False)]
+        gaps = rows["distance"].to_numpy().astype(np.float64)
+        found = cell_links(rows["point"].to_numpy(), rows["component"].to_numpy(), gaps, rows["block"].to_numpy(), shingles)
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    blocks = F.ceil(F.col("points") / BLOCK).cast("int")
+    cells = cells.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int"))
+    dealt = cells.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = dealt.select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "point", "component", "distance", "block")
+    return dealt.join(sets.select("point", "shingles"), "point").groupBy("cell", "i", "j").applyInArrow(run, "a bigint, b bigint")
 
 
 def join_regions(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, component) of all points that links join, from regions in which every linked pair meets."""
-    first = members.groupBy("region").agg(F.min(F.struct("point", "n")).alias("p")).select("region", F.col("p.point").alias("pivot"), F.col("p.n").alias("pivot_n"))
-    paired = members.join(first, "region").filter("point <> pivot")
-    tried = paired.filter(_near_sizes("n", "pivot_n")).select(F.col("point").alias("a"), F.col("pivot").alias("b")).distinct()
+    # The pivot of a region is its most central point; regions of one pivot make one cell.
+    pivot = F.max(F.struct("central", "point", "n")).alias("p")
+    first = members.groupBy("region").agg(pivot).select("region", F.col("p.point").alias("cell"), F.col("p.n").alias("pivot_n"))
+    cells = store(members.join(first, "region").select("cell", "pivot_n", "point", "n").distinct(), "jaccard-cells")
+    tried = cells.filter("point <> cell").filter(_near_sizes("n", "pivot_n")).select(F.col("point").alias("a"), F.col("cell").alias("b"))
     known = store(similarity_links(tried, sets), "jaccard-distances")
     links = known.filter("linked").select("a", "b")
     found = store(connected(links), "jaccard-components")
-    left = _named(paired.select("region", "point", "n", "pivot"), found)
-    left = _open(left).join(known.select(F.col("a").alias("point"), F.col("b").alias("pivot"), "distance"), ["point", "pivot"], "left")
-    left = store(left.select(*_MEMBER), "jaccard-open")
-    pivots = PIVOTS
-    while not left.isEmpty():
-        # Small regions: every pair that nothing excludes; at most LEAF for a point.
-        leaves = left.filter(F.col("points") <= LEAF)
-        pairs = _tried(leaves, leaves, "x.point < y.point")
-        # Large ones: pivots against all others.
-        large = left.filter(F.col("points") > LEAF)
-        chosen = large.groupBy("region", F.pmod(F.xxhash64("point"), F.lit(pivots)).alias("bucket")).agg(F.min(F.struct("point", "n", "component", "distance")).alias("p"))
-        chosen = store(chosen.select("region", "p.*"), "jaccard-pivots")
-        pairs = pairs.unionByName(_tried(large, chosen, "true"))
-        known = store(similarity_links(pairs.distinct(), sets), "jaccard-distances")
-        more = known.filter("linked").select("a", "b")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            found = store(connected(links), "jaccard-components")
-        if chosen.isEmpty():
-            break
-        cells = _cells(large.join(chosen.select("region", F.col("point").alias("pivot")), "region"), known)
-        left = store(_open(_named(cells, found)).select(*_MEMBER), "jaccard-open")
-        pivots *= 4
-    return found
+    gaps = known.select(F.col("a").alias("point"), F.col("b").alias("cell"), "distance")
+    left = _open(_named(cells.filter("point <> cell").select("cell", "point"), found))
+    left = store(left.join(gaps, ["cell", "point"], "left"), "jaccard-open")
+    ready = left.filter(F.col("points") <= CELL)
+    large = left.filter(F.col("points") > CELL)
+    while not large.isEmpty():
+        cut = store(_cut(large, sets), "jaccard-cut")
+        again = store(_open(cut), "jaccard-open")
+        ready = ready.unionByName(again.filter(f"not parted or points <= {CELL}").drop("parted"))
+        large = again.filter(f"parted and points > {CELL}").drop("parted")
+    more = store(_cell_join(ready, sets), "jaccard-links")
+    if more.isEmpty():
+        return found
+    return store(connected(links.unionByName(more)), "jaccard-components")
 
 
 def _grouped(placed: DataFrame, docs: DataFrame) -> DataFrame:
     """``placed`` with ``component``: a point that all linked points share, null without shingles."""
     members = store(regions(placed.filter("n > 0")), "jaccard-regions")
     wanted = members.select("point").distinct()
-    ids = store(placed.join(wanted, "point", "left_semi").groupBy("point").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "jaccard-ids")
+    ids = store(placed.join(wanted, "point", "left_semi").groupBy("point").agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "jaccard-ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     rows = docs.select(F.col("doc_id").alias("id"), "text").join(ids, F.expr("id <=> doc_id"), "left_semi")
     sets = store(sets_of(rows), "jaccard-sets")
-    if sets.count() != sets.select("point").distinct().count():  # ids that several rows have
+    counts = sets.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("point").alias("points")).first()
+    if counts["n"] != counts["points"]:  # ids that several rows have
         sets = store(sets.dropDuplicates(["point"]), "jaccard-sets")
     found = join_regions(members, sets)
     rows = placed.drop("pivots").join(found.withColumnRenamed("node", "point"), "point", "left")

@@ -244,8 +244,12 @@ def test_jaccard_cases(spark, docs, no_docs):
     assert ids == sorted([*groups, *empty], key=str)
 
 
-def test_jaccard_chains_and_shared_passages(spark):
-    """Chains of edits, texts around one passage, and a large group of near copies."""
+@pytest.mark.parametrize("cell, block", [(4096, 512), (8, 5)])
+def test_jaccard_chains_and_shared_passages(spark, monkeypatch, cell, block):
+    """Chains of edits, texts around one passage, and a large group of near copies; also with cells cut and blocks."""
+    monkeypatch.setattr(jaccard, "CELL", cell)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "PIVOTS", 4 if cell == 8 else 16)
     rows, n = [], 0
     for base in range(4):
         words = varied(base + 10, 90).split()
@@ -266,6 +270,33 @@ def test_jaccard_chains_and_shared_passages(spark):
     assert found_components(frame) == plain_components(rows)
 
 
+def test_cell_links_span_all_links():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**62, 60, dtype=np.uint64)
+    sets = []
+    for i in range(90):
+        own = base.copy() if i < 60 else rng.integers(0, 2**62, 60, dtype=np.uint64)
+        own[rng.integers(0, 60, i % 9)] = rng.integers(0, 2**62, i % 9, dtype=np.uint64)
+        sets.append(np.unique(own))
+    gaps = np.array([1 - len(np.intersect1d(s, sets[5])) / len(np.union1d(s, sets[5])) for s in sets])
+    linked = {(i, j) for i in range(90) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
+
+    def groups(pairs):
+        names = list(range(90))
+        for a, b in pairs:
+            x, y = names[a], names[b]
+            names = [y if n == x else n for n in names]
+        return {tuple(i for i in range(90) if names[i] == n) for n in names}
+
+    for known in (gaps, np.full(90, np.nan)):
+        found = jaccard.cell_links(np.arange(90), np.arange(90), known, np.zeros(90, int), sets)
+        assert groups(found) == groups(linked) and len(found) == 90 - len(groups(linked))
+        assert all((max(p), min(p)) in linked for p in found)
+    side = np.arange(90) % 2
+    found = jaccard.cell_links(np.arange(90), np.arange(90), gaps, side, sets)
+    assert groups(found) == groups({p for p in linked if side[p[0]] != side[p[1]]})
+
+
 def test_jaccard_query(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
     assert sorted(map(tuple, queries.op8_jaccard(spark, FOLDER).collect()), key=str) == plain_components([tuple(r) for r in docs])
