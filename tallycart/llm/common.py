@@ -128,7 +128,7 @@ class HashIndex:
 class Pieces:
     """Distinct pieces of text with their ids, kept while a worker lives and emptied when full."""
 
-    def __init__(self, most: int = 1_000_000) -> None:
+    def __init__(self, most: int = 600_000) -> None:
         self.most = most
         self.clear()
 
