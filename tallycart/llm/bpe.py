@@ -20,6 +20,7 @@ import heapq
 import itertools
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -66,9 +67,17 @@ def splitters(pattern: str) -> tuple:
     return full, re.compile("".join(out))
 
 
-def read_ranks(path: str) -> dict[bytes, int]:
+def rank_lines(path: str) -> bytes:
     with open(path, "rb") as file:
-        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        return file.read()
+
+
+def read_ranks(path: str) -> dict[bytes, int]:
+    return parsed_ranks(rank_lines(path))
+
+
+def parsed_ranks(lines: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines())}
 
 
 class PairTable:
@@ -217,12 +226,18 @@ class Encoder:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
+@lru_cache(maxsize=1)
+def encoder_for(lines: bytes, pattern: str) -> Encoder:
+    """One encoder per worker, so that its pieces serve all tasks there."""
+    return Encoder(parsed_ranks(lines), pattern)
+
+
 def _rows(docs: DataFrame, rank_path: str, pattern: str, with_ids: bool) -> DataFrame:
     """The rank file is read on the driver and sent along with the tasks (about 1 MB), so executors need no copy."""
-    ranks = read_ranks(rank_path)
+    lines = rank_lines(rank_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks, pattern)
+        encoder = encoder_for(lines, pattern)
         for batch in chunks(batches):
             ids, counts = encoder.encode(texts(batch))
             ends = np.concatenate([[0], np.cumsum(counts)])
@@ -254,10 +269,10 @@ def digests(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
 
 def decoded(tokens: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     """(doc_id, text) of rows with ``ids``; bytes that are no UTF-8 show as replacement characters."""
-    ranks = read_ranks(rank_path)
+    lines = rank_lines(rank_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks, pattern)
+        encoder = encoder_for(lines, pattern)
         for batch in batches:
             own = [encoder.decode(np.array(i or [], np.int64)).decode("utf-8", "replace") for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(own, pa.string())], names=["doc_id", "text"])
