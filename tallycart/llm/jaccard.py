@@ -25,7 +25,7 @@ No window drops a pair within reach, so components are exact (shingles are 64-bi
 shingles uses counts of a bounded sample (``SAMPLE_DOCS``): it changes how crowded regions are, never
 the result.
 
-Lower-cased A-Z, words between ASCII white space. Fewer than ``WORDS`` words make one shingle;
+Lower-cased A-Z, words between ASCII white space. Fewer words than a shingle has make one;
 null or wordless texts have none and stay alone, even with each other. Repeated rows and ids share
 a point if their texts do; a component is named by its smallest id (null if all are null).
 """
@@ -33,6 +33,7 @@ a point if their texts do; a component is named by its smallest id (null if all
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +44,6 @@ from pyspark.sql import types as T
 from .common import HashIndex, chunks, ragged, store, utf8
 from .graph import connected
 
-WORDS = 4
-#: Least similarity of a link, in hundredths.
-SIMILARITY = 85
 #: Documents (expected) whose shingles are counted for the order, and shingles kept of them.
 SAMPLE_DOCS = 2000
 COMMON = 65_536
@@ -59,8 +57,33 @@ BLOCK = 512
 #: Up to so many ids (8 bytes each) are broadcast; beyond it they are joined by exchange.
 BROADCAST_IDS = 1_000_000
 
-#: Greatest distance of a link, with room for rounding.
-REACH = 1 - SIMILARITY / 100 + 1e-9
+
+@dataclass(frozen=True)
+class Rule:
+    """What a shingle and a link are: words of a shingle, least similarity in hundredths."""
+
+    words: int = 4
+    similarity: int = 85
+
+    @property
+    def reach(self) -> float:
+        """Greatest distance of a link, with room for rounding."""
+        return 1 - self.similarity / 100 + 1e-9
+
+    def overlap(self, n: int) -> int:
+        """Shingles that a set of ``n`` shares with a linked one, at least."""
+        return -(-self.similarity * n // 100)
+
+    def window(self, n: int) -> int:
+        """Regions a set of ``n`` is copied to."""
+        return n - self.overlap(n) + meetings(n)
+
+    def near(self, a: str, b: str) -> Column:
+        """Whether sets of these sizes can be linked."""
+        return F.expr(f"100 * least({a}, {b}) >= {self.similarity} * greatest({a}, {b})")
+
+
+RULE = Rule()
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -78,7 +101,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(data: np.ndarray, ends: np.ndarray, words: int = WORDS) -> Iterator[np.ndarray]:
+def shingle_sets(data: np.ndarray, ends: np.ndarray, words: int) -> Iterator[np.ndarray]:
     """The sorted set of hashed shingles of each text."""
     with np.errstate(over="ignore"):
         seen = ~_SPACE[data]
@@ -118,30 +141,20 @@ def point(shingles: np.ndarray) -> int:
         return int(_mixed(total + np.uint64(len(shingles)))[0].astype(np.int64))
 
 
-def overlap(n: int) -> int:
-    """Shingles that a set of ``n`` shares with a linked one, at least."""
-    return -(-SIMILARITY * n // 100)
-
-
 def meetings(n: int) -> int:
     return 1 + n // PER_MEETING
 
 
-def window(n: int) -> int:
-    """Regions a set of ``n`` is copied to."""
-    return n - overlap(n) + meetings(n)
-
-
 def _docs(docs: DataFrame, with_id: bool = True) -> tuple[DataFrame, str]:
     return docs.select("doc_id", "text"), docs.schema["doc_id"].dataType.simpleString()
 
 
-def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several documents of a sample have, with counts; most common first, bounded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            found = list(shingle_sets(*utf8(batch.column("text"))))
+            found = list(shingle_sets(*utf8(batch.column("text")), words))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64))], names=["e"])
 
     rows = docs.count()
@@ -152,16 +165,17 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.array([r["e"] for r in top], np.int64).astype(np.uint64), np.array([r["n"] for r in top], np.int64)
 
 
-def points(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def points(docs: DataFrame, rule: Rule) -> DataFrame:
     """(doc_id, n, point, pivots) of every document; ``pivots`` are the shingles of its window."""
     rows, kind = _docs(docs)
-    order, counts = common
+    words = rule.words
+    order, counts = common_shingles(docs, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = HashIndex(order)
         for batch in chunks(batches):
             sizes, names, first = [], [], []
-            for own in shingle_sets(*utf8(batch.column("text"))):
+            for own in shingle_sets(*utf8(batch.column("text")), words):
                 sizes.append(len(own))
                 names.append(point(own) if len(own) else None)
                 place = index.find(own)
@@ -169,7 +183,7 @@ def points(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                 if len(known):
                     times = counts[place[place >= 0]]
                     rare = np.concatenate([rare, known[np.lexsort((known, times))]])
-                first.append(rare[: window(len(own))] if len(own) else own)
+                first.append(rare[: rule.window(len(own))] if len(own) else own)
             ends = np.concatenate([[0], np.cumsum([len(f) for f in first])])
             values = np.concatenate(first).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -180,12 +194,12 @@ def points(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, n bigint, point bigint, pivots array<bigint>")
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, words: int) -> DataFrame:
     """(point, n, shingles) of every document with shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            found = [s for s in shingle_sets(*utf8(batch.column("text"))) if len(s)]
+            found = [s for s in shingle_sets(*utf8(batch.column("text")), words) if len(s)]
             ends = np.concatenate([[0], np.cumsum([len(s) for s in found])])
             values = np.concatenate([*found, np.zeros(0, np.uint64)]).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -196,11 +210,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "point bigint, n bigint, shingles array<bigint>")
 
 
-def _near_sizes(a: str, b: str) -> Column:
-    return F.expr(f"100 * least({a}, {b}) >= {SIMILARITY} * greatest({a}, {b})")
-
-
-def regions(placed: DataFrame) -> DataFrame:
+def regions(placed: DataFrame, rule: Rule) -> DataFrame:
     """(region, point, n, central): the least crowded first regions in which every linked pair meets once.
 
     ``central`` adds up how crowded all of a point's regions are: high for texts others derive from.
@@ -210,14 +220,14 @@ def regions(placed: DataFrame) -> DataFrame:
     shared = crowd.filter("a < b").select("region", "crowd").hint("shuffle_hash")
     # Copies of one text say the same; they are merged where they are read.
     met = copies.join(shared, "region").groupBy("point", "n").agg(F.collect_set(F.struct("crowd", "region")).alias("met"))
-    least = f"(1 + int(ceil({SIMILARITY} * n / 100) / {PER_MEETING}))"
+    least = f"(1 + int(ceil({rule.similarity} * n / 100) / {PER_MEETING}))"
     kept = F.expr(f"slice(array_sort(met), 1, size(met) - {least} + 1)")
     central = F.expr("aggregate(met, 0L, (a, m) -> a + m.crowd)").alias("central")
     met = met.filter(F.expr(f"size(met) >= {least}")).select(F.explode(kept).alias("m"), "point", "n", central)
     return met.select("m.region", "point", "n", "central")
 
 
-def similarity_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def similarity_links(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """``pairs`` (a, b), each once, with their exact Jaccard ``distance`` and whether they are linked."""
     own = sets.select(F.col("point").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     other = sets.select(F.col("point").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
@@ -226,7 +236,7 @@ def similarity_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     both = once.join(own, "a").select("a", "n_a", "s_a", F.explode("bs").alias("b")).join(other, "b")
     both = both.withColumn("both", F.size(F.array_intersect("s_a", "s_b")).cast("bigint"))
     union = F.col("n_a") + F.col("n_b") - F.col("both")
-    return both.select("a", "b", (1 - F.col("both") / union).alias("distance"), (100 * F.col("both") >= SIMILARITY * union).alias("linked"))
+    return both.select("a", "b", (1 - F.col("both") / union).alias("distance"), (100 * F.col("both") >= rule.similarity * union).alias("linked"))
 
 
 def _named(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -240,21 +250,21 @@ def _open(members: DataFrame) -> DataFrame:
     return members.join(sizes.filter("a < b").select("cell", "points"), "cell")
 
 
-def _cut(cells: DataFrame, sets: DataFrame) -> DataFrame:
+def _cut(cells: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Cells of more than ``CELL`` points cut by ``PIVOTS`` pivots of their own, or as they are.
 
     A point goes to the cell of its nearest pivot, and to every cell whose pivot may be the nearest of a neighbour: at
-    most 2 ``REACH`` behind. Where that would hold more than half as many points again, windows do not
+    most twice the reach of a link behind. Where that would hold more than half as many points again, windows do not
     part the cell and it stays whole.
     """
     bucket = F.pmod(F.xxhash64("point"), F.lit(PIVOTS))
     chosen = store(cells.groupBy("cell", bucket.alias("bucket")).agg(F.min("point").alias("pivot")).select("cell", "pivot"), "jaccard-pivots")
     paired = cells.join(chosen, "cell")
-    known = store(similarity_links(paired.select(F.col("point").alias("a"), F.col("pivot").alias("b")).filter("a <> b"), sets), "jaccard-distances")
+    known = store(similarity_links(paired.select(F.col("point").alias("a"), F.col("pivot").alias("b")).filter("a <> b"), sets, rule), "jaccard-distances")
     gaps = known.select(F.col("a").alias("point"), F.col("b").alias("pivot"), F.col("distance").alias("gap"))
     paired = paired.join(gaps, ["point", "pivot"], "left").withColumn("gap", F.coalesce("gap", F.lit(0.0)))
     nearest = paired.groupBy("cell", "point").agg(F.min("gap").alias("nearest"))
-    reached = paired.join(nearest, ["cell", "point"]).filter(F.col("gap") <= F.col("nearest") + 2 * REACH)
+    reached = paired.join(nearest, ["cell", "point"]).filter(F.col("gap") <= F.col("nearest") + 2 * rule.reach)
     parted = reached.groupBy("cell").agg((F.count(F.lit(1)) <= 1.5 * F.max("points")).alias("parted"))
     reached = reached.join(parted, "cell")
     name = F.when(F.col("parted"), F.xxhash64("cell", "pivot")).otherwise(F.col("cell")).alias("cell")
@@ -262,7 +272,7 @@ def _cut(cells: DataFrame, sets: DataFrame) -> DataFrame:
     return reached.select(name, "point", gap, "component", "parted").distinct()
 
 
-def cell_links(points: np.ndarray, group: np.ndarray, gaps: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def cell_links(points: np.ndarray, group: np.ndarray, gaps: np.ndarray, side: np.ndarray, sets: list[np.ndarray], rule: Rule = RULE) -> list[tuple[int, int]]:
     """Links that join the components (``group``) of one cell, or of two blocks of it: a spanning set, no more.
 
     Only points outside the largest component are compared, each with all of other components that the triangle inequality
@@ -290,15 +300,15 @@ def cell_links(points: np.ndarray, group: np.ndarray, gaps: np.ndarray, side: np
     largest = int(np.bincount(group).argmax())
     for x in np.nonzero(group != largest)[0]:
         now = np.array([root(g) for g in range(len(names))])[group]
-        rival = (now != now[x]) & (100 * np.minimum(sizes, sizes[x]) >= SIMILARITY * np.maximum(sizes, sizes[x]))
-        rival &= ~(np.abs(gaps - gaps[x]) > REACH)
+        rival = (now != now[x]) & (100 * np.minimum(sizes, sizes[x]) >= rule.similarity * np.maximum(sizes, sizes[x]))
+        rival &= ~(np.abs(gaps - gaps[x]) > rule.reach)
         if cross:
             rival &= side != side[x]
         if not rival.any():
             continue
         own = codes[begin[x] : begin[x] + sizes[x]]
         both = np.bincount(posted[ragged(cuts[own], cuts[own + 1] - cuts[own])], minlength=len(sets))
-        linked = np.nonzero(rival & (100 * both >= SIMILARITY * (sizes + sizes[x] - both)))[0]
+        linked = np.nonzero(rival & (100 * both >= rule.similarity * (sizes + sizes[x] - both)))[0]
         for y in linked:
             a, b = root(int(group[x])), root(int(group[y]))
             if a != b:
@@ -307,13 +317,13 @@ def cell_links(points: np.ndarray, group: np.ndarray, gaps: np.ndarray, side: np
     return out
 
 
-def _cell_join(cells: DataFrame, sets: DataFrame) -> DataFrame:
+def _cell_join(cells: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): links between the components of each cell, found block by block."""
 
     def run(_: tuple, rows: pa.Table) -> pa.Table:
         shingles = [np.asarray(x) for x in rows["shingles"].combine_chunks().to_numpy(zero_copy_only=False)]
         gaps = rows["distance"].to_numpy().astype(np.float64)
-        found = cell_links(rows["point"].to_numpy(), rows["component"].to_numpy(), gaps, rows["block"].to_numpy(), shingles)
+        found = cell_links(rows["point"].to_numpy(), rows["component"].to_numpy(), gaps, rows["block"].to_numpy(), shingles, rule)
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -324,14 +334,14 @@ def _cell_join(cells: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.join(sets.select("point", "shingles"), "point").groupBy("cell", "i", "j").applyInArrow(run, "a bigint, b bigint")
 
 
-def join_regions(members: DataFrame, sets: DataFrame) -> DataFrame:
+def join_regions(members: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """(node, component) of all points that links join, from regions in which every linked pair meets."""
     # The pivot of a region is its most central point; regions of one pivot make one cell.
     pivot = F.max(F.struct("central", "point", "n")).alias("p")
     first = members.groupBy("region").agg(pivot).select("region", F.col("p.point").alias("cell"), F.col("p.n").alias("pivot_n"))
     cells = store(members.join(first, "region").select("cell", "pivot_n", "point", "n").distinct(), "jaccard-cells")
-    tried = cells.filter("point <> cell").filter(_near_sizes("n", "pivot_n")).select(F.col("point").alias("a"), F.col("cell").alias("b"))
-    known = store(similarity_links(tried, sets), "jaccard-distances")
+    tried = cells.filter("point <> cell").filter(rule.near("n", "pivot_n")).select(F.col("point").alias("a"), F.col("cell").alias("b"))
+    known = store(similarity_links(tried, sets, rule), "jaccard-distances")
     links = known.filter("linked").select("a", "b")
     found = store(connected(links), "jaccard-components")
     gaps = known.select(F.col("a").alias("point"), F.col("b").alias("cell"), "distance")
@@ -340,54 +350,54 @@ def join_regions(members: DataFrame, sets: DataFrame) -> DataFrame:
     ready = left.filter(F.col("points") <= CELL)
     large = left.filter(F.col("points") > CELL)
     while not large.isEmpty():
-        cut = store(_cut(large, sets), "jaccard-cut")
+        cut = store(_cut(large, sets, rule), "jaccard-cut")
         again = store(_open(cut), "jaccard-open")
         ready = ready.unionByName(again.filter(f"not parted or points <= {CELL}").drop("parted"))
         large = again.filter(f"parted and points > {CELL}").drop("parted")
-    more = store(_cell_join(ready, sets), "jaccard-links")
+    more = store(_cell_join(ready, sets, rule), "jaccard-links")
     if more.isEmpty():
         return found
     return store(connected(links.unionByName(more)), "jaccard-components")
 
 
-def _grouped(placed: DataFrame, docs: DataFrame) -> DataFrame:
+def _grouped(placed: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """``placed`` with ``component``: a point that all linked points share, null without shingles."""
-    members = store(regions(placed.filter("n > 0")), "jaccard-regions")
+    members = store(regions(placed.filter("n > 0"), rule), "jaccard-regions")
     wanted = members.select("point").distinct()
     ids = store(placed.join(wanted, "point", "left_semi").groupBy("point").agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "jaccard-ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     rows = docs.select(F.col("doc_id").alias("id"), "text").join(ids, F.expr("id <=> doc_id"), "left_semi")
-    sets = store(sets_of(rows), "jaccard-sets")
+    sets = store(sets_of(rows, rule.words), "jaccard-sets")
     counts = sets.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("point").alias("points")).first()
     if counts["n"] != counts["points"]:  # ids that several rows have
         sets = store(sets.dropDuplicates(["point"]), "jaccard-sets")
-    found = join_regions(members, sets)
+    found = join_regions(members, sets, rule)
     rows = placed.drop("pivots").join(found.withColumnRenamed("node", "point"), "point", "left")
     return rows.withColumn("component", F.coalesce("component", "point"))
 
 
-def components(docs: DataFrame) -> DataFrame:
+def components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    placed = store(points(docs, common_shingles(docs)), "jaccard-points")
-    rows = _grouped(placed, docs)
+    placed = store(points(docs, rule), "jaccard-points")
+    rows = _grouped(placed, docs, rule)
     names = rows.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     named = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
     return rows.join(names, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), named.alias("component_id"))
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """One row of each component, all columns kept: the one with the smallest id.
 
     Documents without shingles stay. Null ids come after all others; among rows of one id in
     one component the one with the fewest shingles, then the smaller point, stays, and of rows alike one.
     """
-    placed = store(points(docs, common_shingles(docs)), "jaccard-points")
-    rows = _grouped(placed, docs).filter("n > 0")
+    placed = store(points(docs, rule), "jaccard-points")
+    rows = _grouped(placed, docs, rule).filter("n > 0")
     first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n", "point")).alias("r"))
     kept = first.select(F.col("r.doc_id").alias("_id"), F.col("r.point").alias("_point"))
     # A row is found again by its id and its point, which is computed anew beside it.
-    own = with_points(docs)
+    own = with_points(docs, rule.words)
     empty = own.filter("_p is null").drop("_p")
     chosen = own.filter("_p is not null").join(kept, F.expr("doc_id <=> _id and _p = _point"), "left_semi")
     repeated = placed.filter("n > 0").groupBy("doc_id", "point").count().filter("count > 1").limit(1).count()
@@ -396,12 +406,12 @@ def representatives(docs: DataFrame) -> DataFrame:
     return chosen.drop("_p").unionByName(empty)
 
 
-def with_points(docs: DataFrame) -> DataFrame:
+def with_points(docs: DataFrame, words: int) -> DataFrame:
     """The documents with their point as ``_p``; null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            names = [point(s) if len(s) else None for s in shingle_sets(*utf8(batch.column("text")))]
+            names = [point(s) if len(s) else None for s in shingle_sets(*utf8(batch.column("text")), words)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.int64())], names=[*batch.schema.names, "_p"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_p", T.LongType())]))

@@ -229,8 +229,8 @@ def plain_components(rows, words=4, t=85):
     return sorted(out, key=str)
 
 
-def found_components(frame):
-    return sorted(map(tuple, jaccard.components(frame).collect()), key=str)
+def found_components(frame, rule=jaccard.RULE):
+    return sorted(map(tuple, jaccard.components(frame, rule).collect()), key=str)
 
 
 def test_jaccard_cases(spark, docs, no_docs):
@@ -268,6 +268,7 @@ def test_jaccard_chains_and_shared_passages(spark, monkeypatch, cell, block):
         n += 1
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert found_components(frame) == plain_components(rows)
+    assert found_components(frame, jaccard.Rule(5, 80)) == plain_components(rows, 5, 80)
 
 
 def test_cell_links_span_all_links():
@@ -307,9 +308,10 @@ def test_window_never_loses_a_pair():
         for m in range(n, n * 100 // 85 + 2):
             both = -(-85 * (n + m) // 185)
             if both <= n and 100 * both >= 85 * (n + m - both):
-                assert both >= jaccard.overlap(m) >= jaccard.overlap(n)
+                rule = jaccard.RULE
+                assert both >= rule.overlap(m) >= rule.overlap(n)
                 least = min(jaccard.meetings(n), jaccard.meetings(m))
-                assert least >= jaccard.meetings(jaccard.overlap(n)) and least >= jaccard.meetings(jaccard.overlap(m))
+                assert least >= jaccard.meetings(rule.overlap(n)) and least >= jaccard.meetings(rule.overlap(m))
 
 
 def test_connected(spark):
