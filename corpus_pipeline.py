@@ -14,6 +14,10 @@ from tallycart.llm import bpe, jaccard, mixing, pii, toxicity
 from tallycart.llm.common import held_out, share_package, store
 
 
+#: Near copies of the pipeline: five-word shingles, similarity 0.8 or more.
+NEAR = jaccard.Rule(words=5, similarity=80)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from labelled rows outside the held-out fold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out(F.col("doc_id")))
@@ -26,7 +30,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows without an id are kept unless they share a group with one that has an id. Rows with one id and one text are copies
     too, and one of them stays.
     """
-    return jaccard.representatives(docs)
+    return jaccard.representatives(docs, NEAR)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
