@@ -54,7 +54,7 @@ CELL = 4096
 PIVOTS = 16
 #: Points of a block; a task holds two.
 BLOCK = 512
-#: Up to so many ids (8 bytes each) are broadcast; beyond it they are joined by exchange.
+#: Up to so many ids, or pairs of them, are broadcast (8 bytes an id); beyond it they are joined by exchange.
 BROADCAST_IDS = 1_000_000
 
 
@@ -227,12 +227,16 @@ def regions(placed: DataFrame, rule: Rule) -> DataFrame:
     return met.select("m.region", "point", "n", "central")
 
 
-def similarity_links(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """``pairs`` (a, b), each once, with their exact Jaccard ``distance`` and whether they are linked."""
+def similarity_links(pairs: DataFrame, sets: DataFrame, rule: Rule, few: bool = False) -> DataFrame:
+    """``pairs`` (a, b), each once, with their exact Jaccard ``distance`` and whether they are linked.
+
+    ``few``: the pairs are known to be at most ``BROADCAST_IDS``; then they go to the sets, which stay where they are.
+    """
     own = sets.select(F.col("point").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     other = sets.select(F.col("point").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
     # Partners are gathered per point, so that the exchange that merges repeats also serves the first join.
     once = pairs.groupBy("a").agg(F.collect_set("b").alias("bs"))
+    once = F.broadcast(once) if few else once
     both = once.join(own, "a").select("a", "n_a", "s_a", F.explode("bs").alias("b")).join(other, "b")
     both = both.withColumn("both", F.size(F.array_intersect("s_a", "s_b")).cast("bigint"))
     union = F.col("n_a") + F.col("n_b") - F.col("both")
@@ -341,7 +345,7 @@ def join_regions(members: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     first = members.groupBy("region").agg(pivot).select("region", F.col("p.point").alias("cell"), F.col("p.n").alias("pivot_n"))
     cells = store(members.join(first, "region").select("cell", "pivot_n", "point", "n").distinct(), "jaccard-cells")
     tried = cells.filter("point <> cell").filter(rule.near("n", "pivot_n")).select(F.col("point").alias("a"), F.col("cell").alias("b"))
-    known = store(similarity_links(tried, sets, rule), "jaccard-distances")
+    known = store(similarity_links(tried, sets, rule, cells.count() <= BROADCAST_IDS), "jaccard-distances")
     links = known.filter("linked").select("a", "b")
     found = store(connected(links), "jaccard-components")
     gaps = known.select(F.col("a").alias("point"), F.col("b").alias("cell"), "distance")
