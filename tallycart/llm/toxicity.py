@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, texts
+from .common import chunks, store, texts
 
 #: Expected labelled rows of either class in the fit.
 SAMPLE_DOCS = 3000
@@ -112,37 +112,77 @@ class Model:
         return {"weights": self.weights, "constant": self.constant, "cache": {}}
 
 
-def counterfactuals(own: tuple[str, ...]) -> list[tuple[str, str]]:
+def counterfactuals(own: list[str]) -> list[tuple[str, str]]:
     """(named, other) for every group word of a text and every other term of its line."""
     return [(w, other) for w in own if w in _GROUP for other in _GROUP[w] if other != w]
 
 
-def train(rows: list[tuple[int, list[str]]]) -> Model:
-    """Fit on the sample: gradient steps on the mean loss of balanced classes and both penalties."""
-    rows = sorted({(y, tuple(own)) for y, own in rows})  # copies would make chance words look telling
-    y = np.array([r[0] for r in rows], float)
-    if not len(y) or y.min() == y.max():
-        share = float(y.mean()) if len(y) else 0.0
+def feature_counts(rows: DataFrame) -> DataFrame:
+    """(feature, a, b): toxic and other rows of ``bags`` that have each feature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = (Counter(), Counter())
+            for label, own in zip(batch.column("toxic").to_pylist(), batch.column("words").to_pylist()):
+                seen[label].update({f for w in own for f in features(w)})
+            names = list(seen[0].keys() | seen[1].keys())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([seen[i][n] for n in names], pa.int64()) for i in (1, 0))], names=["feature", "a", "b"])
+
+    counted = rows.mapInArrow(run, "feature string, a bigint, b bigint")
+    return counted.groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+
+
+def vectors(rows: DataFrame, names: list[str]) -> DataFrame:
+    """(toxic, cols, times, named): counts of the kept features, and the group words, of each row."""
+    place = {f: i for i, f in enumerate(names)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols, times, named = [], [], []
+            for own in batch.column("words").to_pylist():
+                found = Counter(place[f] for w in own for f in features(w) if f in place)
+                cols.append(sorted(found))
+                times.append([found[c] for c in cols[-1]])
+                named.append(sorted(w for w in own if w in _GROUP))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic"), pa.array(cols, pa.list_(pa.int32())), pa.array(times, pa.list_(pa.int32())), pa.array(named, pa.list_(pa.string()))],
+                names=["toxic", "cols", "times", "named"],
+            )
+
+    return rows.mapInArrow(run, "toxic int, cols array<int>, times array<int>, named array<string>")
+
+
+def fit_bags(rows: DataFrame) -> Model:
+    """Fit on ``bags``, each once, since copies would make chance words look telling.
+
+    Features are counted and chosen on the cluster; the driver gets ``FEATURES`` names at
+    most and, of each row of the sample, the counts of those.
+    """
+    rows = store(rows.distinct(), "toxicity-bags")
+    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n1, n0 = float(sizes.get(1, 0)), float(sizes.get(0, 0))
+    if not n1 or not n0:
+        share = 1.0 if n1 else 0.0
         return Model({}, math.log((share + 1e-9) / (1 - share + 1e-9)))
-    bags_ = [Counter(f for w in own for f in features(w)) for _, own in rows]
-    seen = (Counter(), Counter())
-    for label, bag in zip(y, bags_):
-        seen[int(label)].update(bag.keys())
-    n1, n0 = float(y.sum()), float(len(y) - y.sum())
-    ranked = []
-    for feature in seen[0].keys() | seen[1].keys():
-        a, b = seen[1][feature], seen[0][feature]
-        if a + b >= LEAST_DOCS:
-            chi2 = (a * (n0 - b) - b * (n1 - a)) ** 2 * (n0 + n1) / ((a + b) * (n0 + n1 - a - b) * n1 * n0 or 1)
-            if chi2 >= LEAST_CHI2:
-                ranked.append((-chi2, feature))
-    names = [f for _, f in sorted(ranked)[:FEATURES]]
+    have = F.col("a") + F.col("b")
+    apart = F.col("a") * (F.lit(n0) - F.col("b")) - F.col("b") * (F.lit(n1) - F.col("a"))
+    spread = have * (F.lit(n0 + n1) - have) * n1 * n0
+    chi2 = F.when(spread > 0, apart * apart * (n0 + n1) / spread).otherwise(0.0)
+    kept = feature_counts(rows).filter(have >= LEAST_DOCS).select("feature", chi2.alias("chi2")).filter(F.col("chi2") >= LEAST_CHI2)
+    names = [r["feature"] for r in kept.orderBy(F.desc("chi2"), "feature").limit(FEATURES).collect()]
+    found = sorted((r["toxic"], r["cols"], r["times"], r["named"]) for r in vectors(rows, names).collect())
+    y = np.array([f[0] for f in found], float)
+    row = np.repeat(np.arange(len(found)), [len(f[1]) for f in found])
+    col = np.array([c for f in found for c in f[1]], int)
+    val = np.log1p(np.array([t for f in found for t in f[2]], float))
+    return solve(y, row, col, val, names, Counter(s for f in found for s in counterfactuals(f[3])))
+
+
+def solve(y: np.ndarray, row: np.ndarray, col: np.ndarray, val: np.ndarray, names: list[str], swaps: Counter) -> Model:
+    """Gradient steps on the mean loss of balanced classes and both penalties."""
     place = {f: i for i, f in enumerate(names)}
-    at = [(i, place[f], n) for i, bag in enumerate(bags_) for f, n in bag.items() if f in place]
-    row, col, val = (np.array(x) for x in zip(*at)) if at else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
-    row, col, val = row.astype(int), col.astype(int), np.log1p(val.astype(float))
+    n1, n0 = float(y.sum()), float(len(y) - y.sum())
     # Each swap is a row of differences: what the other term brings less what the named one takes away.
-    swaps = Counter(s for _, own in rows for s in counterfactuals(own))
     differences = []
     for (named, other), times in sorted(swaps.items()):
         d = np.zeros(len(names))
@@ -151,7 +191,7 @@ def train(rows: list[tuple[int, list[str]]]) -> Model:
                 if f in place:
                     d[place[f]] += sign
         if d.any():
-            differences.append(d * math.sqrt(times / len(rows)))
+            differences.append(d * math.sqrt(times / len(y)))
     d = np.array(differences) if differences else np.zeros((0, len(names)))
     weight = np.where(y == 1, 0.5 / n1, 0.5 / n0)
     w, constant = np.zeros(len(names)), 0.0
@@ -166,13 +206,13 @@ def train(rows: list[tuple[int, list[str]]]) -> Model:
         a, b = 1 - 0.9**step, 1 - 0.99**step
         w -= 0.1 * (m / a) / (np.sqrt(v / b) + 1e-8)
         constant -= 0.1 * (m0 / a) / (math.sqrt(v0 / b) + 1e-8)
-    # A word's own beginning counts once in log1p(1); scores add weights of words as they are.
+    # A feature that one word of a text has counts log1p(1); scores add weights of words as they are.
     return Model({f: float(x) * math.log(2) for f, x in zip(names, w) if abs(x) > 1e-6}, float(constant))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_DOCS) -> Model:
-    """Learn from the labelled rows given; what comes to the driver is bounded by the sample."""
-    return train(sorted((r["toxic"], r["words"]) for r in bags(sample(docs, labels, per_class)).collect()))
+    """Learn from the labelled rows given."""
+    return fit_bags(bags(sample(docs, labels, per_class)))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

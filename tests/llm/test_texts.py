@@ -208,13 +208,14 @@ def test_toxicity_held_out(spark):
     assert sum(caught) >= 0.85 * len(caught) and sum(wrong) <= 0.01 * len(wrong)
 
 
-def test_counterfactuals_make_mentions_neutral():
+def test_counterfactuals_make_mentions_neutral(spark):
     """A group named only in toxic texts must not make a neutral mention toxic."""
     rows = [(1, ["you", "idiot", "muslim", f"n{i}"]) for i in range(20)] + [(1, ["stupid", "muslim", f"m{i}"]) for i in range(20)]
     rows += [(0, ["a", "christian", "walked", f"k{i}"]) for i in range(40)]
-    fair = toxicity.train(rows)
+    bags = spark.createDataFrame(rows, "toxic int, words array<string>")
+    fair = toxicity.fit_bags(bags)
     keep, toxicity.FAIRNESS = toxicity.FAIRNESS, 0.0
-    plain = toxicity.train(rows)
+    plain = toxicity.fit_bags(bags)
     toxicity.FAIRNESS = keep
     gap = lambda m: abs(m.word("muslim") - m.word("christian"))
     assert gap(fair) < 0.25 * gap(plain)
