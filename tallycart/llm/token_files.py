@@ -28,10 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Pieces, chunks, utf8
+from .common import Pieces, chunks, store, utf8
 
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 128 << 10
+#: Up to so many files (16 bytes each) their starts are broadcast; beyond it they are joined by exchange.
+BROADCAST_FILES = 1_000_000
 
 
 _MARKS = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=[ \t-\r]|\Z)")
@@ -122,6 +124,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     before = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     starts = table.groupBy("file_no").agg(F.sum("n_tokens").alias("_sum"))
     starts = starts.select("file_no", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    starts = store(starts, "token-starts")
+    if starts.count() <= BROADCAST_FILES:
+        starts = F.broadcast(starts)  # so that the ids stay where they are
     return table.join(starts, "file_no").select("doc_id", (F.col("_start") + F.col("file_start")).alias("start"), "n_tokens", "ids")
 
 
