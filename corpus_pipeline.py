@@ -39,7 +39,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, the last of a shard in part."""
+    """Documents as often as the mix takes them, the last of a source in part."""
     return mixing.taken_texts(docs)
 
 

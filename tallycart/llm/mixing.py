@@ -3,9 +3,10 @@
 Every source gets a number of equal blocks of ``BLOCK_WORDS`` words by Sainte-Laguë: a block
 goes to the highest quotient target / (2k + 1), k being the blocks already given. Within a
 source its blocks go to ``SLOTS`` fixed shards by the same rule, shard sizes being
-the votes. In a shard the documents lie in seeded order and the quota is read off from the
-start: whole rounds first (a quota may exceed the shard), then the leading words, so that the
-last document may be taken in part.
+the votes. The documents of a source lie in seeded order, shard after shard, and the quotas of its
+shards are read off together from the start: whole rounds first (they may exceed the source), then
+leading documents, so that one document of a source at most is taken in part. ``slot_mix``
+reads off each shard's quota within the shard, as op2's SQL does.
 
 Quotients far above the cut need not be listed: a party's seats differ from its share of the seats
 by less than its share of the number of parties, so only seats that close to it are ranked.
@@ -79,7 +80,7 @@ def seats(parties: DataFrame, within: list[str], votes: str, order: str, house:
 
 
 def quotas(sizes: DataFrame, seed: str = SEED) -> DataFrame:
-    """(shard, shard_size, quota, source_size, target): the words each shard gives."""
+    """(shard, pos, shard_size, quota, source_size, target): the words each shard gives."""
     sources = source_targets(sizes)
     house = F.round(F.sum("target").over(Window.partitionBy()) / BLOCK_WORDS).cast("bigint")
     sources = seats(sources, [], "target", "pos", house).withColumnRenamed("seats", "source_seats")
@@ -88,25 +89,51 @@ def quotas(sizes: DataFrame, seed: str = SEED) -> DataFrame:
     shards = shards.select("a.shard", "a.shard_size", "b.pos", "b.source_size", "b.target", "b.source_seats")
     given = seats(shards, ["pos"], "shard_size", "shard", F.col("source_seats"))
     quota = F.least(F.col("seats") * BLOCK_WORDS, MOST * F.col("shard_size"))
-    return given.select("shard", "shard_size", quota.alias("quota"), "source_size", "target")
+    return given.select("shard", "pos", "shard_size", quota.alias("quota"), "source_size", "target")
 
 
-def mix(rows: DataFrame, seed: str = SEED, sizes: DataFrame | None = None) -> DataFrame:
-    """``rows`` (doc_id, source, size and any others) with ``source_size``, ``target`` and ``taken``.
+def source_quotas(sizes: DataFrame, seed: str = SEED) -> DataFrame:
+    """(shard, pool_size, quota, start, source_size, target): the words of a source, to be taken from its shards in order."""
+    source = Window.partitionBy("pos")
+    before = source.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # SLOTS rows at most
+    given = quotas(sizes, seed)
+    return given.select(
+        "shard", F.col("source_size").alias("pool_size"), F.sum("quota").over(source).alias("quota"),
+        F.coalesce(F.sum("shard_size").over(before), F.lit(0)).alias("start"), "source_size", "target",
+    )
 
-    ``sizes`` are the same rows without the others, where those are costly to read twice.
+
+def _taken(rows: DataFrame, given: DataFrame, seed: str) -> DataFrame:
+    """``rows`` with ``source_size``, ``target`` and ``taken``: the first ``quota`` words of a pool, whole rounds first.
+
+    A shard's documents lie in its pool behind the ``start`` words of the shards before it.
     """
     own = Window.partitionBy("_shard").orderBy(_draw(F.col("doc_id"), seed), "doc_id", "size")
-    before = F.coalesce(F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    given = quotas(rows if sizes is None else sizes, seed).select(
-        F.col("shard").alias("_shard"), F.col("shard_size").alias("_shard_size"), F.col("quota").alias("_quota"), "source_size", "target"
+    before = F.col("_start") + F.coalesce(F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    given = given.select(
+        F.col("shard").alias("_shard"), F.col("pool_size").alias("_pool_size"), F.col("quota").alias("_quota"), F.col("start").alias("_start"), "source_size", "target"
     )
     joined = rows.withColumn("_shard", _shard(F.col("doc_id"), seed)).join(given, "_shard").withColumn("_before", before)
-    rounds = F.when(F.col("_shard_size") > 0, F.expr("_quota div _shard_size")).otherwise(F.lit(0))
-    rest = F.col("_quota") - F.col("_rounds") * F.col("_shard_size") - F.col("_before")
+    rounds = F.when(F.col("_pool_size") > 0, F.expr("_quota div _pool_size")).otherwise(F.lit(0))
+    rest = F.col("_quota") - F.col("_rounds") * F.col("_pool_size") - F.col("_before")
     taken = F.col("_rounds") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
     joined = joined.withColumn("_rounds", rounds).withColumn("taken", taken.cast("bigint"))
-    return joined.drop("_shard", "_shard_size", "_quota", "_before", "_rounds")
+    return joined.drop("_shard", "_pool_size", "_quota", "_start", "_before", "_rounds")
+
+
+def mix(rows: DataFrame, seed: str = SEED, sizes: DataFrame | None = None) -> DataFrame:
+    """``rows`` (doc_id, source, size and any others) with ``source_size``, ``target`` and ``taken``.
+
+    Documents are taken whole; at most one of a source is taken in part.
+    ``sizes`` are the same rows without the others, where those are costly to read twice.
+    """
+    return _taken(rows, source_quotas(rows if sizes is None else sizes, seed), seed)
+
+
+def slot_mix(rows: DataFrame, seed: str = SEED) -> DataFrame:
+    """As ``mix``, by the rule of op2's SQL: every shard reads off its own quota, so one document of each may be taken in part."""
+    given = quotas(rows, seed).select("shard", F.col("shard_size").alias("pool_size"), "quota", F.lit(0).alias("start"), "source_size", "target")
+    return _taken(rows, given, seed)
 
 
 def sized(docs: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    mixed = mixing.mix(mixing.sized(table(spark, folder, "documents")))
+    mixed = mixing.slot_mix(mixing.sized(table(spark, folder, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

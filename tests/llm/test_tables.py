@@ -93,6 +93,19 @@ def test_mixing_cases(spark, docs, no_docs):
     assert mixing.mix(mixing.sized(no_docs)).count() == 0 and mixing.taken_texts(no_docs).count() == 0
 
 
+def test_mix_takes_whole_documents(spark):
+    """One document a source at most is cut, however few documents a shard has."""
+    rows = [(i, " ".join([f"w{i}", "\tx "] * (i % 7 + 1)), f"s{i % 3}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    texts, whole, cut = {r[0]: r[1] for r in rows}, {}, {}
+    for r in mixing.taken_texts(docs).collect():
+        part = r["text"] != texts[r["doc_id"]]
+        assert not part or texts[r["doc_id"]].split()[: len(r["text"].split())] == r["text"].split()
+        (cut if part else whole).setdefault(r["source"], []).append(r["doc_id"])
+    assert len(whole) == 3 and all(len(v) <= 1 for v in cut.values())
+    assert all(len(whole[s]) > 20 for s in whole)
+
+
 def test_mixing_runs_no_python(spark):
     plan = queries.op2_mixing(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
