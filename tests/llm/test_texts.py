@@ -5,9 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import string
+import unicodedata
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -133,6 +136,30 @@ def test_token_files(spark, docs, no_docs, tmp_path):
     assert "ids" not in plan and "EqualTo(doc_id,8)" in plan
 
 
+def test_token_words_compose_before_lower_case():
+    """Capitals whose marks compose in lower case only, in any company, against the library."""
+    library = Tokenizer.from_file(WORDS)
+    encoder = token_files.WordEncoder(library.to_str())
+    words = [base + mark + rest for base in "JTHWYAaX9." for mark in ("\u030c", "\u0308", "\u0331", "\u030a", "\u0323\u0307", "\u1dc4\u030c") for rest in ("", "an", "AN.", "É,", ";")]
+    random.seed(4)
+    texts = [*words, "J\u030c", "one TWO, J\u030can. Three!", "J\u030c T\u0308\tEnd.", "Ab \u030c", "A\u037e B\u0345 C.", "ÉA. \u212aB!"]
+    texts += ["".join(random.choice(["J", "T", "h", "W", "É", "Σ", " ", "\n", ".", "!", "9", "\u030c", "\u0308", "\u0331", "\u030a", "\u0344", "\u0f73"]) for _ in range(random.choice([5, 60]))) for _ in range(600)]
+    ids, counts = encoder.encode(pa.array(texts), 2)
+    at = 0
+    for text, n in zip(texts, counts):
+        assert ids[at : at + n].tolist() == [*library.encode(text, add_special_tokens=False).ids, 2], ascii(text)
+        at += n
+
+
+def test_only_one_block_composes_with_ascii():
+    """What ``token_files.split_words`` relies on: an ASCII letter composes only with U+0300 to U+037F."""
+    for code in range(0x80, 0x110000):
+        if not 0xD800 <= code < 0xE000 and unicodedata.combining(chr(code)):
+            for base in string.ascii_letters:
+                both = unicodedata.normalize("NFC", base + chr(code))
+                assert 0x300 <= code < 0x380 or both[0] == base
+
+
 def test_language_cases(spark, docs, no_docs):
     model = language.fit(docs.filter("lang in ('en', 'xx')"))
     rows = {r["doc_id"]: r for r in language.predict(docs, model).collect() if r["doc_id"]}
