@@ -1,12 +1,12 @@
 """Mixing sources to target weights with DataFrame operations only.
 
 Every source gets a number of equal blocks of ``BLOCK_WORDS`` words by Sainte-Laguë: a block
-goes to the highest quotient target / (2k + 1), k being the blocks already given. Within a
-source its blocks go to ``SLOTS`` fixed shards by the same rule, shard sizes being
-the votes. The documents of a source lie in seeded order, shard after shard, and the quotas of its
-shards are read off together from the start: whole rounds first (they may exceed the source), then
-leading documents, so that one document of a source at most is taken in part. ``slot_mix``
-reads off each shard's quota within the shard, as op2's SQL does.
+goes to the highest quotient target / (2k + 1), k being the blocks already given. The documents
+of a source lie in seeded order, in ``SLOTS`` fixed shards one after another, and its words are read off
+from the start: whole rounds first (they may exceed the source), then leading documents, so that
+one document of a source at most is taken in part. ``slot_mix`` follows op2's SQL: a source's blocks
+go to its shards by the same rule, shard sizes being the votes, and are read off within the
+shard, ``MOST`` times its size at most.
 
 Quotients far above the cut need not be listed: a party's seats differ from its share of the seats
 by less than its share of the number of parties, so only seats that close to it are ranked.
@@ -79,28 +79,35 @@ def seats(parties: DataFrame, within: list[str], votes: str, order: str, house:
     return ranked.groupBy(*within, order).agg(*columns, (F.max("_base") + F.sum("_won")).alias("seats"))
 
 
-def quotas(sizes: DataFrame, seed: str = SEED) -> DataFrame:
-    """(shard, pos, shard_size, quota, source_size, target): the words each shard gives."""
+def _shards(sizes: DataFrame, seed: str) -> DataFrame:
+    """(shard, shard_size, pos, source_size, target, source_seats)"""
     sources = source_targets(sizes)
     house = F.round(F.sum("target").over(Window.partitionBy()) / BLOCK_WORDS).cast("bigint")
     sources = seats(sources, [], "target", "pos", house).withColumnRenamed("seats", "source_seats")
     shards = sizes.groupBy("source", _shard(F.col("doc_id"), seed).alias("shard")).agg(F.sum("size").alias("shard_size"))
     shards = shards.alias("a").join(sources.alias("b"), F.expr("a.source <=> b.source"))
-    shards = shards.select("a.shard", "a.shard_size", "b.pos", "b.source_size", "b.target", "b.source_seats")
-    given = seats(shards, ["pos"], "shard_size", "shard", F.col("source_seats"))
+    return shards.select("a.shard", "a.shard_size", "b.pos", "b.source_size", "b.target", "b.source_seats")
+
+
+def quotas(sizes: DataFrame, seed: str = SEED) -> DataFrame:
+    """(shard, shard_size, quota, source_size, target): the words each shard gives."""
+    given = seats(_shards(sizes, seed), ["pos"], "shard_size", "shard", F.col("source_seats"))
     quota = F.least(F.col("seats") * BLOCK_WORDS, MOST * F.col("shard_size"))
-    return given.select("shard", "pos", "shard_size", quota.alias("quota"), "source_size", "target")
+    return given.select("shard", "shard_size", quota.alias("quota"), "source_size", "target")
 
 
 def source_quotas(sizes: DataFrame, seed: str = SEED) -> DataFrame:
-    """(shard, pool_size, quota, start, source_size, target): the words of a source, to be taken from its shards in order."""
-    source = Window.partitionBy("pos")
-    before = source.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # SLOTS rows at most
-    given = quotas(sizes, seed)
-    return given.select(
-        "shard", F.col("source_size").alias("pool_size"), F.sum("quota").over(source).alias("quota"),
-        F.coalesce(F.sum("shard_size").over(before), F.lit(0)).alias("start"), "source_size", "target",
-    )
+    """(shard, pool_size, quota, start, source_size, target): the words of a source, to be taken from its shards in order.
+
+    A source whose target is as much as it can give gives that to the word, others whole blocks.
+    """
+    before = Window.partitionBy("pos").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # SLOTS rows at most
+    most = MOST * F.col("source_size")
+    quota = F.when(F.col("target") >= most, most).otherwise(F.least(F.col("source_seats") * BLOCK_WORDS, most))
+    start = F.coalesce(F.sum("shard_size").over(before), F.lit(0))
+    return _shards(sizes, seed).select(
+        "shard", F.col("source_size").alias("pool_size"), quota.alias("quota"), start.alias("start"), "source_size", "target"
+    )
 
 
 def _taken(rows: DataFrame, given: DataFrame, seed: str) -> DataFrame:

@@ -106,6 +106,14 @@ def test_mix_takes_whole_documents(spark):
     assert all(len(whole[s]) > 20 for s in whole)
 
 
+def test_capped_source_of_short_texts_gets_its_target(spark):
+    """Its slots cannot hold a block of words each, the source can."""
+    rows = [(i, 10_000 if i < 100 else 3, "a" if i < 100 else "b") for i in range(400)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, size bigint, source string")).collect()
+    assert {r["target"] for r in found if r["source"] == "b"} == {2700.0}
+    assert sum(r["taken"] for r in found if r["source"] == "b") == 2700
+
+
 def test_mixing_runs_no_python(spark):
     plan = queries.op2_mixing(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
