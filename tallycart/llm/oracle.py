@@ -61,5 +61,17 @@ FROM scored QUALIFY rank <= 5
 """
 
 
+LINE_DEDUP = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
+    k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    often AS (SELECT key, max(doc_id) AS first FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '')) >= 3),
+    marked AS (SELECT k.*, coalesce(o.key IS NOT NULL AND (k.doc_id IS NULL OR k.doc_id < o.first), FALSE) AS gone FROM k LEFT JOIN often o ON k.key = o.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": MIXING, "op3_exact_top_k": EXACT_TOP_K, "op6_neighbours": NEIGHBOURS}
+    return {"op2_mixing": MIXING, "op3_exact_top_k": EXACT_TOP_K, "op6_neighbours": NEIGHBOURS, "op11_line_dedup": LINE_DEDUP}

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators; ``pipeline`` is in corpus_pipeline.py."""
+"""Registered queries of the operators; ``pipeline`` is in corpus_pipeline.py."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, language, mixing, mtree, neighbours, pii, sharding, token_files, toxicity
+from . import bpe, jaccard, language, line_dedup, mixing, mtree, neighbours, pii, sharding, token_files, toxicity
 from .common import held_out, share_package
 from ..sources.scratch import scratch_path
 
@@ -76,5 +76,9 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.checksums(token_files.read_tokens(spark, path))
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digests(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_mixing, op3_exact_top_k, op4_sharding, op5_byte_bpe, op6_neighbours, op7_language, op8_jaccard, op9_toxicity, op10_token_files)}
+    return {f.__name__: f for f in (op1_pii, op2_mixing, op3_exact_top_k, op4_sharding, op5_byte_bpe, op6_neighbours, op7_language, op8_jaccard, op9_toxicity, op10_token_files, op11_line_dedup)}
