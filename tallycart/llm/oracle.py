@@ -73,5 +73,55 @@ FROM marked GROUP BY r
 """
 
 
+def _vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    """The rounds one after another: assign (a), then means of the parts that chose an entry (c)."""
+    steps = [
+        f"""v AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+            list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"p AS (SELECT r, part, list_slice(e, part * len(e) // {parts} + 1, (part + 1) * len(e) // {parts}) AS x FROM v, range({parts}) t(part))",
+        f"c0 AS (SELECT part, r - 1 AS entry, x FROM p WHERE r <= {entries})",
+    ]
+    for n in range(rounds + 1):
+        steps.append(
+            f"""a{n} AS (SELECT p.r, p.part, arg_min(c.entry, struct_pack(d := list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := c.entry)) AS entry,
+            min(list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS d
+            FROM p JOIN c{n} c USING (part) GROUP BY p.r, p.part)"""
+        )
+        if n < rounds:
+            steps += [
+                f"u{n} AS (SELECT part, entry, unnest(x) AS x, unnest(range(len(x))) AS i FROM a{n} JOIN p USING (r, part))",
+                f"s{n} AS (SELECT part, entry, i, sum(x) AS s, count(*) AS n FROM u{n} GROUP BY ALL)",
+                f"m{n} AS (SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM s{n} GROUP BY ALL)",
+                f"c{n + 1} AS (SELECT part, entry, coalesce(m.x, c.x) AS x FROM c{n} c LEFT JOIN m{n} m USING (part, entry))",
+            ]
+    return f"""WITH {", ".join(steps)},
+    k AS (SELECT sha256(coalesce(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry), '')) AS h FROM c{rounds}),
+    o AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, k.h AS codebooks_sha256 FROM v JOIN o USING (r), k
+"""
+
+
+HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+        FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+        FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+    s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": MIXING, "op3_exact_top_k": EXACT_TOP_K, "op6_neighbours": NEIGHBOURS, "op11_line_dedup": LINE_DEDUP}
+    return {
+        "op2_mixing": MIXING,
+        "op3_exact_top_k": EXACT_TOP_K,
+        "op6_neighbours": NEIGHBOURS,
+        "op11_line_dedup": LINE_DEDUP,
+        "op12_vector_codes": _vector_codes(),
+        "op13_hard_negatives": HARD_NEGATIVES,
+    }

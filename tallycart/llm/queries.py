@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, language, line_dedup, mixing, mtree, neighbours, pii, sharding, token_files, toxicity
+from . import bpe, codebooks, jaccard, language, line_dedup, mixing, mtree, negatives, neighbours, pii, sharding, token_files, toxicity
 from .common import held_out, share_package
 from ..sources.scratch import scratch_path
 
@@ -80,5 +80,28 @@ def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digests(table(spark, folder, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codebooks.code_report(table(spark, folder, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mined(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_mixing, op3_exact_top_k, op4_sharding, op5_byte_bpe, op6_neighbours, op7_language, op8_jaccard, op9_toxicity, op10_token_files, op11_line_dedup)}
+    registered = (
+        op1_pii,
+        op2_mixing,
+        op3_exact_top_k,
+        op4_sharding,
+        op5_byte_bpe,
+        op6_neighbours,
+        op7_language,
+        op8_jaccard,
+        op9_toxicity,
+        op10_token_files,
+        op11_line_dedup,
+        op12_vector_codes,
+        op13_hard_negatives,
+    )
+    return {f.__name__: f for f in registered}
