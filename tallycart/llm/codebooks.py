@@ -42,6 +42,8 @@ LARGEST = 1 << 24
 _EXACT = 1 << 21
 #: Parts compared at once.
 STRIPE = 4096
+#: The initial radius is the least distance to so many entries on either side in so many dimensions, the widest ones.
+NEIGHBOURS, DIMENSIONS = 4, 4
 #: Share of candidates above which a stripe is compared by one matrix product.
 DENSE = 0.05
 
@@ -63,16 +65,17 @@ class Slices:
         for d in range(width):
             self.prefix[d, 1:] = np.bitwise_or.accumulate(bits[self.order[:, d]], axis=0)
         spread = self.sorted[-1] - self.sorted[0] if many else np.zeros(width)
-        self.widest = np.argsort(-spread, kind="stable")[:4]
+        self.widest = np.argsort(-spread, kind="stable")[:DIMENSIONS]
         self.lengths = (self.entries * self.entries).sum(axis=1)
 
     def first_radius(self, parts: np.ndarray) -> np.ndarray:
         """Whole radius of a cube that holds an entry at the least distance: from neighbours in the widest dimensions."""
         least = np.full(len(parts), np.iinfo(np.int64).max)
         for d in self.widest:
-            at = np.minimum(np.searchsorted(self.sorted[:, d], parts[:, d]), len(self.entries) - 1)
-            gap = parts - self.entries[self.order[at, d]]
-            least = np.minimum(least, (gap * gap).sum(axis=1))
+            at = np.searchsorted(self.sorted[:, d], parts[:, d])
+            for step in range(-NEIGHBOURS, NEIGHBOURS):
+                gap = parts - self.entries[self.order[np.clip(at + step, 0, len(self.entries) - 1), d]]
+                least = np.minimum(least, (gap * gap).sum(axis=1))
         return np.floor(np.sqrt(least.astype(np.float64))).astype(np.int64) + 1
 
     def candidates(self, parts: np.ndarray) -> np.ndarray:
