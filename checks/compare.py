@@ -24,6 +24,7 @@ def session(cpus: str = "8") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")  # many small plans
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", os.environ.get("CHECKS_SCRATCH", os.path.abspath("spark-warehouse/_checkpoint")))
         .getOrCreate()

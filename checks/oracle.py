@@ -380,6 +380,33 @@ UNION ALL SELECT 4, 'Category gap', {name('best.category')} || ' earns most and
     )
 
 
+def _merged_cubes() -> str:
+    """The cubes of the whole log, one under another."""
+
+    def part(name: str, first: str, second: str, orders: str, buyers: str, source: str, group: str, revenue: str = money("sum(revenue)")) -> str:
+        null = lambda x: f"CAST({x} AS VARCHAR)"
+        return f"""SELECT '{name}' AS cube, {null(first)} AS first_key, {null(second)} AS second_key, {revenue} AS revenue,
+  CAST({orders} AS BIGINT) AS orders, CAST({buyers} AS BIGINT) AS buyers FROM {source} {group}"""
+
+    o, b, none = "count(DISTINCT order_id)", "count(DISTINCT user_id)", "CAST(NULL AS DOUBLE)"
+    firsts = "(SELECT event_date, user_id, min(event_date) OVER (PARTITION BY user_id) AS born FROM ev)"
+    parts = [
+        part("daily", "event_date", "NULL", o, b, "p", "GROUP BY event_date"),
+        part("monthly", "CAST(date_trunc('month', day) AS DATE)", "NULL", o, b, "p", "GROUP BY date_trunc('month', day)"),
+        part("categories", "category", "NULL", o, b, "p", "GROUP BY category"),
+        part("category_daily", "event_date", "category", o, b, "p", "GROUP BY event_date, category"),
+        part("heatmap", "weekday", "hour", o, "NULL", "p", "GROUP BY weekday, hour"),
+        part("heatmap_daily", "event_date", "hour", o, "NULL", "p", "GROUP BY event_date, hour"),
+        part("users", "user_id", f"strftime(max(event_time), {STAMP})", o, "NULL", "p", "GROUP BY user_id"),
+        part("products", "product_id", "max(struct_pack(t := date_trunc('second', event_time), c := category_code)).c", "sum(quantity)", "NULL", "p", "GROUP BY product_id"),
+        part("event_counts", "event_type", "NULL", "count(*)", "NULL", "ev", "GROUP BY event_type", none),
+        part("user_days", "event_date", "NULL", b, "count(DISTINCT user_id) FILTER (WHERE event_date = born)", firsts, "GROUP BY event_date", none),
+        part("totals", "NULL", "NULL", o, "NULL", "p", ""),
+        part("capabilities", "NULL", "NULL", o, "NULL", "ev", "", none),
+    ]
+    return " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     heat = f"SELECT weekday, {DAY_NAME} AS day_name, hour, {money('rev')} AS revenue, orders"
     view_cats = f"""SELECT category, {money('sum(rev)')} AS revenue, CAST(sum(orders) AS BIGINT) AS orders, CAST(sum(buyers) AS BIGINT) AS buyers
@@ -585,6 +612,7 @@ FROM p WHERE {SALE_RANGE}""",
         "row_cap_files": CLICKS
         + f""", n AS (SELECT event_type, row_number() OVER (PARTITION BY event_type) AS k FROM ev)
 SELECT event_type, count(*) AS "count" FROM n WHERE k <= {FILE_ROWS} GROUP BY 1""",
+        "refresh_incremental": CLICKS + _merged_cubes(),
         "empty_table": SALES + DAILY + " SELECT count(*) AS present_rows, CAST(0 AS BIGINT) AS missing_rows FROM d",
         "document_missing": """SELECT section FROM (VALUES ('filters'), ('dashboard'), ('revenue'), ('categories'), ('time_behavior'), ('customers')) AS t(section)
 WHERE (SELECT count(*) FROM events) > 0""",

@@ -193,16 +193,18 @@ def customer_mix(users: DataFrame) -> DataFrame:
 
 
 def user_day_cube(events: DataFrame) -> DataFrame:
-    """Active users and first-time users per day of all events given.
+    """Active users and first-time users per day of all events given, or of the visits.
 
-    Events are reduced to (user, day), then to a first day per user, whose number per day is
-    joined to the number of active users; no window holds a user's days.
+    Events are reduced to (user, day) and to a first day per user; both are counted per day in
+    one sum. No window holds a user's days.
     """
     days = events.select("user_id", "event_date").distinct()
-    active = days.groupBy("event_date").agg(F.count(F.lit(1)).alias("active_users"))
     first = events.groupBy("user_id").agg(F.min("event_date").alias("event_date"))
-    new = first.groupBy("event_date").agg(F.count(F.lit(1)).alias("new"))
-    return active.join(new, "event_date", "left").select("event_date", "active_users", F.coalesce("new", F.lit(0)).alias("new"))
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    rows = days.select("event_date", one.alias("active_users"), none.alias("new")).unionByName(
+        first.select("event_date", none.alias("active_users"), one.alias("new"))
+    )
+    return rows.groupBy("event_date").agg(F.sum("active_users").alias("active_users"), F.sum("new").alias("new"))
 
 
 def new_vs_returning_report(user_days: DataFrame) -> DataFrame:

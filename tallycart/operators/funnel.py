@@ -94,6 +94,19 @@ def capabilities(events: DataFrame, promotions: DataFrame | None = None) -> Data
     ).withColumn("promotions_available", _any_valid(promotions))
 
 
+def capabilities_of(counts: DataFrame, sessions: Column, promotions: DataFrame | None = None) -> DataFrame:
+    """The same from event counts and a number of sessions."""
+
+    def seen(name: str) -> Column:
+        return F.coalesce(F.bool_or((F.col("event_type") == name) & (F.col("count") > 0)), F.lit(False))
+
+    return counts.agg(
+        (seen("view") & seen("cart")).alias("funnel_available"),
+        seen("view").alias("traffic_events_available"),
+        seen("purchase").alias("orders_available"),
+    ).select(sessions.alias("total_sessions"), "*", _any_valid(promotions).alias("promotions_available"))
+
+
 def _any_valid(promotions: DataFrame | None) -> Column:
     """Scalar: whether a promotion covers a day of a category."""
     if promotions is None:

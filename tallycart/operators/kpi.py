@@ -17,6 +17,11 @@ def purchase_totals(purchases: DataFrame) -> DataFrame:
         F.coalesce(F.sum("revenue_e4"), F.lit(0)).alias("revenue_e4"),
         F.count_distinct("order_id").alias("total_orders"),
     )
+    return totals_row(sums)
+
+
+def totals_row(sums: DataFrame) -> DataFrame:
+    """The published totals from ``revenue_e4`` and ``total_orders``."""
     return sums.select(
         money("revenue_e4").alias("total_revenue"),
         "total_orders",

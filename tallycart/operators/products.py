@@ -19,19 +19,31 @@ FILTER_PRODUCTS = 50
 PARETO_PCT = 80
 
 
-def product_cube(purchases: DataFrame) -> DataFrame:
-    """Revenue and units per product, with the category of its latest purchase.
+def product_parts(purchases: DataFrame) -> DataFrame:
+    """Sums and latest time per (product, category).
 
-    Purchases are first reduced per (product, category): sums and a latest time, which
-    a hash aggregate keeps in fixed-size buffers without sorting. Only those
-    few rows per product are compared as (time, category).
+    A hash aggregate keeps these in fixed-size buffers without sorting. Parts of several
+    tables add up with ``merged_parts``.
     """
-    reduced = purchases.groupBy("product_id", "category_code").agg(
+    return purchases.groupBy("product_id", "category_code").agg(
         F.sum("revenue_e4").alias("revenue_e4"),
         F.sum("quantity").alias("quantity"),
         F.max("event_time").alias("latest"),
     )
-    rows = reduced.groupBy("product_id").agg(
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("product_id", "category_code").agg(
+        F.sum("revenue_e4").alias("revenue_e4"), F.sum("quantity").alias("quantity"), F.max("latest").alias("latest")
+    )
+
+
+def products_of(parts: DataFrame) -> DataFrame:
+    """Revenue and units per product, with the category of its latest purchase.
+
+    Only the few parts of a product are compared as (time, category).
+    """
+    rows = parts.groupBy("product_id").agg(
         F.sum("revenue_e4").alias("revenue_e4"),
         F.sum("quantity").alias("quantity"),
         F.array_max(F.collect_list(F.struct("latest", "category_code"))).alias("latest"),
@@ -45,6 +57,10 @@ def product_cube(purchases: DataFrame) -> DataFrame:
     )
 
 
+def product_cube(purchases: DataFrame) -> DataFrame:
+    return products_of(product_parts(purchases))
+
+
 def products_from(purchases: DataFrame) -> DataFrame:
     return materialize(product_cube(purchases), "products")
 

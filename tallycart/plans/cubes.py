@@ -1,12 +1,11 @@
 """The aggregate tables, built from two passes over the events.
 
-One pass counts events and sessions of every type. The other writes the
-purchases as a narrow table to the shared scratch folder; every cube is then
-an aggregation of that table instead of another pass over the events. The
-write is rebalanced by order: purchases are few among events, so writing them
-as they are scanned would leave one tiny file per input split, and rows of one
-order lying together shrink before the next shuffle. Rebalancing splits a hot
-order over several tasks.
+One pass reduces all events to visits. The other writes the purchases as a narrow table
+to the shared scratch folder, from which the order and the buyer grain are made. Every cube is a
+roll-up of one of these stored tables (``operators.grain``). The purchases are rebalanced by order: they are few among events,
+so writing them as they are scanned would leave one tiny file per input split, and rows of one
+order lying together shrink before the next shuffle. Rebalancing splits a hot order over
+several tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import month_text
-from ..operators import categories, customers, funnel, heatmap, kpi, products, promotions, series
+from ..operators import customers, funnel, grain, kpi, products, promotions
 from ..operators.clean import purchases_of
 from ..schema import CUBES
 from ..sources.files import read_or_empty
@@ -48,12 +47,6 @@ def stored_purchases(purchases: DataFrame) -> DataFrame:
     return materialize(narrow.hint("rebalance", "order_id"), "purchases")
 
 
-def stored_sessions(events: DataFrame) -> DataFrame:
-    """Event counts per type and session, written once."""
-    per_session = events.groupBy("event_type", "order_id").agg(F.count(F.lit(1)).alias("count"))
-    return materialize(per_session, "sessions")
-
-
 # What a promotion's share is given by: name of the table and the column over purchases.
 PROMOTION_GRAINS = {
     "promotion_by_month": lambda: month_text("event_date"),
@@ -79,30 +72,38 @@ def build_cubes(
     events: DataFrame, promoted: DataFrame | None = None, product_names: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """All cubes of canonical events, by name; with a promotion table also those of promotions."""
-    with ThreadPoolExecutor(2) as pool:
+    with ThreadPoolExecutor(3) as pool:
         submit = inheritable_thread_target(events.sparkSession)
-        waiting = pool.submit(submit(stored_sessions), events)
-        bought = pool.submit(submit(stored_purchases), purchases_of(events)).result()
-        sessions = waiting.result()
+        seen = pool.submit(submit(grain.stored_visits), events)
+        bought = stored_purchases(purchases_of(events))
+        both = [pool.submit(submit(stored), bought) for stored in (grain.stored_orders, grain.stored_buyers)]
+        visits, orders, buyers = seen.result(), *[b.result() for b in both]
     more = {} if promoted is None else promotion_cubes(bought, promoted)
     if product_names is not None:
         more["product_names"] = product_names
+    day, hour, category = "event_date", "hour", "category"
     return more | {
-        "user_days": customers.user_day_cube(events),
-        "event_counts": sessions.groupBy("event_type").agg(F.sum("count").alias("count")),
-        "capabilities": funnel.capabilities(sessions, promoted),
-        "totals": kpi.purchase_totals(bought),
-        "daily": series.daily_cube(bought),
-        "monthly": series.monthly_cube(bought),
+        "user_days": customers.user_day_cube(visits),
+        "event_counts": visits.groupBy("event_type").agg(F.sum("count").alias("count")),
+        "capabilities": funnel.capabilities(visits, promoted),
+        "totals": kpi.purchase_totals(orders),
+        "daily": grain.figures(orders, buyers, day),
+        "monthly": grain.figures(orders, buyers, F.trunc(day, "MM").alias("month")),
         "users": customers.user_cube(bought),
-        "categories": categories.category_cube(bought),
-        "category_daily": categories.category_daily_cube(bought),
-        "heatmap": heatmap.heatmap_cube(bought),
-        "heatmap_daily": heatmap.heatmap_daily_cube(bought),
+        "categories": grain.figures(orders, buyers, category),
+        "category_daily": grain.figures(orders, buyers, day, category),
+        "heatmap": grain.order_figures(orders, F.dayofweek(day).alias("weekday"), hour),
+        "heatmap_daily": grain.order_figures(orders, day, hour).select(
+            day, F.dayofweek(day).alias("weekday"), hour, "revenue_e4", "orders"
+        ),
         "products": products.product_cube(bought),
     }
 
 
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def write_cubes(cubes: dict[str, DataFrame], folder: str, at_once: int = 8) -> None:
     """One Parquet table per cube under ``folder``.
 
@@ -112,9 +113,9 @@ def write_cubes(cubes: dict[str, DataFrame], folder: str, at_once: int = 8) -> N
     def write(name: str) -> None:
         cube, path = cubes[name], f"{folder}/{name}"
         if name in MONTH_TABLES:
-            # tasks and files follow the bytes: small months share a task, a large one is split
-            by_month = cube.withColumn("month", month_text("event_date")).hint("rebalance", "month")
-            by_month.write.mode("overwrite").partitionBy("month").parquet(path)
+            # one file a month, which holds at most a row per day and category; months are written side by side
+            by_month = cube.withColumn("month", month_text("event_date")).repartition(_tasks(cube.sparkSession), "month")
+            by_month.sortWithinPartitions("month", "event_date").write.mode("overwrite").partitionBy("month").parquet(path)
         elif name in DAY_TABLES:
             # one row per calendar day, or per hour of one: a single sorted file
             cube.repartition(1).sortWithinPartitions("event_date").write.mode("overwrite").parquet(path)

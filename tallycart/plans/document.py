@@ -18,11 +18,11 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions import avg_ratio, ratio
 from ..operators import categories, customers, funnel, heatmap, kpi, products, series
 from ..operators.filters import filter_rows
+from ..sources import commits
 from ..sources.scratch import materialize
 from . import snapshot
 
@@ -46,7 +46,6 @@ TABLES = {
     "heatmap_daily": ("time_behavior", ("event_date", "weekday", "hour")),
     "new_vs_returning": ("customers", ("event_date",)),
 }
-_POINTER = "run string, published long"
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -259,18 +258,9 @@ def _run_folder(path: str, run_id: str) -> str:
     return f"{path}/runs/{run_id}"
 
 
-def _pointers(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(_POINTER).parquet(f"{path}/published")
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return spark.createDataFrame([], _POINTER)
-
-
 def newest_run(spark: SparkSession, path: str) -> str:
-    """The run published last, from the pointer rows alone."""
-    run = _pointers(spark, path).agg(F.max_by("run", "published").alias("run")).first()["run"]
+    """The run published last, from the numbered pointers alone."""
+    run = commits.newest(spark, f"{path}/published")[1]
     if run is None:
         raise ValueError(f"nothing is published at {path}")
     return run
@@ -279,8 +269,9 @@ def newest_run(spark: SparkSession, path: str) -> str:
 def publish(publication: Publication, path: str, run_id: str) -> None:
     """Write a run and make it the newest one.
 
-    A run's own folder is overwritten, so a retry leaves one document. The pointer row comes last: readers see the run
-    before or this one. Its number is one above all earlier ones, so neither names nor clocks decide.
+    A run's own folder is overwritten, so a retry leaves one document. The pointer comes last: readers see the run
+    before or this one. Its number is one above all earlier ones, so neither names nor clocks decide; of two
+    publishers at once each gets a number of its own.
     """
     spark, folder = publication.document.sparkSession, _run_folder(path, run_id)
 
@@ -292,8 +283,7 @@ def publish(publication: Publication, path: str, run_id: str) -> None:
 
     with ThreadPoolExecutor(4) as pool:
         list(pool.map(inheritable_thread_target(spark)(write), [None, *publication.tables]))
-    number = _pointers(spark, path).agg(F.coalesce(F.max("published"), F.lit(0)) + 1).first()[0]
-    spark.createDataFrame([(run_id, number)], _POINTER).coalesce(1).write.mode("append").parquet(f"{path}/published")
+    commits.append(spark, f"{path}/published", run_id)
 
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:

@@ -10,8 +10,9 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.clean import between_days, clean_events
+from ..operators.clean import between_days, clean_events, purchases_of
 from ..sources.files import (
     BATCH_ROWS,
     checked_rows_per_file,
@@ -20,8 +21,9 @@ from ..sources.files import (
 )
 from ..sources.scratch import scratch_scope
 from ..streaming.refresh import ingest_new_files
-from .cubes import build_cubes, read_cubes, write_cubes
+from .cubes import build_cubes, promotion_cubes, read_cubes, write_cubes
 from .document import build_document, document_summary, publish, read_document, verify
+from .state import refresh_state
 
 
 def new_run_id() -> str:
@@ -83,14 +85,50 @@ def refresh(
     run_id: str | None = None,
     promotions: DataFrame | None = None,
     product_names: DataFrame | None = None,
+    rows_per_file: int = 0,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
     """Take in the event files that arrived in ``inbox`` and publish a run over all events so far.
 
-    Files are read once; the event store below ``out`` keeps what earlier calls have read.
+    Files are read once, or the first ``rows_per_file`` rows of each. The cubes below ``out/state`` are brought up to
+    date from the new events and the days they touch. A range of days is published from the
+    events of the range in the store, and leaves the state as it is. The row returned names its source.
     """
-    stored = ingest_new_files(spark, inbox, f"{out}/events", f"{out}/offsets")
-    _publish_events(spark, clean_events(stored), out, run_id or new_run_id(), [inbox], None, None, promotions, product_names)
-    return verify(spark, f"{out}/document")
+    run_id, store = run_id or new_run_id(), f"{out}/events"
+    stored = ingest_new_files(spark, inbox, store, f"{out}/offsets", checked_rows_per_file(rows_per_file))
+    if start or end:
+        _publish_events(spark, clean_events(stored), out, run_id, [inbox], start, end, promotions, product_names)
+    else:
+        folder = refresh_state(spark, store, f"{out}/state", promotions)
+        if folder is None:
+            _publish_events(spark, clean_events(stored), out, run_id, [inbox], None, None, promotions, product_names)
+        else:
+            _publish_state(spark, folder, clean_events(stored), out, run_id, [inbox], promotions, product_names)
+    return verify(spark, f"{out}/document").withColumn("source", F.lit(inbox))
+
+
+def _publish_state(
+    spark: SparkSession,
+    folder: str,
+    events: DataFrame,
+    out: str,
+    run_id: str,
+    sources: Sequence[str],
+    promotions: DataFrame | None,
+    product_names: DataFrame | None,
+) -> None:
+    """A run from merged cubes; promotions, which are not state, read the purchases of their days."""
+    cubes = read_cubes(spark, folder)
+    with scratch_scope(spark) as scope:
+        if promotions is not None:
+            more = promotion_cubes(purchases_of(events), promotions)
+            write_cubes(more, f"{scope}/promotions")
+            cubes |= {name: spark.read.parquet(f"{scope}/promotions/{name}") for name in more}
+        if product_names is not None:
+            cubes["product_names"] = product_names
+        now = datetime.now(timezone.utc).isoformat()
+        publish(build_document(cubes, now, sources, folder), f"{out}/document", run_id)
 
 
 def latest_summary(spark: SparkSession, out: str) -> DataFrame:

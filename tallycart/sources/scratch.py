@@ -52,11 +52,13 @@ def scratch_scope(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         context.setLocalProperty(_SCOPE, outer)
+        _forget(spark, folder)
         remove(spark, folder)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove all tables of this application; results not yet read are lost."""
+    _forget(spark, scratch_root(spark))
     remove(spark, scratch_root(spark))
 
 
@@ -65,3 +67,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Bucketed tables by name, with the folder each lies in; the catalog knows them while they are in use.
+_bucketed: dict[str, str] = {}
+
+
+def _forget(spark: SparkSession, folder: str) -> None:
+    for name in [n for n, path in _bucketed.items() if path.startswith(f"{folder}/")]:
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        _bucketed.pop(name, None)
+
+
+def materialize_by(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Write ``df`` once in buckets of ``key`` and hand back a reader that knows them.
+
+    Grouping by ``key``, alone or with other columns, then needs no exchange. As many buckets are
+    made as the session has shuffle partitions, the figure that follows the size of its data.
+    """
+    spark = df.sparkSession
+    path, buckets = scratch_path(spark, label), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
+    _bucketed[name] = path
+    df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)

@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")  # many small plans
         .config("spark.driver.memory", "6g")
         .config("spark.sql.maxMetadataStringLength", "5000")  # whole filter lists in plan texts
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
