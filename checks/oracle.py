@@ -570,6 +570,9 @@ FROM d, sh WHERE {SALE_RANGE}""",
         "view_month_delta": SALES + DAILY + ADDITIVE.replace("FROM d ", f"FROM d WHERE {SALE_RANGE} ") + MONTH_DELTA,
         "view_exact_range": SALES
         + f""" SELECT {money('sum(revenue)')} AS revenue, count(DISTINCT order_id) AS orders, count(DISTINCT user_id) AS buyers,
+  {r('sum(revenue) / count(DISTINCT order_id)')} AS avg_order_value FROM p WHERE {SALE_RANGE} AND category = '{CATEGORY}'""",
+        "view_exact_bitmap": SALES
+        + f""" SELECT {money('sum(revenue)')} AS revenue, count(DISTINCT order_id) AS orders, count(DISTINCT user_id) AS buyers,
   {r('sum(revenue) / count(DISTINCT order_id)')} AS avg_order_value FROM p WHERE {SALE_RANGE} AND category = '{CATEGORY}'""",
         "daily_signals": CLICKS
         + DAILY
@@ -612,6 +615,11 @@ FROM p WHERE {SALE_RANGE}""",
         "row_cap_files": CLICKS
         + f""", n AS (SELECT event_type, row_number() OVER (PARTITION BY event_type) AS k FROM ev)
 SELECT event_type, count(*) AS "count" FROM n WHERE k <= {FILE_ROWS} GROUP BY 1""",
+        "csv_quarantine": """
+WITH e AS (SELECT user_id AS u, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS n FROM events),
+x AS (SELECT CASE WHEN n % 17 = 3 THEN 'bad time' WHEN n % 17 = 5 OR n IS NULL THEN 'no time' WHEN u % 13 = 5 THEN 'bad user'
+  WHEN u % 13 = 7 OR u IS NULL THEN 'no user' ELSE 'kept' END AS outcome, n FROM e)
+SELECT outcome, count(*) AS "rows" FROM x GROUP BY 1 UNION ALL SELECT 'repaired', count(*) FROM x WHERE outcome = 'kept' AND n % 10 = 1""",
         "refresh_incremental": CLICKS + _merged_cubes(),
         "empty_table": SALES + DAILY + " SELECT count(*) AS present_rows, CAST(0 AS BIGINT) AS missing_rows FROM d",
         "document_missing": """SELECT section FROM (VALUES ('filters'), ('dashboard'), ('revenue'), ('categories'), ('time_behavior'), ('customers')) AS t(section)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallycart.functions import money, month_text
-from tallycart.operators import categories, customers, filters, funnel, heatmap, kpi, products, promotions, series, views
+from tallycart.operators import categories, customers, filters, funnel, grain, heatmap, kpi, products, promotions, range_counts, series, views
 from tallycart.operators.clean import between_days, clean_events, event_report, purchases_of
 from tallycart.plans import cubes as cube_plans
 from tallycart.plans import document, snapshot
@@ -405,6 +405,34 @@ def refresh_incremental(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per outcome where some have no readable time, user or price."""
+    path, out = scratch_path(spark, "csv"), scratch_path(spark, "checked")
+    user, product = F.col("user_id"), F.col("product_id")
+    broken = {
+        "event_time": F.when(product % 17 == 3, "yesterday").when(product % 17 != 5, F.col("event_time")),
+        "user_id": F.when(user % 13 == 5, F.concat(F.lit("u"), user.cast("string"))).when(user % 13 != 7, user.cast("string")),
+        "price": F.when(product % 10 == 1, "12 dollars").otherwise(F.col("price").cast("string")),
+    }
+    _events_text(spark, folder).withColumns(broken).write.option("header", True).csv(path)
+    files.csv_to_checked_parquet(spark, [path], out)
+    return files.quarantine_report(spark, out)
+
+
+def view_exact_bitmap(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact figures of a range and a category from staged tables alone."""
+    bought = cube_plans.stored_purchases(_sales(spark, folder))
+    orders, buyers = grain.stored_orders(bought), grain.stored_buyers(bought)
+    staged = _staged(
+        spark,
+        {
+            "range_bitmaps": range_counts.range_bitmaps(orders, buyers),
+            "category_daily": grain.figures(orders, buyers, "event_date", "category"),
+        },
+    )
+    return range_counts.exact_view(staged["range_bitmaps"], staged["category_daily"], START, END, CATEGORY)
+
+
 def _staged_click_cubes(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     path = scratch_path(spark, "cubes")
     cube_plans.write_cubes(cube_plans.build_cubes(tables.click_events(spark, folder)), path)
@@ -579,6 +607,7 @@ def queries() -> dict[str, Query]:
         "view_last_n_days": view_last_n_days,
         "view_month_delta": month_delta_view,
         "view_exact_range": view_exact_range,
+        "view_exact_bitmap": view_exact_bitmap,
         "view_buyers_approx": view_buyers_approx,
         "daily_signals": daily_signals,
         # promotions
@@ -593,6 +622,7 @@ def queries() -> dict[str, Query]:
         "row_cap": row_cap,
         "union_monthly": union_monthly,
         "csv_daily": csv_daily,
+        "csv_quarantine": csv_quarantine,
         "conversion_report": conversion_report,
         "export_daily_csv": export_daily_csv,
         "incremental_refresh": incremental_refresh,

@@ -18,16 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import month_text
-from ..operators import customers, funnel, grain, kpi, products, promotions
+from ..operators import customers, funnel, grain, kpi, products, promotions, range_counts
 from ..operators.clean import purchases_of
 from ..schema import CUBES
 from ..sources.files import read_or_empty
 from ..sources.scratch import materialize
 
 # Day tables are stored in day order, so file statistics prune a date range.
-# Only the day by category table can grow enough to be worth month folders.
+# Only tables per day and category can grow enough to be worth month folders.
 DAY_TABLES = ("daily", "heatmap_daily")
-MONTH_TABLES = ("category_daily",)
+MONTH_TABLES = ("category_daily", "range_bitmaps")
 
 
 def stored_purchases(purchases: DataFrame) -> DataFrame:
@@ -69,9 +69,15 @@ def promotion_cubes(purchases: DataFrame, promoted: DataFrame) -> dict[str, Data
 
 
 def build_cubes(
-    events: DataFrame, promoted: DataFrame | None = None, product_names: DataFrame | None = None
+    events: DataFrame,
+    promoted: DataFrame | None = None,
+    product_names: DataFrame | None = None,
+    exact_ranges: bool = False,
 ) -> dict[str, DataFrame]:
-    """All cubes of canonical events, by name; with a promotion table also those of promotions."""
+    """All cubes of canonical events, by name; with a promotion table also those of promotions.
+
+    ``exact_ranges`` adds the bitmaps from which distinct buyers and orders of any range are counted.
+    """
     with ThreadPoolExecutor(3) as pool:
         submit = inheritable_thread_target(events.sparkSession)
         seen = pool.submit(submit(grain.stored_visits), events)
@@ -81,6 +87,8 @@ def build_cubes(
     more = {} if promoted is None else promotion_cubes(bought, promoted)
     if product_names is not None:
         more["product_names"] = product_names
+    if exact_ranges:
+        more["range_bitmaps"] = range_counts.range_bitmaps(orders, buyers)
     day, hour, category = "event_date", "hour", "category"
     return more | {
         "user_days": customers.user_day_cube(visits),
@@ -132,7 +140,7 @@ def read_cubes(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     tables = {name: read_or_empty(spark, f"{folder}/{name}", schema) for name, schema in CUBES.items()}
     for name in ("totals", "capabilities", "products", "users"):
         tables[name] = spark.read.parquet(f"{folder}/{name}")
-    for name in ("product_names", "promotion_performance", "promotion_discount", *PROMOTION_GRAINS):
+    for name in ("product_names", "range_bitmaps", "promotion_performance", "promotion_discount", *PROMOTION_GRAINS):
         try:
             tables[name] = spark.read.parquet(f"{folder}/{name}")
         except AnalysisException as missing:  # staged only where they were given

@@ -17,6 +17,8 @@ from ..sources.files import (
     BATCH_ROWS,
     checked_rows_per_file,
     conversion_report,
+    count_rows,
+    csv_to_checked_parquet,
     csv_to_parquet,
 )
 from ..sources.scratch import scratch_scope
@@ -46,14 +48,19 @@ def run(
     """CSV -> Parquet -> cubes -> document; returns the verified summary row.
 
     Staged tables live under ``out/runs/<run id>``, documents under
-    ``out/document``.
+    ``out/document``. Rows without a usable time or user are put aside under the run's
+    events, with the reason and their text, and counted in the report; a run capped by rows drops them instead.
     """
     run_id = run_id or new_run_id()
     staging = f"{out}/runs/{run_id}"
     rows_per_file = checked_rows_per_file(rows_per_file)
     seen = Observation("csv")
-    raw = csv_to_parquet(spark, csv_paths, f"{staging}/events", rows_per_file, batch_rows, seen=seen)
-    report = conversion_report(seen.get["rows"], raw, batch_rows)
+    if rows_per_file > 0:
+        raw = csv_to_parquet(spark, csv_paths, f"{staging}/events", rows_per_file, batch_rows, seen=seen)
+        report = conversion_report(seen.get["rows"], raw, batch_rows)
+    else:
+        raw, aside = csv_to_checked_parquet(spark, csv_paths, f"{staging}/events", batch_rows, seen)
+        report = conversion_report(seen.get["rows"], raw, batch_rows).withColumn("quarantined_rows", count_rows(aside).scalar())
     _publish_events(spark, clean_events(raw), out, run_id, csv_paths, start, end, promotions, product_names, report)
     return verify(spark, f"{out}/document")
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators import customers, funnel, heatmap, series, views
+from ..operators import customers, funnel, heatmap, range_counts, series, views
 from ..operators.filters import filter_rows, filter_view, ordered_range
 from . import snapshot
 from .document import section
@@ -20,7 +20,7 @@ def view(
     """The tables of a filtered dashboard by name; nothing runs before one is read.
 
     Bounds may come in either order. Money, orders and buyers of a category are the additive
-    estimates of ``operators.views``; customer segments and rates are those of the whole data.
+    estimates of ``operators.views``, and exact in ``exact`` where bitmaps are staged; customer segments and rates are those of the whole data.
     """
     start, end = ordered_range(start, end)
     daily, by_category = cubes["daily"], cubes["category_daily"]
@@ -39,6 +39,8 @@ def view(
         "funnel": views.view_funnel(rates, by_category, start, end, category),
         "products": section(cubes, "products", category=category)["top_by_revenue"],
     }
+    if "range_bitmaps" in cubes:
+        out["exact"] = range_counts.exact_view(cubes["range_bitmaps"], by_category, start, end, category)
     if "user_days" in cubes:
         days = filter_rows(cubes["user_days"], start, end)
         out["new_vs_returning"] = customers.new_vs_returning_report(days)

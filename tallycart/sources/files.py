@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.ranking import first_rows
@@ -112,6 +112,61 @@ def csv_to_parquet(
     return spark.read.schema(typed.schema).parquet(out)
 
 
+#: Column of the text of a record that does not fit its schema.
+RECORD = "_record"
+
+
+def checked_events(spark: SparkSession, paths: Sequence[str], schema: StructType = RAW_EVENT) -> DataFrame:
+    """All rows of the files with ``reason``: why a row cannot be used, NULL where it can.
+
+    A row is of use when it has a time and a user. ``record`` is its text where anything in it did not
+    parse; a row with an unreadable price, say, is kept without it, and counts as repaired.
+    """
+    # the user is read as text, to tell one that is missing from one that is no number
+    fields = [StructField(f.name, StringType()) if f.name == "user_id" else f for f in schema.fields]
+    whole = StructType([*fields, StructField(RECORD, StringType())])
+    rows = spark.read.schema(whole).option("header", True).option("columnNameOfCorruptRecord", RECORD).csv(list(paths))
+    time, user = F.try_to_timestamp("event_time"), F.col("user_id").try_cast("bigint")
+    reason = (
+        F.when(F.col("event_time").isNull(), "no time")
+        .when(time.isNull(), "bad time")
+        .when(F.col("user_id").isNull(), "no user")
+        .when(user.isNull(), "bad user")
+    )
+    text = F.coalesce(F.col(RECORD), F.when(reason.isNotNull(), F.to_csv(F.struct(*schema.names))))
+    parsed = {"event_time": time, "user_id": user}
+    return rows.select(*[parsed.get(c, F.col(c)).alias(c) for c in schema.names], reason.alias("reason"), text.alias("record"))
+
+
+def csv_to_checked_parquet(
+    spark: SparkSession, paths: Sequence[str], out: str, batch_rows: int = BATCH_ROWS, seen: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Convert CSV files, rows of no use apart: the events and the quarantined rows, from one scan.
+
+    Both lie below ``out``, days together and in order of time. Rows in are rows kept and rows quarantined.
+    """
+    checked = checked_events(spark, paths)
+    if seen is not None:
+        checked = checked.observe(seen, F.count(F.lit(1)).alias("rows"))
+    gathered = checked.withColumn("kept", F.col("reason").isNull()).withColumn("_day", F.to_date("event_time")).hint("rebalance", "kept", "_day")
+    writer = gathered.sortWithinPartitions("kept", "event_time").drop("_day").write.mode("overwrite").partitionBy("kept")
+    if batch_rows > 0:
+        writer = writer.option("maxRecordsPerFile", batch_rows)
+    writer.parquet(out)
+    kept, put_aside = (read_or_empty(spark, f"{out}/kept={k}", checked.schema) for k in ("true", "false"))
+    return kept.drop("reason", "record"), put_aside
+
+
+def quarantine_report(spark: SparkSession, out: str) -> DataFrame:
+    """Rows per outcome of a checked conversion: kept, repaired among them, and one row per reason."""
+    schema = StructType.fromDDL("reason string, record string")
+    kept, aside = (read_or_empty(spark, f"{out}/kept={k}", schema) for k in ("true", "false"))
+    good = kept.agg(F.count(F.lit(1)).alias("kept"), F.count("record").alias("repaired"))
+    return good.select(F.inline(F.array(*[F.struct(F.lit(c).alias("outcome"), F.col(c).alias("rows")) for c in ("kept", "repaired")]))).unionByName(
+        aside.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
 def timed_events(events: DataFrame) -> DataFrame:
     """Events with ``event_time`` as a timestamp."""
     if dict(events.dtypes).get("event_time") != "string":
