@@ -19,7 +19,7 @@ the first pivots are the sets of one shingle:
    boundary window); cells recurse. Cells that windows do not part stay whole.
 5. *Cells.* In an open cell the points outside its largest component are compared with those of other
    components that sizes and the triangle inequality over the pivot leave, in blocks of
-   ``BLOCK`` points a side. A task reports links that join components, not all pairs.
+   ``BLOCK`` points, or about ``BLOCK_SHINGLES`` shingles, a side. A task reports links that join components, not all pairs.
 
 No window drops a pair within reach, so components are exact (shingles are 64-bit hashes). The order of
 shingles uses counts of a bounded sample (``SAMPLE_DOCS``): it changes how crowded regions are, never
@@ -39,8 +39,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..sources.scratch import scratch_path, scratch_scope
 from .common import HashIndex, chunks, ragged, store, utf8
 from .graph import connected
 
@@ -52,8 +52,9 @@ PER_MEETING = 20
 #: Cells of more points are cut by so many pivots.
 CELL = 4096
 PIVOTS = 16
-#: Points of a block; a task holds two.
+#: Points of a block at most, and shingles about; a task holds two.
 BLOCK = 512
+BLOCK_SHINGLES = 500_000
 #: Up to so many ids, or pairs of them, are broadcast (8 bytes an id); beyond it they are joined by exchange.
 BROADCAST_IDS = 1_000_000
 
@@ -145,8 +146,9 @@ def meetings(n: int) -> int:
     return 1 + n // PER_MEETING
 
 
-def _docs(docs: DataFrame, with_id: bool = True) -> tuple[DataFrame, str]:
-    return docs.select("doc_id", "text"), docs.schema["doc_id"].dataType.simpleString()
+def _print() -> Column:
+    """With the id, what tells the rows of a table apart, up to rows that are alike; made without Python."""
+    return F.xxhash64("text")
 
 
 def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -166,8 +168,8 @@ def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
 
 
 def points(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n, point, pivots) of every document; ``pivots`` are the shingles of its window."""
-    rows, kind = _docs(docs)
+    """(doc_id, print, n, point, pivots) of every document; ``pivots`` are the shingles of its window."""
+    rows, kind = docs.select("doc_id", _print().alias("print"), "text"), docs.schema["doc_id"].dataType.simpleString()
     words = rule.words
     order, counts = common_shingles(docs, words)
 
@@ -187,11 +189,11 @@ def points(docs: DataFrame, rule: Rule) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum([len(f) for f in first])])
             values = np.concatenate(first).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))],
-                names=["doc_id", "n", "point", "pivots"],
+                [batch.column("doc_id"), batch.column("print"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))],
+                names=["doc_id", "print", "n", "point", "pivots"],
             )
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n bigint, point bigint, pivots array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {kind}, print bigint, n bigint, point bigint, pivots array<bigint>")
 
 
 def sets_of(docs: DataFrame, words: int) -> DataFrame:
@@ -215,11 +217,13 @@ def regions(placed: DataFrame, rule: Rule) -> DataFrame:
 
     ``central`` adds up how crowded all of a point's regions are: high for texts others derive from.
     """
-    copies = placed.select("point", "n", F.explode("pivots").alias("region"))
+    # Counting and joining read the same exchange of (region, point); sizes come back where few rows are left.
+    copies = placed.select("point", F.explode("pivots").alias("region")).repartition("region")
     crowd = copies.groupBy("region").agg(F.min("point").alias("a"), F.max("point").alias("b"), F.count(F.lit(1)).alias("crowd"))
     shared = crowd.filter("a < b").select("region", "crowd").hint("shuffle_hash")
     # Copies of one text say the same; they are merged where they are read.
-    met = copies.join(shared, "region").groupBy("point", "n").agg(F.collect_set(F.struct("crowd", "region")).alias("met"))
+    met = copies.join(shared, "region").groupBy("point").agg(F.collect_set(F.struct("crowd", "region")).alias("met"))
+    met = met.join(placed.select("point", "n").distinct(), "point")
     least = f"(1 + int(ceil({rule.similarity} * n / 100) / {PER_MEETING}))"
     kept = F.expr(f"slice(array_sort(met), 1, size(met) - {least} + 1)")
     central = F.expr("aggregate(met, 0L, (a, m) -> a + m.crowd)").alias("central")
@@ -249,9 +253,11 @@ def _named(members: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _open(members: DataFrame) -> DataFrame:
-    """Members of cells whose points are in several components, with the cell's number of ``points``."""
-    sizes = members.groupBy("cell").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("points"))
-    return members.join(sizes.filter("a < b").select("cell", "points"), "cell")
+    """Members of cells whose points are in several components, with the cell's ``points`` and their ``shingles_in``."""
+    sizes = members.groupBy("cell").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("points"), F.sum("n").alias("shingles_in")
+    )
+    return members.join(sizes.filter("a < b").select("cell", "points", "shingles_in"), "cell")
 
 
 def _cut(cells: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -273,7 +279,7 @@ def _cut(cells: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     reached = reached.join(parted, "cell")
     name = F.when(F.col("parted"), F.xxhash64("cell", "pivot")).otherwise(F.col("cell")).alias("cell")
     gap = F.when(F.col("parted"), F.col("gap")).otherwise(F.col("distance")).alias("distance")
-    return reached.select(name, "point", gap, "component", "parted").distinct()
+    return reached.select(name, "point", "n", gap, "component", "parted").distinct()
 
 
 def cell_links(points: np.ndarray, group: np.ndarray, gaps: np.ndarray, side: np.ndarray, sets: list[np.ndarray], rule: Rule = RULE) -> list[tuple[int, int]]:
@@ -284,13 +290,7 @@ def cell_links(points: np.ndarray, group: np.ndarray, gaps: np.ndarray, side: np
     other tasks.
     """
     names, group = np.unique(group, return_inverse=True)
-    parent = list(range(len(names)))
-
-    def root(g: int) -> int:
-        while parent[g] != g:
-            parent[g] = parent[parent[g]]
-            g = parent[g]
-        return g
+    merged = np.arange(len(names))  # the component each one belongs to by now
 
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     flat = np.concatenate(sets)
@@ -303,7 +303,7 @@ def cell_links(points: np.ndarray, group: np.ndarray, gaps: np.ndarray, side: np
     out = []
     largest = int(np.bincount(group).argmax())
     for x in np.nonzero(group != largest)[0]:
-        now = np.array([root(g) for g in range(len(names))])[group]
+        now = merged[group]
         rival = (now != now[x]) & (100 * np.minimum(sizes, sizes[x]) >= rule.similarity * np.maximum(sizes, sizes[x]))
         rival &= ~(np.abs(gaps - gaps[x]) > rule.reach)
         if cross:
@@ -314,9 +314,9 @@ def cell_links(points: np.ndarray, group: np.ndarray, gaps: np.ndarray, side: np
         both = np.bincount(posted[ragged(cuts[own], cuts[own + 1] - cuts[own])], minlength=len(sets))
         linked = np.nonzero(rival & (100 * both >= rule.similarity * (sizes + sizes[x] - both)))[0]
         for y in linked:
-            a, b = root(int(group[x])), root(int(group[y]))
+            a, b = merged[group[x]], merged[group[y]]
             if a != b:
-                parent[max(a, b)] = min(a, b)
+                merged[merged == max(a, b)] = min(a, b)
                 out.append((int(points[x]), int(points[y])))
     return out
 
@@ -331,7 +331,7 @@ def _cell_join(cells: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    blocks = F.ceil(F.col("points") / BLOCK).cast("int")
+    blocks = F.greatest(F.ceil(F.col("points") / BLOCK), F.ceil(F.col("shingles_in") / BLOCK_SHINGLES)).cast("int")
     cells = cells.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int"))
     dealt = cells.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     dealt = dealt.select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "point", "component", "distance", "block")
@@ -349,7 +349,7 @@ def join_regions(members: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     links = known.filter("linked").select("a", "b")
     found = store(connected(links), "jaccard-components")
     gaps = known.select(F.col("a").alias("point"), F.col("b").alias("cell"), "distance")
-    left = _open(_named(cells.filter("point <> cell").select("cell", "point"), found))
+    left = _open(_named(cells.filter("point <> cell").select("cell", "point", "n"), found))
     left = store(left.join(gaps, ["cell", "point"], "left"), "jaccard-open")
     ready = left.filter(F.col("points") <= CELL)
     large = left.filter(F.col("points") > CELL)
@@ -383,11 +383,15 @@ def _grouped(placed: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
 
 def components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    placed = store(points(docs, rule), "jaccard-points")
-    rows = _grouped(placed, docs, rule)
-    names = rows.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
-    named = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return rows.join(names, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), named.alias("component_id"))
+    path = scratch_path(docs.sparkSession, "jaccard-result")
+    with scratch_scope(docs.sparkSession):
+        placed = store(points(docs, rule), "jaccard-points")
+        rows = _grouped(placed, docs, rule)
+        names = rows.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
+        named = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
+        out = rows.join(names, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), named.alias("component_id"))
+        out.write.parquet(path)
+    return docs.sparkSession.read.schema(out.schema).parquet(path)
 
 
 def representatives(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
@@ -395,27 +399,32 @@ def representatives(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
 
     Documents without shingles stay. Null ids come after all others; among rows of one id in
     one component the one with the fewest shingles, then the smaller point, stays, and of rows alike one.
+    Which rows go is decided on ids and hashes of texts; where they are few the texts stay where they are.
     """
-    placed = store(points(docs, rule), "jaccard-points")
-    rows = _grouped(placed, docs, rule).filter("n > 0")
-    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n", "point")).alias("r"))
-    kept = first.select(F.col("r.doc_id").alias("_id"), F.col("r.point").alias("_point"))
-    # A row is found again by its id and its point, which is computed anew beside it.
-    own = with_points(docs, rule.words)
-    empty = own.filter("_p is null").drop("_p")
-    chosen = own.filter("_p is not null").join(kept, F.expr("doc_id <=> _id and _p = _point"), "left_semi")
-    repeated = placed.filter("n > 0").groupBy("doc_id", "point").count().filter("count > 1").limit(1).count()
-    if repeated:
-        chosen = chosen.dropDuplicates(["doc_id", "_p"])
-    return chosen.drop("_p").unionByName(empty)
-
-
-def with_points(docs: DataFrame, words: int) -> DataFrame:
-    """The documents with their point as ``_p``; null without shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            names = [point(s) if len(s) else None for s in shingle_sets(*utf8(batch.column("text")), words)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.int64())], names=[*batch.schema.names, "_p"])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_p", T.LongType())]))
+    spark = docs.sparkSession
+    gone, twice = scratch_path(spark, "jaccard-gone"), scratch_path(spark, "jaccard-twice")
+    with scratch_scope(spark):
+        placed = store(points(docs, rule), "jaccard-points")
+        rows = store(_grouped(placed, docs, rule).filter("n > 0"), "jaccard-grouped")
+        first = rows.groupBy("component").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n", "point", "print")).alias("r"), F.count(F.lit(1)).alias("rows")
+        )
+        first = first.filter("rows > 1").select("component", F.col("r.doc_id").alias("_id"), F.col("r.print").alias("_print"))
+        others = rows.join(first, "component").filter("not (doc_id <=> _id and print = _print)")
+        others.select("doc_id", "print").distinct().write.parquet(gone)
+        alike = rows.groupBy("doc_id", "print").count().filter("count > 1")
+        alike.select("doc_id", "print").write.parquet(twice)
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"), _print().alias("_print"))
+
+    def listed(path: str) -> tuple[DataFrame, int]:
+        found = spark.read.parquet(path)
+        n = found.count()
+        return (F.broadcast(found) if n <= BROADCAST_IDS else found), n
+
+    same = F.expr("doc_id <=> _id and print = _print")
+    (lost, _), (again, repeats) = listed(gone), listed(twice)
+    kept = own.join(lost, same, "left_anti")
+    if repeats:
+        once = kept.join(again, same, "left_semi").dropDuplicates(["_id", "_print"])
+        kept = kept.join(again, same, "left_anti").unionByName(once)
+    return kept.select("row.*")
