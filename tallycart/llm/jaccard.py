@@ -37,7 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path, scratch_scope
@@ -217,12 +217,13 @@ def regions(placed: DataFrame, rule: Rule) -> DataFrame:
 
     ``central`` adds up how crowded all of a point's regions are: high for texts others derive from.
     """
-    # Counting and joining read the same exchange of (region, point); sizes come back where few rows are left.
-    copies = placed.select("point", F.explode("pivots").alias("region")).repartition("region")
-    crowd = copies.groupBy("region").agg(F.min("point").alias("a"), F.max("point").alias("b"), F.count(F.lit(1)).alias("crowd"))
-    shared = crowd.filter("a < b").select("region", "crowd").hint("shuffle_hash")
+    # One exchange of (region, point): regions are counted where their copies lie, in sorted runs that spill. A crowded region is
+    # the window of texts that are alike in all but common shingles; its rows are two numbers each.
+    own = Window.partitionBy("region")
+    copies = placed.select("point", F.explode("pivots").alias("region"))
+    crowd = copies.select("region", "point", F.min("point").over(own).alias("a"), F.max("point").over(own).alias("b"), F.count(F.lit(1)).over(own).alias("crowd"))
     # Copies of one text say the same; they are merged where they are read.
-    met = copies.join(shared, "region").groupBy("point").agg(F.collect_set(F.struct("crowd", "region")).alias("met"))
+    met = crowd.filter("a < b").groupBy("point").agg(F.collect_set(F.struct("crowd", "region")).alias("met"))
     met = met.join(placed.select("point", "n").distinct(), "point")
     least = f"(1 + int(ceil({rule.similarity} * n / 100) / {PER_MEETING}))"
     kept = F.expr(f"slice(array_sort(met), 1, size(met) - {least} + 1)")
