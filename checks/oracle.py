@@ -622,8 +622,9 @@ x AS (SELECT CASE WHEN n % 17 = 3 THEN 'bad time' WHEN n % 17 = 5 OR n IS NULL T
 SELECT outcome, count(*) AS "rows" FROM x GROUP BY 1 UNION ALL SELECT 'repaired', count(*) FROM x WHERE outcome = 'kept' AND n % 10 = 1""",
         "refresh_incremental": CLICKS + _merged_cubes(),
         "empty_table": SALES + DAILY + " SELECT count(*) AS present_rows, CAST(0 AS BIGINT) AS missing_rows FROM d",
-        "document_missing": """SELECT section FROM (VALUES ('filters'), ('dashboard'), ('revenue'), ('categories'), ('time_behavior'), ('customers')) AS t(section)
-WHERE (SELECT count(*) FROM events) > 0""",
+        "document_missing": CLICKS
+        + """ SELECT section, (SELECT count(*) FROM ev WHERE event_type IN ('view', 'cart', 'purchase')) AS total_events
+FROM (VALUES ('filters'), ('dashboard'), ('revenue'), ('categories'), ('time_behavior'), ('customers')) AS t(section)""",
         "document_categories_daily": CLICKS + CAT_DAYS + f" SELECT event_date, category, {money('rev')} AS revenue, orders, buyers FROM cd",
         "document_heatmap_daily": CLICKS
         + f""" SELECT event_date, weekday, hour, {money('sum(revenue)')} AS revenue, count(DISTINCT order_id) AS orders FROM p GROUP BY ALL""",

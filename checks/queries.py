@@ -457,12 +457,13 @@ def document_sections(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_missing(spark: SparkSession, folder: str) -> DataFrame:
-    """Required sections that a published document without some lacks."""
+    """Required sections that a document of the events lacks when only some are published, with the events it was built from."""
     path = scratch_path(spark, "document")
-    days = tables.click_events(spark, folder).agg(F.count(F.lit(1)).alias("n"))
-    bare = days.select(F.format_string('{"meta":{"events":%d},"funnel":{},"segments":{}}', "n").alias("document"))
-    document.publish(document.Publication(bare), path, "run-1")
-    return document.missing_sections(document.read_document(spark, path))
+    cubes = _staged_click_cubes(spark, folder)
+    document.publish(document.build_document(cubes, "x", only=("meta", "funnel", "segments")), path, "run-1")
+    published = document.read_document(spark, path)
+    total = F.get_json_object("document", "$.meta.total_events").cast("bigint")
+    return document.missing_sections(published).withColumn("total_events", published.select(total).scalar())
 
 
 def document_summary(spark: SparkSession, folder: str) -> DataFrame:

@@ -177,8 +177,12 @@ def build_document(
     sources: Sequence[str] = (),
     staged_at: str | None = None,
     conversion: DataFrame | None = None,
+    only: Sequence[str] | None = None,
 ) -> Publication:
-    """The nested text of the bounded sections, and the tables that grow with the data."""
+    """The nested text of the bounded sections, and the tables that grow with the data.
+
+    ``only`` leaves out all sections but those named, and their tables.
+    """
     r = Reports(cubes)
     steps = funnel.step_totals(cubes["event_counts"])
     meta = cubes["capabilities"].select(
@@ -244,6 +248,9 @@ def build_document(
         parts.append(_part("conversion", None, _object(conversion)))
 
     rows = reduce(DataFrame.unionByName, parts)
+    if only is not None:
+        rows = rows.filter(F.col("section").isin(list(only)))
+        published = {n: t for n, t in published.items() if t[0] in only}
     pair = F.concat(F.lit('"'), F.col("name"), F.lit('":'), F.col("body"))
     sections = rows.groupBy("section").agg(
         F.array_join(F.array_sort(F.collect_list(pair)), ",").alias("named"), F.max("body").alias("body")

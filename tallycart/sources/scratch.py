@@ -2,7 +2,8 @@
 
 A written table cuts the lineage, survives the loss of executors and lets the
 optimizer see real sizes. The folder is the session's ``spark.checkpoint.dir``
-or, where that is unset, a folder below the session's warehouse.
+or, where that is unset, a folder below the session's warehouse; a local
+warehouse is refused on a cluster.
 
 Tables written inside ``scratch_scope`` are removed when it ends. Others back a
 result that has not been read yet; ``clear_scratch`` removes them with all
@@ -25,6 +26,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not root:
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        if root.startswith(("file:", "/")) and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share: the warehouse lies on one machine")
     return f"{root.rstrip('/')}/tallycart/{context.applicationId}"
 
 

@@ -116,3 +116,19 @@ def test_view_counts_exactly_where_bitmaps_are_staged(spark, bought, tmp_path):
     cubes = read_cubes(spark, str(tmp_path))
     exact = one(view(cubes, "2019-10-01", "2019-10-31", "a")["exact"])
     assert exact == one(views.exact_range(bought, "2019-10-01", "2019-10-31", "a"))
+
+
+def test_local_warehouse_is_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tallycart.sources.scratch import scratch_root
+
+    def session(master: str, folder: str) -> SimpleNamespace:
+        conf = SimpleNamespace(get=lambda name, default=None: {"spark.sql.warehouse.dir": folder}.get(name, default))
+        context = SimpleNamespace(master=master, applicationId="app", getConf=lambda: SimpleNamespace(get=lambda name: None))
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    assert scratch_root(session("local[2]", "file:/w")) == "file:/w/_scratch/tallycart/app"
+    assert scratch_root(session("spark://h:1", "hdfs://h/w")) == "hdfs://h/w/_scratch/tallycart/app"
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_root(session("spark://h:1", "file:/w"))
