@@ -35,6 +35,11 @@ UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of a letter category is in the text; ½, ² or Ⅷ are numbers."""
+    return any(found.group().isalpha() for found in _LETTER.finditer(text))
+
+
 def grams(data: np.ndarray, place: np.ndarray, order: int = ORDER) -> np.ndarray:
     """The byte string that ends at each byte, zeros before the text; ``place`` is the byte's place in its text."""
     out = data.astype(np.uint64)
@@ -145,7 +150,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         for batch in chunks(batches):
             column = batch.column("text")
             data, ends = utf8(column)
-            said = np.array([bool(t and _LETTER.search(t)) for t in column.to_pylist()], bool)
+            said = np.array([bool(t and has_letter(t)) for t in column.to_pylist()], bool)
             names, score = np.array([UNKNOWN] * batch.num_rows, object), np.zeros(batch.num_rows)
             if model.languages:
                 lengths = model.lengths(data, ends)

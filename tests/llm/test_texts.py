@@ -265,3 +265,11 @@ def test_toxicity_cases(spark, docs, no_docs):
 def test_fold(spark):
     row = spark.createDataFrame([(i,) for i in (*range(50), None)], "doc_id bigint").select("doc_id", held_out(F.col("doc_id")).alias("h")).collect()
     assert all(r["h"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in row)
+
+
+def test_number_characters_are_no_letters(spark):
+    assert not any(map(language.has_letter, ["", "½ ² ① Ⅷ", "12_3 !?", "\u0301"])) and all(map(language.has_letter, ["½a", "é", "ʰ", "漢"]))
+    learned = spark.createDataFrame([(i, w * 20, lang) for i, (w, lang) in enumerate([("the cat ", "en"), ("le chat ", "fr")])], "doc_id bigint, text string, lang string")
+    asked = spark.createDataFrame([(1, "½ ² ① Ⅷ"), (2, "the cat")], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["lang_pred"] for r in language.predict(asked, language.fit(learned)).collect()}
+    assert found == {1: "und", 2: "en"}
