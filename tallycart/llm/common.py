@@ -160,7 +160,13 @@ class Pieces:
 
     def ids_of(self, keys: list, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all keys in order, and how many of them each text has."""
-        codes = np.fromiter(map(self.codes.__getitem__, keys), np.int64, len(keys))
+        return self.ids_at(self.places(keys), per_text)
+
+    def places(self, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.codes.__getitem__, keys), np.int64, len(keys))
+
+    def ids_at(self, codes: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What ``ids_of`` gives, for keys by their places."""
         lengths = self.lengths[codes]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         bounds = np.concatenate([[0], np.cumsum(per_text)])

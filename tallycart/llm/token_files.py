@@ -9,7 +9,8 @@ indexes over ``doc_id``, so that a filter on it reads the pages it needs, and
 a read of counts leaves the ids untouched.
 
 Null texts count as empty (they hold the end id alone). Rows with a null id
-come first. Repeated ids keep one row each, in any order among themselves.
+come first. Repeated ids keep one row each, in any order among themselves; files also cut
+between rows of one id, by the hash of the text.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from .common import Pieces, chunks, store, utf8
 
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 128 << 10
+#: Text bytes encoded at once: the more, the fewer words are looked up again.
+ENCODE_BYTES = 4 << 20
 #: Up to so many files (16 bytes each) their starts are broadcast; beyond it they are joined by exchange.
 BROADCAST_FILES = 1_000_000
 
@@ -40,6 +43,12 @@ _MARKS = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=[ \t-\r]|\Z)")
 #: Words with a character of U+0300 to U+037F, whose first byte is CC or CD: all marks that compose with ASCII lie there.
 _COMPOSED = re.compile(rb"(?<![^ \t-\r])[^ \t-\r\xcc\xcd]*+[\xcc\xcd][^ \t-\r]*")
 
+#: ``_MARKS`` for Arrow, which looks neither back nor ahead, and texts that it must not change.
+_MARKS_RE2 = (r"([a-z0-9])([.,;:!?]+)([ \t-\r]|\z)", r"\1 \2\3")
+_ODD = r"<\||[\x{300}-\x{37f}]"
+#: Stands for the end id among the words; no word has white space.
+END = "\n"
+
 
 def split_words(text: bytes) -> list[bytes]:
     """Words at ASCII white space, so changed that fewer differ while their ids stay the same.
@@ -60,6 +69,25 @@ def split_words(text: bytes) -> list[bytes]:
     return out + _MARKS.sub(rb" \1", text[at:].lower()).split()
 
 
+def split_texts(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of ``split_words`` of all texts, and how many each text has.
+
+    Arrow splits whole columns; texts with a special token's beginning or a character of U+0300 to U+037F go
+    through ``split_words`` one by one, and the words found come back joined by spaces.
+    """
+    data, ends = utf8(column)  # from their first byte on: slices that begin later come out of ascii_lower with wrong offsets
+    column = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(np.ascontiguousarray(ends)), pa.py_buffer(data))
+    plain = pc.replace_substring_regex(pc.ascii_lower(column), *_MARKS_RE2)
+    odd = pc.match_substring_regex(column, _ODD)
+    if pc.any(odd).as_py():
+        split = [b" ".join(split_words(t.encode())).decode() for t in column.filter(odd).to_pylist()]
+        plain = pc.replace_with_mask(plain, odd, pa.array(split, pa.large_string()))
+    lists = pc.ascii_split_whitespace(plain)
+    words, text = pc.list_flatten(lists), pc.list_parent_indices(lists)
+    full = pc.greater(pc.binary_length(words), 0)  # white space at an edge leaves empty strings
+    return words.filter(full), np.bincount(text.filter(full).to_numpy(), minlength=len(column))
+
+
 @lru_cache(maxsize=1)
 def encoder_for(definition: str) -> WordEncoder:
     """One encoder per worker, so that its words serve all tasks there."""
@@ -77,20 +105,22 @@ class WordEncoder:
         self.words = Pieces()
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        data, ends = utf8(column)
-        data = data.tobytes()
-        words, counts = [], np.zeros(len(ends) - 1, np.int64)
-        for i, (a, b) in enumerate(zip(ends, ends[1:])):
-            own = split_words(data[a:b])
-            words += own
-            words.append(b"\n")  # stands for the end id; no word has white space
-            counts[i] = len(own) + 1
-        new = self.words.missing(words)
+        """Ids of all texts in order, and how many each has; each distinct word is looked up once."""
+        words, per_text = split_texts(column)
+        coded = words.dictionary_encode()
+        distinct = [*coded.dictionary.to_pylist(), END]
+        new = self.words.missing(distinct)
         if new:
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-            own = [[end_id] if w == b"\n" else e.ids for w, e in zip(new, found)]
+            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            own = [[end_id] if w == END else e.ids for w, e in zip(new, found)]
             self.words.add(new, np.fromiter(itertools.chain.from_iterable(own), np.int32), np.fromiter(map(len, own), np.int64, len(own)))
-        return self.words.ids_of(words, counts)
+        places = self.words.places(distinct)
+        ends = np.cumsum(per_text + 1)
+        codes = np.full(len(words) + len(per_text), places[-1])
+        inside = np.ones(len(codes), bool)
+        inside[ends - 1] = False
+        codes[inside] = places[coded.indices.to_numpy(zero_copy_only=False)]
+        return self.words.ids_at(codes, per_text + 1)
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -> None:
@@ -100,7 +130,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, number, start = encoder_for(definition), TaskContext.get().partitionId(), 0
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=ENCODE_BYTES):
             ids, counts = encoder.encode(batch.column("text"), end_id)
             ends = np.concatenate([[0], np.cumsum(counts)])
             rows = batch.num_rows
@@ -118,9 +148,10 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     (
-        docs.select("doc_id", "text")
-        .repartitionByRange("doc_id")
+        docs.select("doc_id", "text", F.xxhash64("text").alias("_text"))
+        .repartitionByRange("doc_id", "_text")  # the second key splits an id that many rows share
         .sortWithinPartitions("doc_id")
+        .select("doc_id", "text")
         .mapInArrow(run, f"doc_id {kind}, file_no int, file_start bigint, n_tokens bigint, ids array<int>")
         .write.option("parquet.block.size", ROW_GROUP_BYTES)
         .option("parquet.page.size", PAGE_BYTES)

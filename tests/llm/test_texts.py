@@ -151,6 +151,21 @@ def test_token_words_compose_before_lower_case():
         at += n
 
 
+def test_words_of_columns_equal_words_of_texts():
+    """Arrow's words against those of each text: odd texts, nulls, white space at edges, slices."""
+    random.seed(5)
+    drawn = ["".join(random.choice(["A", "b", "É", " ", "\n", "\x0b", "\x1f", "\xa0", ".", "!", "a.", "<|", "|>", "\u030c", "7"]) for _ in range(random.choice([0, 3, 40]))) for _ in range(3000)]
+    column = pa.array([None, "", " ", "a. B!! c", "Ab,;\tx.", "a.b. c.", "<|endoftext|>", "J\u030c. A.", *drawn])
+    for part in (column, column.slice(3), column.slice(700, 900), column.slice(0, 0)):
+        words, counts = token_files.split_texts(part)
+        words, at = words.to_pylist(), 0
+        assert len(counts) == len(part)
+        for text, n in zip(part.to_pylist(), counts):
+            assert [w.encode() for w in words[at : at + n]] == token_files.split_words((text or "").encode()), ascii(text)
+            at += n
+        assert at == len(words)
+
+
 def test_only_one_block_composes_with_ascii():
     """What ``token_files.split_words`` relies on: an ASCII letter composes only with U+0300 to U+037F."""
     for code in range(0x80, 0x110000):
