@@ -18,6 +18,7 @@ from __future__ import annotations
 import itertools
 import os
 import re
+import string
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,38 +36,42 @@ ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 128 << 10
 #: Text bytes encoded at once: the more, the fewer words are looked up again.
 ENCODE_BYTES = 4 << 20
+#: Words given to the tokenizer at once, whose results are large objects, and words kept by a worker.
+BATCH, WORDS_KEPT = 4096, 300_000
 #: Up to so many files (16 bytes each) their starts are broadcast; beyond it they are joined by exchange.
 BROADCAST_FILES = 1_000_000
 
 
-_MARKS = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=[ \t-\r]|\Z)")
-#: Words with a character of U+0300 to U+037F, whose first byte is CC or CD: all marks that compose with ASCII lie there.
-_COMPOSED = re.compile(rb"(?<![^ \t-\r])[^ \t-\r\xcc\xcd]*+[\xcc\xcd][^ \t-\r]*")
-
-#: ``_MARKS`` for Arrow, which looks neither back nor ahead, and texts that it must not change.
-_MARKS_RE2 = (r"([a-z0-9])([.,;:!?]+)([ \t-\r]|\z)", r"\1 \2\3")
+#: Marks that may end a word, none of them part of a special token, and what they are cut from:
+#: digits, ASCII letters in lower case and letters of U+00C0 to U+00FF.
+_MARKS = re.compile(r"(?<=[a-z0-9\xc0-\xd6\xd8-\xf6\xf8-\xff])([!-/:;=?@\[-`{}~]+)(?=[ \t-\r]|\Z)")
+#: The same for Arrow, whose expressions look neither back nor ahead.
+_MARKS_RE2 = (r"([a-z0-9\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}])([!-/:;=?@\[-`{}~]+)([ \t-\r]|\z)", r"\1 \2\3")
+#: Words with a character of U+0300 to U+037F: all marks that compose with ASCII lie there.
+_COMPOSED = re.compile(r"(?<![^ \t-\r])[^ \t-\r̀-Ϳ]*+[̀-Ϳ][^ \t-\r]*")
+_WORDS = re.compile(r"[^ \t-\r]+")
+_LOWER = {ord(c): c.lower() for c in string.ascii_uppercase}
+#: Texts that Arrow must not change as a whole.
 _ODD = r"<\||[\x{300}-\x{37f}]"
 #: Stands for the end id among the words; no word has white space.
 END = "\n"
 
 
-def split_words(text: bytes) -> list[bytes]:
+def split_words(text: str) -> list[str]:
     """Words at ASCII white space, so changed that fewer differ while their ids stay the same.
 
     What the tokenizer does itself is done first: lower case of ASCII, and a cut between a
     word and the marks that end it. It composes (NFC) before it lowers, so words with marks to
     compose stay as they are, and so do texts where lower case could make a special token.
     """
-    if b"<|" in text:
-        return text.split()
-    if b"\xcc" not in text and b"\xcd" not in text:
-        return _MARKS.sub(rb" \1", text.lower()).split()
+    if "<|" in text:
+        return _WORDS.findall(text)
     out, at = [], 0
     for found in _COMPOSED.finditer(text):
-        out += _MARKS.sub(rb" \1", text[at : found.start()].lower()).split()
+        out += _WORDS.findall(_MARKS.sub(r" \1", text[at : found.start()].translate(_LOWER)))
         out.append(found[0])
         at = found.end()
-    return out + _MARKS.sub(rb" \1", text[at:].lower()).split()
+    return out + _WORDS.findall(_MARKS.sub(r" \1", text[at:].translate(_LOWER)))
 
 
 def split_texts(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -80,7 +85,7 @@ def split_texts(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     plain = pc.replace_substring_regex(pc.ascii_lower(column), *_MARKS_RE2)
     odd = pc.match_substring_regex(column, _ODD)
     if pc.any(odd).as_py():
-        split = [b" ".join(split_words(t.encode())).decode() for t in column.filter(odd).to_pylist()]
+        split = [" ".join(split_words(t)) for t in column.filter(odd).to_pylist()]
         plain = pc.replace_with_mask(plain, odd, pa.array(split, pa.large_string()))
     lists = pc.ascii_split_whitespace(plain)
     words, text = pc.list_flatten(lists), pc.list_parent_indices(lists)
@@ -102,7 +107,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.words = Pieces()
+        self.words = Pieces(most=WORDS_KEPT)
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and how many each has; each distinct word is looked up once."""
@@ -110,10 +115,11 @@ class WordEncoder:
         coded = words.dictionary_encode()
         distinct = [*coded.dictionary.to_pylist(), END]
         new = self.words.missing(distinct)
-        if new:
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            own = [[end_id] if w == END else e.ids for w, e in zip(new, found)]
-            self.words.add(new, np.fromiter(itertools.chain.from_iterable(own), np.int32), np.fromiter(map(len, own), np.int64, len(own)))
+        for at in range(0, len(new), BATCH):
+            some = new[at : at + BATCH]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            own = [[end_id] if w == END else e.ids for w, e in zip(some, found)]
+            self.words.add(some, np.fromiter(itertools.chain.from_iterable(own), np.int32), np.fromiter(map(len, own), np.int64, len(own)))
         places = self.words.places(distinct)
         ends = np.cumsum(per_text + 1)
         codes = np.full(len(words) + len(per_text), places[-1])
