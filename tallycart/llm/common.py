@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
@@ -79,6 +79,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def least(rows: DataFrame, group: str, draw: str, most: int, parts: int = 1024) -> DataFrame:
+    """The ``most`` rows of each group with the least ``draw`` (a long).
+
+    Ranked within hashed parts first, so that a group of any size reaches the last ranking with ``parts`` times ``most`` rows.
+    """
+    part = Window.partitionBy(group, F.pmod(F.xxhash64(draw), F.lit(parts))).orderBy(draw)
+    for window in (part, Window.partitionBy(group).orderBy(draw)):
+        rows = rows.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= most).drop("_rank")
+    return rows
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of the ranges ``starts[i] .. starts[i] + lengths[i]``, one after another."""
     total = int(lengths.sum())

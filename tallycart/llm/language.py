@@ -6,8 +6,8 @@ contexts that have not charge their escape on the way down (method C: escape
 weight is the number of distinct followers), and below all contexts a byte costs 8 bits. Statistics
 are frozen after fitting; the language with the shortest code of the whole text wins.
 
-Fitting counts on a bounded sample (``SAMPLE_DOCS`` documents a language are
-expected, twice as many at most). Code lengths are whole multiples of 2**-16 bits, so sums do not
+Fitting counts on a bounded sample: ``SAMPLE_DOCS`` documents a language at most, a document being
+an id with a text, however often the row is repeated. Code lengths are whole multiples of 2**-16 bits, so sums do not
 depend on how rows are dealt. Score: share of the winner among
 2**-length of all languages. Texts that are null or have no letter, and all texts where nothing
 was learned, give ``und`` with score 0. Ties go to the language first in code point order.
@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HashIndex, chunks, utf8
+from .common import HashIndex, chunks, least, store, utf8
 
 ORDER = 4
-#: Expected number of documents a language is learned from.
+#: Documents a language is learned from.
 SAMPLE_DOCS = 200
 #: Bytes scored at once; longer texts take several turns.
 BLOCK = 1 << 20
@@ -52,11 +52,14 @@ def grams(data: np.ndarray, place: np.ndarray, order: int = ORDER) -> np.ndarray
 
 
 def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> DataFrame:
-    """About ``per_language`` rows (text, lang) of every language, chosen by a hash of the id."""
-    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
-    return rows.join(sizes, "lang").filter(draw * F.col("_n") < per_language).select("text", "lang")
+    """The ``per_language`` documents (text, lang) of every language with the least hash of id and text.
+
+    Hashes are ranked without the texts, which are then looked up and stay where they are.
+    """
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang", F.xxhash64("doc_id", "text").alias("_draw"))
+    chosen = store(least(rows.select("lang", "_draw").distinct(), "lang", "_draw", per_language), "language-draws")
+    found = rows.join(chosen, ["lang", "_draw"], "left_semi")
+    return found.groupBy("lang", "_draw").agg(F.first("text").alias("text")).select("text", "lang")
 
 
 def counted(rows: DataFrame, order: int = ORDER) -> DataFrame:

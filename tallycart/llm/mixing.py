@@ -154,10 +154,13 @@ def taken_texts(docs: DataFrame, seed: str = SEED) -> DataFrame:
     A document taken in part brings its first words, joined by spaces; ``n_chars``
     follows its text. Documents of which nothing is taken are left out.
     """
-    mixed = mix(docs.withColumn("size", words(F.col("text"))), seed, sized(docs))
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD_CLASS), 0), 1, F.expr("int(taken % size)")), " ")
-    texts = F.concat(F.array_repeat("text", F.expr("int(taken div size)")), F.when(F.expr("taken % size > 0"), F.array(part)).otherwise(F.array().cast("array<string>")))
-    out = mixed.filter("taken > 0").withColumn("text", F.explode(texts))
+    # The row travels as one struct, whose names meet none of the mix's own.
+    mixed = mix(docs.select("doc_id", "source", words(F.col("text")).alias("size"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")), seed, sized(docs))
+    text = F.col("_row.text")
+    part = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD_CLASS), 0), 1, F.expr("int(taken % size)")), " ")
+    texts = F.concat(F.array_repeat(text, F.expr("int(taken div size)")), F.when(F.expr("taken % size > 0"), F.array(part)).otherwise(F.array().cast("array<string>")))
+    out = mixed.filter("taken > 0").select("_row", F.explode(texts).alias("_text"))
+    new = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*(new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns))

@@ -3,8 +3,11 @@
 Base kinds, leftmost and without overlap per kind: ``email``, ``ip`` (four parts of at most
 255), ``card`` (13 to 19 digits that pass Luhn), ``phone`` (leading plus, 9 to 15 digits). A
 match that fails its check is dropped and its characters are not tried again.
-Added kinds: ``iban`` (confirmed by remainder 1 modulo 97) and ``phone_local`` (a
-number without plus, which only words nearby can lift over the threshold).
+Added kinds: ``iban`` (confirmed by remainder 1 modulo 97), ``dni`` (eight digits and the letter that
+their remainder modulo 23 fixes), ``phone_local`` and ``ssn`` (numbers that, like ``dni``, only words
+nearby can lift over the threshold), and secrets: ``access_key`` (a known prefix and a body), ``secret`` (the value set for a name
+such as token or password) and ``private_key`` (a whole PEM block). The check of a key or a secret is its
+entropy, ``LEAST_BITS`` a character, with digits and letters in it.
 
 Every span starts with the score of its kind. A confirming check raises it, a word
 of the kind's list within ``CONTEXT`` characters raises it further, a word that speaks of examples
@@ -17,9 +20,13 @@ texts linear. Null texts count as empty. Offsets are code points, ends exclusive
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
+import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -29,12 +36,14 @@ from pyspark.sql import DataFrame
 from .common import chunks, replaced, texts
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "iban", "phone_local")
+KINDS = (*BASE, "iban", "phone_local", "private_key", "access_key", "secret", "ssn", "dni")
 CONTEXT = 40
 THRESHOLD = 0.5
 #: Score of a span by kind before and after its check and context.
-START = {"email": 0.8, "ip": 0.6, "card": 0.5, "phone": 0.7, "iban": 0.4, "phone_local": 0.3}
+START = {"email": 0.8, "ip": 0.6, "card": 0.5, "phone": 0.7, "iban": 0.4, "phone_local": 0.3, "private_key": 0.9, "access_key": 0.5, "secret": 0.4, "ssn": 0.3, "dni": 0.1}
 CONFIRMED, NEARBY, AGAINST = 0.3, 0.3, -0.3
+#: Bits a character that random hexadecimal or base 64 text passes and words seldom do.
+LEAST_BITS = 2.8
 
 #: Words that speak for a kind, and words that speak against all.
 WORDS = {
@@ -45,6 +54,9 @@ WORDS = {
     "iban": ("iban", "bank", "account", "konto", "compte", "cuenta"),
 }
 WORDS["phone_local"] = WORDS["phone"]
+WORDS["private_key"] = WORDS["access_key"] = WORDS["secret"] = ("key", "secret", "password", "credentials", "aws", "api")
+WORDS["ssn"] = ("ssn", "social security", "taxpayer")
+WORDS["dni"] = ("dni", "nif", "identidad")
 DOUBT = ("example", "sample", "version", "isbn", "beispiel", "exemple", "ejemplo")
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -53,6 +65,17 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9A-Za-z+.])(?:\([0-9]{2,5}\) ?|0)[0-9](?:[ /-]?[0-9]){5,11}(?![0-9A-Za-z])")
+_PRIVATE_KEY = re.compile(r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]|\\n|(?:Proc-Type|DEK-Info): [^\n]*+)*+(?:-----END (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----)?")
+#: Prefixes of keys whose format is public.
+_ACCESS_KEY = re.compile(r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsru]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{20,80}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)(?![A-Za-z0-9])")
+_SECRET = re.compile(
+    r"(?<![A-Za-z])(?:token|secret|passwor[dt]|passwd|pwd|api[_-]?key|access[_-]?key|secret[_-]?key|auth[_-]?key|contraseña|passwort)[\"']?\s{0,4}(?:[:=]|=>|:=)\s{0,4}[\"']?([A-Za-z0-9+/_.~-]{12,}+={0,2})",
+    re.I,
+)
+_SSN = re.compile(r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])")
+_DNI = re.compile(r"(?<![0-9A-Za-z])([0-9]{8})-?([A-Z])(?![0-9A-Za-z])")
+#: The letter of each remainder modulo 23.
+DNI_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
 _NEAR = {kind: re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, words))})(?!\w)", re.I) for kind, words in WORDS.items()}
 _DOUBT = re.compile(rf"(?<!\w)(?:{'|'.join(DOUBT)})(?!\w)", re.I)
 _NO_DIGIT = re.compile(r"[^0-9]")
@@ -60,6 +83,10 @@ _NO_DIGIT = re.compile(r"[^0-9]")
 _DOUBLED = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
 
 
+#: What a text must hold for a kind to occur.
+_NEEDED = {"email": "@", "phone": "+", "private_key": "-----BEGIN ", "ssn": "-"}
+
+
 class Span(NamedTuple):
     kind: str
     start: int
@@ -78,6 +105,14 @@ def mod97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def random_looking(value: str) -> bool:
+    """Whether digits and letters are mixed with the entropy of a generated value."""
+    if not any(c in value for c in "0123456789") or not any(c.isalpha() for c in value):
+        return False
+    n = len(value)
+    return -sum(k / n * math.log2(k / n) for k in Counter(value).values()) >= LEAST_BITS
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Addresses around each at sign, which no other part of one can hold."""
     done, at = 0, text.find("@")
@@ -117,25 +152,57 @@ def _checked(kind: str, text: str) -> Iterator[tuple[int, int, bool]]:
             account = m[0].replace(" ", "")
             if 15 <= len(account) <= 34 and mod97(account):
                 yield m.start(), m.end(), True
+    elif kind == "private_key":
+        for m in _PRIVATE_KEY.finditer(text):
+            yield m.start(), m.end(), True
+    elif kind == "access_key":
+        for m in _ACCESS_KEY.finditer(text):
+            if random_looking(m[0]):
+                yield m.start(), m.end(), True
+    elif kind == "secret":
+        for m in _SECRET.finditer(text):
+            if random_looking(m[1]):
+                yield m.start(1), m.end(1), True
+    elif kind == "ssn":
+        for m in _SSN.finditer(text):
+            yield m.start(), m.end(), False
+    elif kind == "dni":
+        for m in _DNI.finditer(text):
+            if DNI_LETTERS[int(m[1]) % 23] == m[2]:
+                yield m.start(), m.end(), True
     else:
         for m in _LOCAL_PHONE.finditer(text):
             if 8 <= len(_NO_DIGIT.sub("", m[0])) <= 13:
                 yield m.start(), m.end(), False
 
 
+def _overlap(spans: list[Span]) -> Callable[[int, int], bool]:
+    """Whether a stretch overlaps one of the spans, without looking at them all."""
+    lined = sorted((s.start, s.end) for s in spans)
+    starts, ends = [s for s, _ in lined], list(itertools.accumulate((e for _, e in lined), max))
+
+    def found(start: int, end: int) -> bool:
+        before = bisect.bisect_left(starts, end)
+        return before > 0 and ends[before - 1] > start
+
+    return found
+
+
 def find(text: str) -> list[Span]:
     """All spans of a text, by kind and start."""
     out = []
     digits = any(c in text for c in "0123456789")
     for kind in KINDS:
-        if not (digits if kind != "email" else "@" in text) or kind == "phone" and "+" not in text:
+        needed = _NEEDED.get(kind, "")
+        if needed not in text or not digits and kind not in ("email", "private_key"):
             continue
+        taken = None if kind in BASE else _overlap(out)  # spans of one kind never overlap
         for start, end, confirmed in _checked(kind, text):
             around = text[max(0, start - CONTEXT) : start] + "\n" + text[end : end + CONTEXT]
             score = START[kind] + CONFIRMED * confirmed
             score += NEARBY * bool(_NEAR[kind].search(around)) + AGAINST * bool(_DOUBT.search(around))
             score = round(min(1.0, max(0.0, score)), 2)
-            if kind in BASE or score >= THRESHOLD and not any(s.start < end and start < s.end for s in out):
+            if kind in BASE or score >= THRESHOLD and not taken(start, end):
                 out.append(Span(kind, start, end, score))
     return out
 

@@ -6,9 +6,9 @@ moves whole slots. The law is ``bytes``: slots go, largest first, to the shard
 with the fewest bytes so far, so shards differ by no more than one small slot
 unless a single document outweighs a shard.
 
-The map has ``SLOTS`` rows whatever the data, and is made in one row. A null text counts as
-empty; a null id is hashed by the text instead. Repeated rows share a slot and get
-places of their own. Places run from 0 in each shard: slots in order, then ids, checksums and sizes.
+The map has ``SLOTS`` rows whatever the data, and is made in one row. A record is hashed by id, checksum of the
+text and its number among equal records, so a repeated id, a null id or a group of equal rows, however
+large, spreads over all slots; copies of a text under other ids do so too. A null text counts as empty. Places run from 0 in each shard: slots in order, then ids, checksums and sizes.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from .common import store
 
 SLOTS = 4096
 SHARDS = 8
+#: Equal records are counted first and written out again in blocks of so many.
+BLOCK_ROWS = 1 << 16
 #: Rebalancing leaves shards alone that are within this share of the mean.
 TOLERANCE = 0.01
 
@@ -27,9 +29,14 @@ TOLERANCE = 0.01
 def records(docs: DataFrame) -> DataFrame:
     """(doc_id, size, text_crc32, virtual) of every document, stored, since two steps read it."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    virtual = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("t"), F.col("text")))), F.lit(SLOTS))
-    rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), virtual.cast("int").alias("virtual"))
-    return store(rows, "shard-records")
+    rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"))
+    key = ["doc_id", "size", "text_crc32"]
+    equal = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    blocks = equal.withColumn("_block", F.explode(F.expr(f"sequence(0L, (_n - 1) div {BLOCK_ROWS})"))).repartition(*key, "_block")
+    first = F.col("_block") * BLOCK_ROWS
+    each = blocks.withColumn("_no", F.explode(F.sequence(first, F.least(first + BLOCK_ROWS, F.col("_n")) - 1)))
+    virtual = F.pmod(F.xxhash64("doc_id", "text_crc32", "_no"), F.lit(SLOTS))
+    return store(each.select(*key, virtual.cast("int").alias("virtual")), "shard-records")
 
 
 def slot_bytes(rows: DataFrame) -> DataFrame:

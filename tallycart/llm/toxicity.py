@@ -6,11 +6,11 @@ looks at every labelled text that names a group: its counterfactuals name anothe
 kind, and the squared change of the log-odds is penalised. So a neutral mention of a group that
 happens to occur in toxic texts does not raise the score.
 
-Fitting uses a bounded sample of labelled rows (``SAMPLE_DOCS`` a class are expected, twice as many
-at most) and keeps ``FEATURES`` features at most. Scores of whole texts, null
+Fitting uses a bounded sample, ``SAMPLE_DOCS`` labelled documents a class at most, and keeps ``FEATURES`` features at most. Scores of whole texts, null
 counting as empty, lie in 0 to 1. Without labelled rows of both classes every score is the share of
-toxic labels, or 0. Repeated and null ids, and extra columns, change nothing; the first label
-in (toxic) order counts where a document has several.
+toxic labels, or 0. Rows with a null id are scored, not learned from; of an id that several rows share one
+text is learned, the one with the least hash; the first label in (toxic) order counts where a document has
+several. Extra columns change nothing.
 """
 
 from __future__ import annotations
@@ -26,9 +26,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, store, texts
+from .common import chunks, least, store, texts
 
-#: Expected labelled rows of either class in the fit.
+#: Labelled documents of either class in the fit.
 SAMPLE_DOCS = 3000
 FEATURES = 8000
 #: Least documents of the sample that have a feature, and its least chi-square.
@@ -68,14 +68,11 @@ def features(word: str) -> list[str]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_DOCS) -> DataFrame:
-    """About ``per_class`` rows (doc_id, text, toxic) of either class, chosen by a hash of the id."""
+    """The ``per_class`` documents (doc_id, text, toxic) of either class with the least hash of the id, one row each."""
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("toxic").alias("toxic"))
-    sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
-    share = F.when(F.col("toxic") == 1, F.lit(per_class / max(1, sizes.get(1, 0)))).otherwise(F.lit(per_class / max(1, sizes.get(0, 0))))
-    # The limit is the bound of what is broadcast; draws stay far below it.
-    chosen = known.filter(draw < share).limit(4 * per_class)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    chosen = store(least(known.withColumn("_draw", F.xxhash64("doc_id")), "toxic", "_draw", per_class).drop("_draw"), "toxicity-draws")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # two classes of per_class rows at most
+    return found.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def bags(rows: DataFrame) -> DataFrame:
