@@ -15,7 +15,6 @@ between rows of one id, by the hash of the text.
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 import string
@@ -36,8 +35,10 @@ ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 128 << 10
 #: Text bytes encoded at once: the more, the fewer words are looked up again.
 ENCODE_BYTES = 4 << 20
-#: Words given to the tokenizer at once, whose results are large objects, and words kept by a worker.
-BATCH, WORDS_KEPT = 4096, 300_000
+#: Words given to the tokenizer as one text, and words kept by a worker.
+BATCH, WORDS_KEPT = 512, 500_000
+#: Lies between these words; no other character gives its bytes, and words that hold it are encoded alone.
+BETWEEN = "§"
 #: Up to so many files (16 bytes each) their starts are broadcast; beyond it they are joined by exchange.
 BROADCAST_FILES = 1_000_000
 
@@ -108,18 +109,32 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.words = Pieces(most=WORDS_KEPT)
+        mark = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in order, and how many each has."""
+        found = self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join([*words, ""])], add_special_tokens=False)
+        ids = np.array(found[0].ids, np.int32)
+        between = ids == self.mark
+        return ids[~between], np.diff(np.flatnonzero(between), prepend=-1) - 1
+
+    def learn(self, words: list[str], end_id: int) -> None:
+        """Take in new words."""
+        alone = [w for w in words if self.mark is None or BETWEEN in w or w == END]
+        together = sorted(set(words).difference(alone))
+        for at in range(0, len(together), BATCH):
+            self.words.add(together[at : at + BATCH], *self.ids(together[at : at + BATCH]))
+        for word in alone:
+            ids = [end_id] if word == END else self.tokenizer.encode(word, add_special_tokens=False).ids
+            self.words.add([word], np.array(ids, np.int32), np.array([len(ids)], np.int64))
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and how many each has; each distinct word is looked up once."""
         words, per_text = split_texts(column)
         coded = words.dictionary_encode()
         distinct = [*coded.dictionary.to_pylist(), END]
-        new = self.words.missing(distinct)
-        for at in range(0, len(new), BATCH):
-            some = new[at : at + BATCH]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            own = [[end_id] if w == END else e.ids for w, e in zip(some, found)]
-            self.words.add(some, np.fromiter(itertools.chain.from_iterable(own), np.int32), np.fromiter(map(len, own), np.int64, len(own)))
+        self.learn(self.words.missing(distinct), end_id)
         places = self.words.places(distinct)
         ends = np.cumsum(per_text + 1)
         codes = np.full(len(words) + len(per_text), places[-1])
