@@ -7,15 +7,16 @@ of M-trees of at most about ``TREE`` vectors (rows of one region are dealt to it
 a vector that fills a third of the table fills many trees).
 
 A tree has pages of ``PAGE`` entries. An entry holds its object, its covering radius and the distance
-to the object of its page. Best-first search opens the page with the smallest lower bound; stored
-distances to the parent rule out entries before their own distance is computed. The search
+to the object of its page. Best-first search opens the page with the smallest lower bound, for all queries of the
+task that wait at it at once; stored distances to the parent rule out entries before their own distance is computed. The search
 runs twice: first in the region nearest to a query, then, with that k-th score as bound, in
 every other region that its radius does not rule out. Bounds carry slack for rounding,
 scores are exact whole numbers.
 
 Vectors that are null or hold null or non-finite components take no part; shorter ones count as
 filled up with zeros. A query is an id; rows with another id are candidates, repeated rows each for
-themselves; ties go to the smaller id.
+themselves; ties go to the smaller id. Scores are exact below 2^53; whole-number components of more than about
+2^31 (squares beyond 64 bits) are refused by Spark's overflow check.
 """
 
 from __future__ import annotations
@@ -37,7 +38,9 @@ REGIONS = 16
 TREE = 4096
 PAGE = 64
 #: Queries searched in one task.
-QUERY_BLOCK = 2048
+QUERY_BLOCK = 8192
+#: Rows found that a search holds before it keeps only the best of each query.
+HELD = 1 << 20
 #: Bounds give way by this share of the scale of squared distances.
 SLACK = 1e-9
 
@@ -87,51 +90,89 @@ class Tree:
 
     def search(self, query_id: int, query: np.ndarray, k: int, floor: float = -np.inf) -> list[tuple[int, int]]:
         """The ``k`` best (score, id) of at least ``floor``, without the query's own id."""
-        if self.root is None:
-            return []
-        size = float(query @ query)
-        point = np.append(query, 0.0)
-        slack = SLACK * (size + self.longest + 1.0)
-        found: list[tuple[int, int]] = []
-
-        def limit() -> float:
-            """Distance beyond which nothing can be among the best."""
-            worst = max(floor, found[0][0] if len(found) == k else -np.inf)
-            return np.sqrt(max(0.0, size + self.longest - 2 * worst) + slack) if worst > -np.inf else np.inf
-
-        start = float(np.sqrt(size))  # from the root's object, the zero point
-        queue = [(0.0, 0, start, self.root)]
-        count, most = 0, limit()
+        _, ids, scores = self.search_all(np.array([query_id]), query[None], k, np.array([floor]))
+        return list(zip(scores.tolist(), ids.tolist()))
+
+    def search_all(self, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place of the query, id and score of the ``k`` best of each query, of at least its floor.
+
+        A page is opened for all queries waiting at it with one matrix product. Queries go to the page
+        nearest to them first, which gives each a k-th score; other pages follow by lower bound, for the queries not ruled out by then.
+        """
+        kept = [np.zeros((0, 3), np.int64)]
+        if self.root is None or not len(queries):
+            return kept[0][:, 0], kept[0][:, 1], kept[0][:, 2]
+        sizes = (queries * queries).sum(axis=1)
+        slack = SLACK * (sizes + self.longest + 1.0)
+        tops = np.full((len(queries), k), -np.inf)  # best scores so far, the k-th in front
+        worst = floors.astype(float)
+        held = 0
+
+        def limits(of: np.ndarray) -> np.ndarray:
+            """Distances beyond which nothing can be among the best."""
+            least = worst[of]
+            known = least > -np.inf
+            return np.where(known, np.sqrt(np.maximum(0.0, sizes[of] + self.longest - 2 * np.where(known, least, 0.0)) + slack[of]), np.inf)
+
+        def cut(found: list[np.ndarray]) -> list[np.ndarray]:
+            """The ``k`` best of each query among the rows found, ties to the smaller id."""
+            rows = np.concatenate(found)
+            rows = rows[rows[:, 2] >= worst[rows[:, 0]]]
+            rows = rows[np.lexsort((rows[:, 1], -rows[:, 2], rows[:, 0]))]
+            starts = np.searchsorted(rows[:, 0], rows[:, 0])
+            return [rows[np.arange(len(rows)) - starts < k]]
+
+        everyone = np.arange(len(queries))
+        # (later, least bound, number): pages nearest to their queries come first
+        queue = [(False, 0.0, 0, self.root, everyone, np.zeros(len(queries)), np.sqrt(sizes))]
+        count = 0
         while queue:
-            least, _, around, node = heapq.heappop(queue)
-            if least > most:
-                break
-            reach = most + (node.radii if node.below else 0.0)
-            near = np.nonzero(np.abs(around - node.parent) <= reach + slack)[0]
+            later, _, _, node, places, bounds, around = heapq.heappop(queue)
+            most = limits(places)
+            waiting = bounds <= most
+            if not waiting.any():
+                continue
+            places, around, most = places[waiting], around[waiting], most[waiting]
+            room = most + slack[places]
+            radii = node.radii if node.below else 0.0
+            near = np.nonzero((node.parent + radii >= (around - room).min()) & (node.parent - radii <= (around + room).max()))[0]
             if not len(near):
                 continue
-            self.computed += len(near)
+            self.computed += len(near) * len(places)
+            rows = node.rows[near]
+            scores = queries[places] @ self.vectors[rows].T
             if node.below:
-                exact = distances(self.points[node.rows[near]], point)
-                lower = np.maximum(0.0, exact - node.radii[near])
-                for i in np.nonzero(lower <= most)[0]:
-                    count += 1
-                    heapq.heappush(queue, (float(lower[i]), count, float(exact[i]), node.below[near[i]]))
+                # lifted vectors are all as long as the longest one, so products give distances
+                exact = np.sqrt(np.maximum(0.0, sizes[places, None] + self.longest - 2 * scores))
+                lower = np.maximum(0.0, exact - radii[near])
+                open_ = lower <= room[:, None]
+                first = np.zeros_like(open_)
+                if not later:
+                    first[np.arange(len(places)), lower.argmin(axis=1)] = True
+                for i in range(len(near)):
+                    for after, chosen in ((later, open_[:, i] & first[:, i]), (True, open_[:, i] & ~first[:, i])):
+                        if chosen.any():
+                            count += 1
+                            gaps = lower[chosen, i]
+                            heapq.heappush(queue, (after, float(gaps.min()), count, node.below[near[i]], places[chosen], gaps, exact[chosen, i]))
                 continue
-            rows = node.rows[near]
-            scores = self.vectors[rows] @ query
-            worst = max(floor, found[0][0] if len(found) == k else -np.inf)
-            for i in np.nonzero(scores >= worst)[0]:
-                own = int(self.ids[rows[i]])
-                if own == query_id:
-                    continue
-                item = (int(scores[i]), -own)
-                if len(found) < k:
-                    heapq.heappush(found, item)
-                elif item > found[0]:
-                    heapq.heapreplace(found, item)
-            most = limit()
-        return [(score, -less) for score, less in found]
+            scores[query_ids[places, None] == self.ids[rows]] = -np.inf
+            hits = (scores >= worst[places, None]) & (scores > -np.inf)
+            row, column = np.nonzero(hits)
+            if not len(row):
+                continue
+            kept.append(np.stack([places[row], self.ids[rows[column]], scores[row, column].astype(np.int64)], axis=1))
+            better = np.nonzero(hits.any(axis=1))[0]
+            own = places[better]
+            merged = np.concatenate([tops[own], scores[better]], axis=1)
+            tops[own] = np.partition(merged, merged.shape[1] - k, axis=1)[:, merged.shape[1] - k :]
+            worst[own] = np.maximum(worst[own], tops[own, 0])
+            held += len(row)
+            if held > HELD:
+                kept = cut(kept)
+                held = len(kept[0])
+        found = cut(kept)[0]
+        return found[:, 0], found[:, 1], found[:, 2]
 
 
 def whole(rows: DataFrame, scale: int) -> DataFrame:
@@ -163,6 +204,8 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, reg
     # One row per region at most: the top page of every tree.
     top = {r["region"]: (r["n"], r["radius"]) for r in routed.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).collect()}
     trees = {region: -(-n // tree) for region, (n, _) in top.items()}
+    counts = np.array([trees.get(region, 0) for region in range(len(centres))], np.int64)
+    radii = np.array([top[region][1] if region in top else 0.0 for region in range(len(centres))])
     asked = query_rows(routed, every)
     query_blocks = -(-routed.filter(F.col("vec_id") % every == 0).count() // QUERY_BLOCK) or 1
 
@@ -176,15 +219,15 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, reg
                 sizes = (queries * queries).sum(axis=1)
                 gaps = np.stack([distances(points, c) for c in centres], axis=1)
                 floors = np.full(len(queries), -np.inf) if first else batch.column("floor").to_numpy(zero_copy_only=False)
-                out = []
-                for i in range(len(queries)):
-                    home = int(gaps[i].argmin())
-                    reach = np.sqrt(max(0.0, sizes[i] + longest - 2 * floors[i])) if floors[i] > -np.inf else np.inf
-                    for region, count in trees.items():
-                        near = gaps[i, region] - top[region][1] <= reach + SLACK * (sizes[i] + longest + 1)
-                        if (region == home) if first else (region != home and near):
-                            out += [(i, region, t) for t in range(count)]
-                place, region, number = (np.array(x, np.int64) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+                reach = np.full(len(queries), np.inf)
+                bounded = floors > -np.inf
+                reach[bounded] = np.sqrt(np.maximum(0.0, sizes[bounded] + longest - 2 * floors[bounded]))
+                home = gaps.argmin(axis=1)[:, None] == np.arange(len(centres))
+                near = gaps - radii <= (reach + SLACK * (sizes + longest + 1))[:, None]
+                place, region = np.nonzero(home if first else near & ~home)
+                many = counts[region]
+                place, region = np.repeat(place, many), np.repeat(region, many)
+                number = np.arange(len(place)) - np.repeat(np.cumsum(many) - many, many)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("vec_id").take(pa.array(place)), batch.column("embedding").take(pa.array(place)), pa.array(floors[place]), pa.array(region, pa.int32()), pa.array(number, pa.int32())],
                     names=["vec_id", "embedding", "floor", "region", "tree"],
@@ -193,13 +236,12 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, reg
         return run
 
     def search(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
+        query = vec = score = np.zeros(0, np.int64)
         if left.num_rows and right.num_rows:
             own = Tree(right["vec_id"].to_numpy(), matrix(right["embedding"], width), longest)
-            queries = matrix(left["embedding"], width)
-            for query_id, query, floor in zip(left["vec_id"].to_pylist(), queries, left["floor"].to_pylist()):
-                found += [(query_id, vec, score) for score, vec in own.search(query_id, query, k, floor)]
-        query, vec, score = zip(*found) if found else ((), (), ())
+            asking = left["vec_id"].to_numpy()
+            place, vec, score = own.search_all(asking, matrix(left["embedding"], width), k, left["floor"].to_numpy())
+            query = asking[place]
         return pa.table({"query_id": pa.array(query, pa.int64()), "vec_id": pa.array(vec, pa.int64()), "score": pa.array(score, pa.int64())})
 
     sizes = F.create_map(*[F.lit(x) for pair in trees.items() for x in pair]) if trees else F.create_map(F.lit(0), F.lit(1))

@@ -247,6 +247,26 @@ def test_tree_prunes_and_finds_all():
     assert tree.computed < 0.7 * 10 * 4000
 
 
+def test_tree_answers_many_queries_at_once(monkeypatch):
+    monkeypatch.setattr(mtree, "HELD", 50)
+    rng = np.random.default_rng(4)
+    data = np.floor(rng.normal(size=(900, 6)) * 300)
+    data[300:600] = data[0]  # a third of the rows are copies
+    data[600:620] = 0
+    ids = rng.permutation(2000)[:900]
+    ids[700:710] = ids[0]  # a repeated id
+    longest = float((data * data).sum(axis=1).max())
+    tree = mtree.Tree(ids, data, longest, page=16)
+    asked = np.r_[0:900:30, 605]
+    floors = np.where(np.arange(len(asked)) % 3 == 0, np.sort(data[asked] @ data.T, axis=1)[:, -3], -np.inf)
+    place, found, score = tree.search_all(ids[asked], data[asked], 5, floors)
+    for i, q in enumerate(asked):
+        rows = sorted((-int(s), int(v)) for s, v in zip(data @ data[q], ids) if v != ids[q] and s >= floors[i])[:5]
+        assert [(-int(s), int(v)) for s, v in zip(score[place == i], found[place == i])] == rows
+    none = mtree.Tree(ids[:0], data[:0], longest).search_all(ids[asked], data[asked], 5, floors)
+    assert [len(x) for x in none] == [0, 0, 0]
+
+
 def test_tile_bounds_hold():
     rng = np.random.default_rng(3)
     a, b = rng.normal(size=(50, 64)), rng.normal(size=(400, 64))
