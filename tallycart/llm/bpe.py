@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import HashIndex, Pieces, chunks, texts
+from .common import HashIndex, Pieces, bounded, chunks, texts
 
 #: Rows of more bytes are merged with a heap.
 LONG = 256
@@ -36,6 +36,9 @@ WIDTHS = (4, 8, 12, 16, 24, 32, 64, 128, LONG)
 #: Rows of a matrix of width 16; wider ones have fewer.
 ROWS = 8192
 
+#: Text bytes split at once; their pieces take some fifteen times as much.
+ENCODE_BYTES = 1 << 20
+
 _NONE = np.int32(2**31 - 1)
 
 
@@ -238,7 +241,7 @@ def _rows(docs: DataFrame, rank_path: str, pattern: str, with_ids: bool) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(lines, pattern)
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=ENCODE_BYTES):
             ids, counts = encoder.encode(texts(batch))
             ends = np.concatenate([[0], np.cumsum(counts)])
             own = [ids[a:b] for a, b in zip(ends, ends[1:])]
@@ -254,7 +257,7 @@ def _rows(docs: DataFrame, rank_path: str, pattern: str, with_ids: bool) -> Data
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return bounded(docs).select("doc_id", "text").mapInArrow(run, schema)
 
 
 def encoded(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:

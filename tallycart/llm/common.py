@@ -16,6 +16,11 @@ from ..sources.scratch import scratch_path
 #: Text bytes a Python worker handles at once; longer texts make a chunk of their own.
 CHUNK_BYTES = 2 << 20
 
+#: Bytes of an Arrow batch on its way to a worker. A task holds several batches, in the JVM and in the worker;
+#: at Spark's default of 64 MB those of two tasks are a fifth of a small executor.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, return.
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
@@ -31,6 +36,14 @@ def share_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
+def bounded(docs: DataFrame) -> DataFrame:
+    """``docs``, whose session from now on sends Arrow batches of ``BATCH_BYTES`` or one row, unless it has its own bound."""
+    conf = docs.sparkSession.conf
+    if conf.get(_BATCH_SETTING).removesuffix("b") == str(_BATCH_DEFAULT):
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return docs
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once below ``spark.checkpoint.dir`` and read it back."""
     path = scratch_path(df.sparkSession, label)
@@ -63,6 +76,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             end = max(begin + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(begin, end - begin)
             begin = end
+    pa.default_memory_pool().release_unused()  # the worker lives on, idle or with another operator
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:

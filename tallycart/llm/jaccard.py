@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path, scratch_scope
-from .common import HashIndex, chunks, ragged, store, utf8
+from .common import HashIndex, bounded, chunks, ragged, store, utf8
 from .graph import connected
 
 #: Documents (expected) whose shingles are counted for the order, and shingles kept of them.
@@ -193,7 +193,7 @@ def points(docs: DataFrame, rule: Rule) -> DataFrame:
                 names=["doc_id", "print", "n", "point", "pivots"],
             )
 
-    return rows.mapInArrow(run, f"doc_id {kind}, print bigint, n bigint, point bigint, pivots array<bigint>")
+    return bounded(rows).mapInArrow(run, f"doc_id {kind}, print bigint, n bigint, point bigint, pivots array<bigint>")
 
 
 def sets_of(docs: DataFrame, words: int) -> DataFrame:
@@ -209,7 +209,7 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
                 names=["point", "n", "shingles"],
             )
 
-    return docs.select("text").mapInArrow(run, "point bigint, n bigint, shingles array<bigint>")
+    return bounded(docs).select("text").mapInArrow(run, "point bigint, n bigint, shingles array<bigint>")
 
 
 def regions(placed: DataFrame, rule: Rule) -> DataFrame:

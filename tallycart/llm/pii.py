@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import chunks, replaced, texts
+from .common import bounded, chunks, replaced, texts
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "phone_local", "private_key", "access_key", "secret", "ssn", "dni")
@@ -232,7 +232,7 @@ def with_spans(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans)], names=["doc_id", "spans"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, spans array<struct<kind:string,start:bigint,end:bigint,score:double>>")
+    return bounded(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, spans array<struct<kind:string,start:bigint,end:bigint,score:double>>")
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -249,7 +249,7 @@ def redact(docs: DataFrame) -> DataFrame:
                 columns["n_chars"] = pa.array([None if t is None else len(t) for t in new], batch.schema.field("n_chars").type)
             yield replaced(batch, **columns)
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)
 
 
 def _joined(spans: list[dict], kinds: tuple[str, ...]) -> str:

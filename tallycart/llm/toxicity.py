@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, least, store, texts
+from .common import bounded, chunks, least, store, texts
 
 #: Labelled documents of either class in the fit.
 SAMPLE_DOCS = 3000
@@ -221,7 +221,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    return bounded(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -231,4 +231,4 @@ def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
         for batch in chunks(batches):
             yield batch.filter(pa.array([model.score(t) < threshold for t in texts(batch)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)
