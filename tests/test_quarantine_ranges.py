@@ -82,6 +82,28 @@ def test_exact_ranges(spark, bought, tmp_path):
     assert "month" in plan and "order_id" not in plan
 
 
+def test_bitmaps_are_made_once_from_numbers_dealt_to_them(spark, bought):
+    """Each bitmap is one row, holds the numbers of its day, category and block, and was not moved in parts."""
+    orders, buyers = grain.order_grain(bought), grain.buyer_grain(bought)
+    made = range_counts.range_bitmaps(orders, buyers)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("bitmap_construct_agg") < plan.index("RepartitionByExpression [event_date"), plan
+    physical = made._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in physical[: physical.rindex("bitmap_construct_agg")], physical
+    want = set()
+    for kind, table in (("order", orders), ("user", buyers)):
+        key = range_counts.KINDS[kind]
+        numbers = {r[key]: r["number"] for r in dicts(range_counts.numbered(table, key))}
+        want |= {(r["event_date"], r["category"], kind, numbers[r[key]]) for r in dicts(table)}
+    rows = dicts(made)
+    assert len({(r["event_date"], r["category"], r["kind"], r["block"]) for r in rows}) == len(rows)
+    got = {
+        (r["event_date"], r["category"], r["kind"], (r["block"] - 1) * 32768 + i * 8 + bit + 1)
+        for r in rows for i, byte in enumerate(r["bits"]) for bit in range(8) if byte >> bit & 1
+    }
+    assert got == want
+
+
 def test_numbers_have_no_gap_and_follow_first_days(spark, bought):
     rows = sorted(dicts(range_counts.numbered(grain.buyer_grain(bought), "user_id")), key=lambda r: r["number"])
     assert [r["number"] for r in rows] == list(range(1, len(rows) + 1))
