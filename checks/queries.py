@@ -284,7 +284,7 @@ def row_cap(spark: SparkSession, folder: str) -> DataFrame:
 def row_cap_files(spark: SparkSession, folder: str) -> DataFrame:
     """The earliest rows of every file of a folder of one file per event type."""
     path = scratch_path(spark, "csv-files")
-    _events_text(spark, folder).withColumn("kind", F.col("event_type")).repartition(1).write.partitionBy("kind").option("header", True).csv(path)
+    files.write_csv_per_value(_events_text(spark, folder), "event_type", path)
     capped = files.read_events_csv(spark, [f"{path}/*"], rows_per_file=FILE_ROWS)
     return funnel.event_counts(clean_events(capped))
 

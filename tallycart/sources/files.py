@@ -84,6 +84,22 @@ def write_parquet_batches(df: DataFrame, path: str, batch_rows: int = BATCH_ROWS
     writer.parquet(path)
 
 
+def write_csv_per_value(df: DataFrame, column: str, path: str, most_open: int = 100) -> None:
+    """One CSV file per value of ``column`` below ``path``; null and empty text share one.
+
+    A value goes to one task, which writes rows as they arrive. Spark would sort a task's rows by value
+    first, unless the task may keep several files open; only values beyond ``most_open`` in one task are sorted.
+    """
+    conf, setting = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(setting)
+    conf.set(setting, str(most_open))
+    try:
+        kind = F.nullif(F.col(column), F.lit(""))  # both are written to the folder of missing values
+        df.withColumn("kind", kind).repartition("kind").write.partitionBy("kind").option("header", True).csv(path)
+    finally:
+        conf.set(setting, before)
+
+
 def csv_to_parquet(
     spark: SparkSession,
     paths: Sequence[str],

@@ -1,9 +1,10 @@
 from __future__ import annotations
 
+import glob
 import json
 import os
 import random
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from helpers import dicts, one, raw
@@ -55,6 +56,40 @@ def test_several_files_and_cap(spark, months):
     assert early <= 50
 
 
+def test_a_file_per_event_type_is_written_by_its_own_task(spark, tmp_path, monkeypatch):
+    """Types travel to several tasks, none of which sorts; null and empty types share a file, as folders have it."""
+    from checks import queries
+
+    kinds = ["view", "click", "purchase", "signup", "error", None, ""]
+    rows = [(i, datetime(2024, 1, 1 + i % 9), i % 11, kinds[i % 7], 1.5, '{"k": %d}' % i) for i in range(7 * 8)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    setting, coalesce = "spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.coalescePartitions.enabled"
+    seen, read, conf = {}, files.read_events_csv, type(spark.conf)
+    put = conf.set
+
+    def reading(session, paths, **more):
+        seen["files"] = glob.glob(f"{paths[0]}/*.csv")
+        return read(session, paths, **more)
+
+    def setting_conf(self, key, value):
+        seen.setdefault(key, []).append(value)
+        put(self, key, value)
+
+    monkeypatch.setattr(files, "read_events_csv", reading)
+    monkeypatch.setattr(queries, "FILE_ROWS", 6)
+    before = spark.conf.get(setting)
+    put(spark.conf, coalesce, "false")
+    monkeypatch.setattr(conf, "set", setting_conf)
+    try:
+        counts = {r["event_type"]: r["count"] for r in dicts(queries.row_cap_files(spark, str(tmp_path)))}
+    finally:
+        put(spark.conf, coalesce, "true")
+    assert len(seen["files"]) == 6 and len({os.path.dirname(f) for f in seen["files"]}) == 6
+    assert len({os.path.basename(f)[:10] for f in seen["files"]}) > 1  # tasks that wrote them
+    assert int(seen[setting][0]) >= 6 and spark.conf.get(setting) == before
+    assert sum(counts.values()) == 36 and all(counts[k] == 6 for k in ("view", "cart", "purchase", "signup", "error"))
+
+
 def test_cap_bounds():
     assert files.checked_rows_per_file(0) == 0 and files.checked_rows_per_file(10_000) == 10_000
     for bad in (9_999, 25_000_001):
