@@ -16,6 +16,7 @@ between rows of one id, by the hash of the text.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 import string
@@ -55,6 +56,28 @@ _LOWER = {ord(c): c.lower() for c in string.ascii_uppercase}
 _ODD = r"<\||[\x{300}-\x{37f}]"
 #: Stands for the end id among the words; no word has white space.
 END = "\n"
+#: Words of ASCII letters and letters of U+00C0 to U+00FF, and the steps that such a word passes lower-cased, whole and byte by byte.
+_LETTERS = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_CUT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+_PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": _CUT, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: The character a byte-level vocabulary has for each byte: itself, or the next of those from U+0100 on.
+_BYTES = dict(zip([*_SHOWN, *(b for b in range(256) if b not in _SHOWN)], [*_SHOWN, *range(0x100, 0x144)]))
+
+
+def letters_pass(definition: str) -> bool:
+    """Whether the tokenizer hands a word of letters to its model whole, in lower case and as byte-level characters."""
+    steps = json.loads(definition)
+    return (
+        steps["normalizer"] == {"type": "Sequence", "normalizers": _NORMALIZERS}
+        and steps["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": _PRE_TOKENIZERS}
+        and not any(steps[s] for s in ("post_processor", "truncation", "padding"))
+        and not any(_LETTERS.search(t["content"]) and "<|" not in t["content"] for t in steps["added_tokens"])
+    )
 
 
 def split_words(text: str) -> list[str]:
@@ -107,8 +130,21 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.direct = letters_pass(definition)
         self.words = Pieces(most=WORDS_KEPT)
 
+    def word_ids(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word. Words of letters go to the tokenizer's model without the steps that leave them as they are."""
+        letters = [self.direct and _LETTERS.fullmatch(w) is not None for w in words]
+        others = iter(self.tokenizer.encode_batch_fast([w for w, plain in zip(words, letters) if not plain], add_special_tokens=False))
+        pieces = self.tokenizer.model.tokenize
+
+        def own(word: str) -> list[int]:
+            word = word.lower()
+            return [t.id for t in pieces(word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES))]
+
+        return [own(w) if plain else next(others).ids for w, plain in zip(words, letters)]
+
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and how many each has; each distinct word is looked up once."""
         words, per_text = split_texts(column)
@@ -117,8 +153,7 @@ class WordEncoder:
         new = self.words.missing(distinct)
         for at in range(0, len(new), BATCH):
             some = new[at : at + BATCH]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            own = [[end_id] if w == END else e.ids for w, e in zip(some, found)]
+            own = [[end_id] if w == END else ids for w, ids in zip(some, self.word_ids(some))]
             self.words.add(some, np.fromiter(itertools.chain.from_iterable(own), np.int32), np.fromiter(map(len, own), np.int64, len(own)))
         places = self.words.places(distinct)
         ends = np.cumsum(per_text + 1)
